@@ -189,6 +189,143 @@ def fact_queries() -> dict[str, str]:
     return q
 
 
+
+
+# ---------------------------------------------------------------- tracking --
+
+def _cams_sql() -> str:
+    rows = ", ".join(f"({c}, {d(lat)}, {d(lon)}, {d(lim)}, {'true' if pos else 'false'})"
+                     for c, lat, lon, lim, pos in FIXTURE_CAMERAS)
+    return (f"select * from (values {rows}) as c(camera_id, latitude, longitude, "
+            "speed_limit_kmh, flow_positive_y)")
+
+
+DETECTIONS = f"""
+select cast(user_id % 4 as integer) as camera_id, user_id as track_id,
+       cast(f as integer) as frame_idx, cast(f as double) / {d(FIXTURE_FPS)} as t_sec,
+       event_id as det_idx,
+       case user_id % 5 when 0 then 'car' when 1 then 'truck' when 2 then 'bus'
+                        when 3 then 'motorcycle' else 'person' end as class_name,
+       900 as x1, cast(1000 + user_id % 50 as integer) as x2,
+       cast(case when user_id % 7 = 0 then 800 - f * (1 + user_id % 9) - event_id % 3
+                 else 200 + f * (1 + user_id % 9) + event_id % 3 end as integer) as y2
+from (select *, row_number() over (partition by user_id order by event_id) - 1 as f
+      from events where user_id is not null) b
+"""
+
+
+def _tracking_ctes() -> str:
+    m = [d(v) for v in road_homography()]
+    den = f"({m[6]} * bx + {m[7]} * \"by\" + 1e0)"
+    w_s = "partition by camera_id, track_id order by frame_idx, det_idx"
+    w_st = "partition by camera_id, track_id order by step_no"
+    return f"""
+det as ({DETECTIONS}),
+cams as ({_cams_sql()}),
+veh as (select * from det where class_name in ('car', 'truck', 'bus', 'motorcycle')
+        and camera_id is not null and track_id is not null and frame_idx is not null),
+enr as (select veh.*, cams.latitude, cams.longitude, cams.speed_limit_kmh, cams.flow_positive_y
+        from veh join cams using (camera_id)),
+s0 as (select *, cast(trunc((x1 + x2) / 2) as integer) as bx, y2 as "by",
+              case when flow_positive_y then 1e0 else -1e0 end as flow_sign from enr),
+s as (select *, ({m[0]} * bx + {m[1]} * "by" + {m[2]}) / {den} as tx,
+                ({m[3]} * bx + {m[4]} * "by" + {m[5]}) / {den} as ty from s0),
+l as (select *, lag(tx) over (w) as ptx, lag(ty) over (w) as pty, lag(t_sec) over (w) as pt,
+             lag(t_sec) over (w) is not null or lag(frame_idx) over (w) is not null as has_prev
+      from s window w as ({w_s})),
+st0 as (select *, t_sec - pt as dt, tx - ptx as dx, ty - pty as dy from l
+        where has_prev and t_sec - pt > {d(DT_MIN)}),
+st1 as (select *, sqrt(dx * dx + dy * dy) * {d(METRES_PER_UNIT)} as dist_m,
+               row_number() over ({w_s}) as step_no from st0),
+st as (select *, dist_m / dt * {d(KMH_PER_MPS)} as raw_kmh from st1),
+sm0 as (select *,
+          list_reduce(list(raw_kmh) over w15,
+                      lambda acc, x: {d(EMA_ALPHA)} * x + {d(1 - EMA_ALPHA)} * acc, 0e0)
+            as smooth_kmh,
+          sum(dy) over wd as net_dy
+        from st window w15 as ({w_st} rows between {EMA_HISTORY - 1} preceding and current row),
+                       wd as ({w_st} rows between {DIR_WINDOW - 1} preceding and current row)),
+sm as (select *, net_dy * flow_sign < -{d(WRONG_WAY_UNITS)} as is_wrong_way,
+              smooth_kmh > speed_limit_kmh as is_speeding from sm0),
+fh as (select camera_id, track_id,
+              min(step_no) filter (where is_wrong_way) as wstep,
+              min(step_no) filter (where is_speeding) as vstep
+       from sm group by camera_id, track_id),
+ww as (select sm.*, 'Wrong Way' as Violation_Type, 5 as Severity, 0 as kr
+       from sm join fh using (camera_id, track_id) where sm.step_no = fh.wstep),
+vv as (select sm.*, 'Speeding' as Violation_Type,
+              cast(case when smooth_kmh <= speed_limit_kmh then 0
+                        when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 10e0 then 1
+                        when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 20e0 then 2
+                        when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 30e0 then 3
+                        when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 40e0 then 4
+                        else 5 end as integer) as Severity, 1 as kr
+       from sm join fh using (camera_id, track_id) where sm.step_no = fh.vstep),
+ev as (select * from ww union all select * from vv),
+logv as (select printf('%s%04d', case when kr = 0 then 'W' else 'V' end,
+                       row_number() over (partition by camera_id
+                                          order by frame_idx, det_idx, kr)) as Violation_ID,
+                TIMESTAMP '{SESSION_START.isoformat(sep=' ')}'
+                  + to_seconds(cast(floor(t_sec) as bigint)) as Timestamp,
+                latitude as Latitude, longitude as Longitude, Violation_Type,
+                class_name as Vehicle_Type, Severity, camera_id, track_id
+         from ev)"""
+
+
+def with_tracks(body: str) -> str:
+    return f"with {_tracking_ctes()}\n{body}"
+
+
+R = SPEED_DIGITS
+_HIT_COLS = (f"camera_id, track_id, Violation_Type, step_no, frame_idx, det_idx, t_sec, "
+             f"class_name, round(smooth_kmh, {R}) as smooth_kmh, latitude, longitude, "
+             f"speed_limit_kmh, Severity")
+
+
+def tracking_queries() -> dict[str, str]:
+    k = "camera_id, track_id, frame_idx, det_idx"
+    return {
+        "detections_scan": with_tracks("select * from det"),
+        "vehicle_detections": with_tracks(
+            "select camera_id, track_id, frame_idx, t_sec, det_idx, class_name, x1, x2, y2 "
+            "from veh"),
+        "camera_enriched": with_tracks(
+            "select camera_id, track_id, frame_idx, t_sec, det_idx, class_name, x1, x2, y2, "
+            "latitude, longitude, speed_limit_kmh, flow_positive_y from enr"),
+        "bottom_center": with_tracks(f'select {k}, bx, "by" from s'),
+        "topdown_positions": with_tracks(
+            f"select {k}, round(tx, {R}) as tx, round(ty, {R}) as ty from s"),
+        "track_steps": with_tracks(
+            f"select {k}, step_no, round(dt, {R}) as dt, round(dx, {R}) as dx, "
+            f"round(dy, {R}) as dy from st"),
+        "raw_speed": with_tracks(
+            f"select {k}, step_no, round(dist_m, {R}) as dist_m, "
+            f"round(raw_kmh, {R}) as raw_kmh from st"),
+        "smoothed_speed": with_tracks(
+            f"select {k}, step_no, round(smooth_kmh, {R}) as smooth_kmh from sm"),
+        "net_direction": with_tracks(
+            f"select {k}, step_no, round(net_dy, {R}) as net_dy, is_wrong_way from sm"),
+        "severity_score": with_tracks(
+            f"""select {k}, step_no, round(smooth_kmh, {R}) as smooth_kmh,
+                cast(case when smooth_kmh <= speed_limit_kmh then 0
+                     when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 10e0 then 1
+                     when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 20e0 then 2
+                     when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 30e0 then 3
+                     when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 40e0 then 4
+                     else 5 end as integer) as severity from sm"""),
+        "speeding_violations": with_tracks(f"select {_HIT_COLS} from vv"),
+        "wrong_way_violations": with_tracks(f"select {_HIT_COLS} from ww"),
+        "violation_log": with_tracks("select * from logv"),
+        "annotated_tracks": with_tracks(
+            f"""select {k}, step_no, wrong_so_far, wrong_so_far or is_speeding as flag,
+                       printf('ID %d: %.1f km/h', track_id, smooth_kmh)
+                         || case when wrong_so_far then ' (WRONG)' else '' end as label
+                from (select sm.*, coalesce(sm.step_no >= fh.wstep, false) as wrong_so_far
+                      from sm join fh using (camera_id, track_id))"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = fact_queries()
+    out.update(tracking_queries())
     return out

@@ -108,5 +108,7 @@ def fact_queries() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
+    from .queries_tracking import tracking_queries
     out = fact_queries()
+    out.update(tracking_queries())
     return out
