@@ -325,7 +325,55 @@ def tracking_queries() -> dict[str, str]:
     }
 
 
+def io_queries() -> dict[str, str]:
+    m1 = "Violation_ID, Timestamp, Latitude, Longitude, Violation_Type, Vehicle_Type, Severity"
+    sel = selection_sql()
+
+    def text_ts(fmt):
+        return (f"select Violation_ID, strftime(Timestamp, '{fmt}') as Timestamp, Latitude, "
+                f"Longitude, Violation_Type, Vehicle_Type, Severity from f where {sel}")
+
+    def mart(name, inner, total="total_violations"):
+        return (f"select '{name}' as mart, count(*) as rows, "
+                f"cast(coalesce(sum({total}), 0) as bigint) as total from ({inner})")
+
+    grp = "select {k}, count(*) as total_violations from f group by {k}"
+    top = (grp.format(k="Latitude, Longitude") + " order by total_violations desc, "
+           "Latitude nulls first, Longitude nulls first limit 10")
+    marts = [
+        mart("all_locations", grp.format(k="Latitude, Longitude")),
+        mart("daily", grp.format(k="day_of_week")),
+        mart("daytype", grp.format(k="day_type")),
+        mart("hourly", grp.format(k="hour")),
+        mart("spatial_grid", grp.format(k="grid_cell")),
+        mart("time_window", grp.format(k="hour_window")),
+        mart("top_locations", top),
+        mart("type_hour_matrix", grp.format(k="coalesce(Violation_Type, 'null')")),
+        mart("type_summary", grp.format(k="Violation_Type")),
+        mart("type_time", grp.format(k="Violation_Type, hour_window")),
+    ]
+    log_order = ", ".join(f"\"{c}\" desc nulls last" for c in
+                          ("Timestamp", "Violation_ID", "Latitude", "Longitude",
+                           "Violation_Type", "Vehicle_Type", "Severity"))
+    hot = (f"select grid_cell, count(*) as total_violations, "
+           f"round(avg(Latitude), {AVG_DIGITS}) as avg_lat, "
+           f"round(avg(Longitude), {AVG_DIGITS}) as avg_lon from "
+           f"(select *, concat_ws('_', try_cast(trunc(Latitude * 10e0) as integer), "
+           f"try_cast(trunc(Longitude * 10e0) as integer)) as grid_cell "
+           f"from (select distinct {m1} from logv where Violation_ID is not null)) "
+           f"group by grid_cell")
+    return {
+        "ingest_csv_roundtrip": with_fact(f"select {m1} from v"),
+        "mart_roundtrip": with_fact(" union all ".join(marts)),
+        "export_csv_roundtrip": with_fact(text_ts("%Y-%m-%d %H:%M:%S.%f")),
+        "export_json_roundtrip": with_fact(text_ts("%Y-%m-%dT%H:%M:%S.%g")),
+        "log_tail10": with_tracks(f"select {m1} from logv order by {log_order} limit 10"),
+        "violation_hotspots": with_tracks(hot),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = fact_queries()
     out.update(tracking_queries())
+    out.update(io_queries())
     return out

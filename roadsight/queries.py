@@ -108,7 +108,9 @@ def fact_queries() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
+    from .queries_io import io_queries
     from .queries_tracking import tracking_queries
     out = fact_queries()
     out.update(tracking_queries())
+    out.update(io_queries())
     return out

@@ -1,0 +1 @@
+"""Structured Streaming: the per-track violation detector as keyed state."""
