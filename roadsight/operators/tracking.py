@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from ..functions.geometry import METRES_PER_UNIT, bottom_center_x, project
 from ..functions.severity import severity_score
 from ..schema import KIND_SPEEDING, KIND_WRONG_WAY
+from ..session import materialize
 from .selection import vehicle_only
-from .sequence import BUCKET, bucket_offsets, exact_positions, with_halo_blocks
+from .sequence import BUCKET, exact_positions, with_halo_blocks
 
 # Tracking rules.
 EMA_ALPHA = 0.3
@@ -94,31 +95,60 @@ def sightings(det: DataFrame, cameras: DataFrame) -> DataFrame:
 
 def steps(s: DataFrame) -> DataFrame:
     """One row per step with dx, dy, dt, dist_m, raw_kmh and its exact 1-based
-    ``step_no`` within the track."""
+    ``step_no`` within the track.
+
+    Pass 1 is a single window inside (track, frame chunk): the lag of every
+    row but the chunk's first, and a running count of those inner steps.  It
+    is materialized once (its hash partitioning survives the checkpoint).  A
+    per-chunk summary built from only the first and last row of each chunk
+    (a hash aggregate over <= 2 rows per chunk) gives each chunk its seed (the
+    previous chunk's last sighting), whether its first row is a step, and the
+    number of steps before it; joining that small table back needs no shuffle
+    of the big side.
+    """
     b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(CHUNK_FRAMES)))
-    pos = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("t_sec").alias("t"))
-    # Last sighting of every chunk, handed to the next non-empty chunk.
-    last = b.groupBy(*KEYS, BUCKET).agg(
-        F.max_by(pos, F.struct(*_order())).alias("_last"))
-    seed = last.select(*KEYS, BUCKET, F.lag("_last").over(
-        Window.partitionBy(*KEYS).orderBy(BUCKET)).alias("_seed"))
     w = Window.partitionBy(*KEYS, BUCKET).orderBy(*_order())
-    j = (b.join(seed, [*KEYS, BUCKET])
-         .withColumn("_prev", F.coalesce(F.lag(pos).over(w), F.col("_seed")))
-         .withColumn("dt", F.col("t_sec") - F.col("_prev.t"))
-         .where(F.col("_prev").isNotNull() & (F.col("dt") > F.lit(DT_MIN)))
-         .withColumn("dx", F.col("tx") - F.col("_prev.x"))
-         .withColumn("dy", F.col("ty") - F.col("_prev.y"))
-         .drop("_prev", "_seed"))
+    pos = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("t_sec").alias("t"))
+    inner_step = (F.col("t_sec") - F.col("_prev.t")) > F.lit(DT_MIN)
+    p1 = (b.withColumn("_prev", F.lag(pos).over(w))
+          .withColumn("_first", F.col("_prev").isNull())
+          .withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+          .withColumn("_inner", F.coalesce(inner_step, F.lit(False)))
+          .withColumn("_rin", F.sum(F.col("_inner").cast("long")).over(
+              w.rowsBetween(Window.unboundedPreceding, 0))))
+    p1 = materialize(p1)
+    ends = p1.where(F.col("_first") | F.col("_last")).groupBy(*KEYS, BUCKET).agg(
+        F.max(F.when(F.col("_first"), F.col("t_sec"))).alias("_t0"),
+        F.max(F.when(F.col("_last"), F.col("tx"))).alias("_lx"),
+        F.max(F.when(F.col("_last"), F.col("ty"))).alias("_ly"),
+        F.max(F.when(F.col("_last"), F.col("t_sec"))).alias("_lt"),
+        F.max(F.when(F.col("_last"), F.col("_rin"))).alias("_nin"))
+    wc = Window.partitionBy(*KEYS).orderBy(BUCKET)
+    seed = F.struct(F.lag("_lx").over(wc).alias("x"), F.lag("_ly").over(wc).alias("y"),
+                    F.lag("_lt").over(wc).alias("t"))
+    first_step = F.coalesce((F.col("_t0") - F.col("_seed.t")) > F.lit(DT_MIN), F.lit(False))
+    per_chunk = (ends.withColumn("_seed", F.when(F.lag(BUCKET).over(wc).isNotNull(), seed))
+                 .withColumn("_fstep", first_step)
+                 .withColumn("_n", F.col("_nin") + F.col("_fstep").cast("long")))
+    per_chunk = per_chunk.select(
+        *KEYS, BUCKET, "_seed", "_fstep",
+        F.coalesce(F.sum("_n").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).cast("long").alias("_off"))
+    j = p1.join(per_chunk, [*KEYS, BUCKET])
+    prev = F.when(F.col("_first"), F.col("_seed")).otherwise(F.col("_prev"))
+    is_step = F.when(F.col("_first"), F.col("_fstep")).otherwise(F.col("_inner"))
+    step_no = F.when(F.col("_first"), F.col("_off") + 1).otherwise(
+        F.col("_off") + F.col("_fstep").cast("long") + F.col("_rin"))
+    j = (j.withColumn("_p", prev).where(is_step)
+         .withColumn("step_no", step_no)
+         .withColumn("dt", F.col("t_sec") - F.col("_p.t"))
+         .withColumn("dx", F.col("tx") - F.col("_p.x"))
+         .withColumn("dy", F.col("ty") - F.col("_p.y")))
     dist_units = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))
-    j = (j.withColumn("dist_m", dist_units * F.lit(METRES_PER_UNIT))
-         .withColumn("raw_kmh", F.col("dist_m") / F.col("dt") * F.lit(KMH_PER_MPS))
-         .withColumn("_srank", F.row_number().over(w)))
-    cnt = j.groupBy(*KEYS, BUCKET).agg(F.count(F.lit(1)).alias("_sn"))
-    offs = bucket_offsets(cnt, KEYS, "_sn", "_soff")
-    return (j.join(offs, [*KEYS, BUCKET])
-            .withColumn("step_no", F.col("_soff") + F.col("_srank"))
-            .drop("_soff", "_srank", BUCKET))
+    return (j.withColumn("dist_m", dist_units * F.lit(METRES_PER_UNIT))
+            .withColumn("raw_kmh", F.col("dist_m") / F.col("dt") * F.lit(KMH_PER_MPS))
+            .drop("_prev", "_first", "_last", "_inner", "_rin", "_seed", "_fstep", "_off",
+                  "_p", BUCKET))
 
 
 def ema_fold(values: Column) -> Column:
@@ -216,13 +246,15 @@ def number_violations(ev: DataFrame, session_start: _dt.datetime = SESSION_START
 
 def violation_log(det: DataFrame, cameras: DataFrame,
                   session_start: _dt.datetime = SESSION_START) -> DataFrame:
-    return number_violations(violation_events(track_states(det, cameras)), session_start)
+    ev = materialize(violation_events(track_states(det, cameras)))
+    return number_violations(ev, session_start)
 
 
 def annotated(sm: DataFrame) -> DataFrame:
     """Per step: red flag (wrong way logged so far, or over the limit now) and
     the overlay label.  The per-track first wrong-way step is joined back;
     AQE splits a hot track's partition if one dominates."""
+    sm = materialize(sm)
     fw = first_hits(sm).select(*KEYS, F.col("w.step_no").alias("_w_step"))
     j = sm.join(fw, KEYS, "left")
     wrong_so_far = F.coalesce(F.col("step_no") >= F.col("_w_step"), F.lit(False))

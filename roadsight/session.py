@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -75,3 +76,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     if "://" in root:
         return f"{root}/roadsight/{leaf}"
     return os.path.join(root, "roadsight", leaf)
+
+
+def materialize(df):
+    """Cut a lineage that several consumers share: a reliable, eager
+    ``checkpoint()`` into the shared checkpoint folder (the checkpointed data
+    keeps its hash partitioning, so a following join or window on the same
+    keys does not shuffle it again)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
