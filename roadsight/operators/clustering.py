@@ -9,6 +9,8 @@ map-only ``model.transform`` over all points (centres travel with the model).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -22,6 +24,8 @@ K = 5
 SEED = 42
 STARTS = 10
 MIN_POINTS = 20
+MAX_ITER = 300
+PARALLEL_STARTS = 4
 
 CENTER_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
@@ -43,17 +47,19 @@ def fit_zones(fact: DataFrame, k: int = K, seed: int = SEED, starts: int = START
     weighted = asm.transform(pts.groupBy("Latitude", "Longitude")
                              .agg(F.count(F.lit(1)).cast("double").alias("weight")))
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(i: int):
+        model = KMeans(k=k, seed=seed + i, maxIter=MAX_ITER, weightCol="weight",
+                       featuresCol="features", predictionCol="_pred").fit(weighted)
+        return model.summary.trainingCost, i, model
+
     try:
-        best = None
-        for i in range(starts):
-            model = KMeans(k=k, seed=seed + i, weightCol="weight",
-                           featuresCol="features", predictionCol="_pred").fit(weighted)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
+        # The starts are independent jobs: submit them concurrently.
+        with ThreadPoolExecutor(max_workers=min(starts, PARALLEL_STARTS)) as pool:
+            fits = list(pool.map(fit, range(starts)))
     finally:
         weighted.unpersist()
-    model = best[1]
+    model = min(fits, key=lambda f: (f[0], f[1]))[2]
     # Cluster ids are arbitrary: renumber by centre (lat, lon) for determinism.
     centers = [tuple(float(v) for v in c) for c in model.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda i: centers[i])

@@ -98,13 +98,14 @@ def steps(s: DataFrame) -> DataFrame:
     ``step_no`` within the track.
 
     Pass 1 is a single window inside (track, frame chunk): the lag of every
-    row but the chunk's first, and a running count of those inner steps.  It
-    is materialized once (its hash partitioning survives the checkpoint).  A
+    row but the chunk's first, and a running count of those inner steps.  A
     per-chunk summary built from only the first and last row of each chunk
     (a hash aggregate over <= 2 rows per chunk) gives each chunk its seed (the
     previous chunk's last sighting), whether its first row is a step, and the
-    number of steps before it; joining that small table back needs no shuffle
-    of the big side.
+    number of steps before it.  The window output is already hash-partitioned
+    on (track, chunk), so joining the summary back moves only the summary;
+    the summary branch re-reads pass 1 through a narrow (6-column) shuffle
+    rather than writing the wide pass-1 rows out and shuffling them again.
     """
     b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(CHUNK_FRAMES)))
     w = Window.partitionBy(*KEYS, BUCKET).orderBy(*_order())
@@ -116,7 +117,6 @@ def steps(s: DataFrame) -> DataFrame:
           .withColumn("_inner", F.coalesce(inner_step, F.lit(False)))
           .withColumn("_rin", F.sum(F.col("_inner").cast("long")).over(
               w.rowsBetween(Window.unboundedPreceding, 0))))
-    p1 = materialize(p1)
     ends = p1.where(F.col("_first") | F.col("_last")).groupBy(*KEYS, BUCKET).agg(
         F.max(F.when(F.col("_first"), F.col("t_sec"))).alias("_t0"),
         F.max(F.when(F.col("_last"), F.col("tx"))).alias("_lx"),

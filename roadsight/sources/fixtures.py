@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.severity import severity_score
 from ..operators.sequence import exact_positions
 from ..schema import CAMERA_SCHEMA
+from ..session import materialize
 
 # The camera settings of the four fixture cameras
 # (camera_id, latitude, longitude, speed_limit_kmh, flow_positive_y).
@@ -102,4 +103,7 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detections_from_events(table(spark, sf_dir, "events"))
+    """The detection table derived from ``events``, written once to the shared
+    checkpoint folder so every consumer reads stored rows, as it would read
+    a real detection table."""
+    return materialize(detections_from_events(table(spark, sf_dir, "events")))
