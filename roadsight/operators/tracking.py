@@ -49,7 +49,7 @@ EMA_HISTORY = 128          # steps folded into the EMA; 0.7**128 ~ 1.5e-20
 CHUNK_FRAMES = 4096        # frames per lag / ranking chunk of a track
 BLOCK_STEPS = 1 << 16      # steps per EMA / direction block of a track
 NUMBER_CHUNK_FRAMES = 1 << 16
-MAX_BROADCAST_CAMERAS = 1_000_000
+MAX_BROADCAST_CAMERAS = 200_000   # ~40 bytes a row: well under 10 MB
 # Violation time = session start + media time (the original used the wall
 # clock at processing time, which no replay can reproduce).
 SESSION_START = _dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -231,7 +231,8 @@ def number_violations(ev: DataFrame, session_start: _dt.datetime = SESSION_START
         [F.col("frame_idx"), F.col("det_idx"), F.col("_kr")],
         F.floor(F.col("frame_idx") / F.lit(NUMBER_CHUNK_FRAMES)), "_seq")
     prefix = F.when(F.col("_kr") == 0, F.lit("W")).otherwise(F.lit("V"))
-    ts = (F.lit(session_start).cast("timestamp_ntz")
+    # A text literal cast to timestamp_ntz: independent of any time zone.
+    ts = (F.lit(session_start.isoformat(sep=" ")).cast("timestamp_ntz")
           + F.make_dt_interval(secs=F.floor(F.col("t_sec")).cast("decimal(18,6)")))
     return numbered.select(
         F.format_string("%s%04d", prefix, F.col("_seq")).alias("Violation_ID"),
