@@ -369,6 +369,9 @@ def io_queries() -> dict[str, str]:
         "export_json_roundtrip": with_fact(text_ts("%Y-%m-%dT%H:%M:%S.%g")),
         "log_tail10": with_tracks(f"select {m1} from logv order by {log_order} limit 10"),
         "violation_hotspots": with_tracks(hot),
+        "fact_partitioned_roundtrip": with_fact(
+            f"select distinct {m1} from f where Violation_ID is not null and "
+            f"{selection_sql(types=False, sev=False)}"),
     }
 
 

@@ -108,9 +108,10 @@ def fact_queries() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    from .queries_io import io_queries
+    from .queries_io import io_queries, io_queries_extra
     from .queries_tracking import tracking_queries
     out = fact_queries()
     out.update(tracking_queries())
     out.update(io_queries())
+    out.update(io_queries_extra())
     return out

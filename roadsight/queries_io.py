@@ -85,3 +85,20 @@ def io_queries():
         "kmeans_centers": q_kmeans_centers,
         "stream_violations": q_stream_violations,
     }
+
+
+def q_fact_partitioned_roundtrip(spark, sf_dir):
+    """Cleaned fact written by date, read back through the date filter: the
+    partition filter prunes directories, the timestamp filter keeps exact
+    bounds."""
+    from .operators.clean import clean_violations
+    from .queries_params import DATES_ONLY
+    from .sources.fact_store import date_partition_filter, read_fact, write_fact
+    path = scratch_path(spark, "fact-by-date")
+    write_fact(clean_violations(fixtures.violations(spark, sf_dir)), path)
+    df = read_fact(spark, path).where(date_partition_filter(DATES_ONLY))
+    return apply_selection(df, DATES_ONLY).drop("event_date")
+
+
+def io_queries_extra():
+    return {"fact_partitioned_roundtrip": q_fact_partitioned_roundtrip}

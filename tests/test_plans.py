@@ -36,3 +36,9 @@ def test_tracking_steps_use_hash_aggregates(spark):
     det, cams = fixtures.detections(spark, SF001), fixtures.fixture_cameras(spark)
     plan = _plan(trk.steps(trk.sightings(det, cams)))
     assert "SortAggregate" not in plan
+
+
+def test_date_filter_prunes_partitions(spark):
+    df = entry.queries()["fact_partitioned_roundtrip"](spark, SF001)
+    plan = _plan(df)
+    assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1]
