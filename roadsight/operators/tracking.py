@@ -10,7 +10,8 @@ the same rules are window functions over each track, ordered by
   dt <= 0.0001 (or the first one) is not a step but still becomes the previous
   position of the next sighting;
 * speed: hypotenuse x 0.012 m/unit / dt x 3.6; EMA (alpha 0.3, start 0) over
-  the steps, as a fold over the last 128 steps (older weight < 1.5e-20);
+  the steps as a running-sum window (a block sees at least 127 earlier steps;
+  anything older weighs < 1.5e-20);
 * direction: net dy over the last 15 steps; wrong way when
   net x flow sign < -20 units;
 * first hit per (track, kind) only; ids numbered per camera in detection order,
@@ -45,10 +46,12 @@ WRONG_WAY_SEVERITY = 5
 DEFAULT_FPS = 25.0
 
 # Engine parameters (ours).
-EMA_HISTORY = 128          # steps folded into the EMA; 0.7**128 ~ 1.5e-20
+EMA_HISTORY = 128          # steps of context a block carries; 0.7**128 ~ 1.5e-20
 CHUNK_FRAMES = 4096        # frames per lag / ranking chunk of a track
-BLOCK_STEPS = 1 << 16      # steps per EMA / direction block of a track
+BLOCK_STEPS = 1536         # steps per EMA / direction block of a track
+EMA_MAX_INDEX = 1800       # largest row index of the running-sum EMA (0.7**-1800 ~ 1e279)
 NUMBER_CHUNK_FRAMES = 1 << 16
+UNSPLIT_MAX_ROWS = EMA_MAX_INDEX  # longest track (sightings) run as one window
 MAX_BROADCAST_CAMERAS = 200_000   # ~40 bytes a row: well under 10 MB
 # Violation time = session start + media time (the original used the wall
 # clock at processing time, which no replay can reproduce).
@@ -152,17 +155,37 @@ def steps(s: DataFrame) -> DataFrame:
 
 
 def ema_fold(values: Column) -> Column:
+    """The EMA recurrence as a fold over a list (reference form, O(n) per row)."""
     return F.aggregate(values, F.lit(0.0),
                        lambda acc, x: F.lit(EMA_ALPHA) * x + F.lit(1 - EMA_ALPHA) * acc)
 
 
+def ema_running(x: Column, r: Column, w: Window) -> Column:
+    """EMA (start 0) of ``x`` at row index ``r`` (0-based) of window ``w``.
+
+    s_r = 0.3 x_r + 0.7 s_(r-1) unrolls to 0.7^r * sum_(i<=r) 0.3 * 0.7^(-i) * x_i:
+    an incremental running sum (O(1) per row, inside codegen) instead of
+    re-folding a 128-long list per row.  Speeds are >= 0, so the sum has no
+    cancellation (relative error ~ r * 1e-16).  Callers keep r below
+    ``EMA_MAX_INDEX`` so 0.7^(-r) stays finite.
+    """
+    decay = F.lit(1 - EMA_ALPHA)
+    term = F.lit(EMA_ALPHA) * F.pow(decay, -r) * x
+    running = F.sum(term).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return F.pow(decay, r) * running
+
+
 def smoothed(st: DataFrame) -> DataFrame:
     """Adds smooth_kmh, net_dy, is_wrong_way, is_speeding to every step."""
     halo = EMA_HISTORY - 1
     blk = with_halo_blocks(st, "step_no", halo=halo, block_rows=BLOCK_STEPS)
     w = Window.partitionBy(*KEYS, "_blk").orderBy("step_no")
-    out = (blk.withColumn("smooth_kmh",
-                          ema_fold(F.collect_list("raw_kmh").over(w.rowsBetween(-halo, 0))))
+    # Row index inside the block partition: block 0 starts at step 1, later
+    # blocks start with their 127 context steps.
+    start = F.when(F.col("_blk") == 0, F.lit(1)).otherwise(
+        F.col("_blk") * F.lit(BLOCK_STEPS) + F.lit(1 - halo))
+    r = (F.col("step_no") - start).cast("double")
+    out = (blk.withColumn("smooth_kmh", ema_running(F.col("raw_kmh"), r, w))
            .withColumn("net_dy", F.sum("dy").over(w.rowsBetween(-(DIR_WINDOW - 1), 0)))
            .where(~F.col("_ctx")).drop("_blk", "_ctx"))
     return (out.withColumn("is_wrong_way",
@@ -170,8 +193,26 @@ def smoothed(st: DataFrame) -> DataFrame:
             .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh")))
 
 
-def track_states(det: DataFrame, cameras: DataFrame) -> DataFrame:
-    return smoothed(steps(sightings(det, cameras)))
+def longest_track(s: DataFrame) -> int:
+    """Sightings in the longest track: a partial-aggregated count per track,
+    then one number to the driver."""
+    top = s.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(top or 0)
+
+
+def track_states(det: DataFrame, cameras: DataFrame, split: bool | None = None) -> DataFrame:
+    """Steps with smoothed speed and direction.
+
+    Like a broadcast threshold, the plan is chosen behind a checked size: when
+    the longest track has at most ``UNSPLIT_MAX_ROWS`` sightings, plain
+    per-track windows are small and need one exchange; beyond that (a long or
+    hot track) the chunk / block plan runs, whose tasks never hold a whole
+    track.  Both give the same rows.
+    """
+    s = sightings(det, cameras)
+    if split is None:
+        split = longest_track(s) > UNSPLIT_MAX_ROWS
+    return smoothed(steps(s)) if split else unsplit_from_sightings(s)
 
 
 _HIT_FIELDS = ["step_no", "frame_idx", "det_idx", "t_sec", "class_name", "smooth_kmh",
@@ -267,9 +308,13 @@ def annotated(sm: DataFrame) -> DataFrame:
 
 
 def unsplit_states(det: DataFrame, cameras: DataFrame) -> DataFrame:
-    """The same rules with plain per-track windows (one task per track).
-    Kept as the readable specification; tests check it equals ``track_states``."""
-    s = sightings(det, cameras)
+    return unsplit_from_sightings(sightings(det, cameras))
+
+
+def unsplit_from_sightings(s: DataFrame) -> DataFrame:
+    """The same rules with plain per-track windows (one task per track; used
+    only when the longest track is below the checked bound).  Both windows
+    share one hash partitioning, so this is a single exchange."""
     w = Window.partitionBy(*KEYS).orderBy(*_order())
     pos = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("t_sec").alias("t"))
     st = (s.withColumn("_prev", F.lag(pos).over(w))
@@ -282,9 +327,9 @@ def unsplit_states(det: DataFrame, cameras: DataFrame) -> DataFrame:
           .withColumn("raw_kmh", F.col("dist_m") / F.col("dt") * F.lit(KMH_PER_MPS))
           .withColumn("step_no", F.row_number().over(w).cast("long")))
     ws = Window.partitionBy(*KEYS).orderBy("step_no")
-    st = (st.withColumn("smooth_kmh", ema_fold(F.collect_list("raw_kmh").over(
-        ws.rowsBetween(-(EMA_HISTORY - 1), 0))))
-        .withColumn("net_dy", F.sum("dy").over(ws.rowsBetween(-(DIR_WINDOW - 1), 0))))
+    r = (F.col("step_no") - 1).cast("double")
+    st = (st.withColumn("smooth_kmh", ema_running(F.col("raw_kmh"), r, ws))
+          .withColumn("net_dy", F.sum("dy").over(ws.rowsBetween(-(DIR_WINDOW - 1), 0))))
     return (st.withColumn("is_wrong_way",
                           F.col("net_dy") * F.col("flow_sign") < F.lit(-WRONG_WAY_UNITS))
             .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh")))
