@@ -15,8 +15,8 @@ streaming notion; number the emitted rows in batch (``number_violations``).
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from ..operators import tracking as trk
 from ..schema import DETECTION_SCHEMA, KIND_SPEEDING, KIND_WRONG_WAY
 
 TRACK_IDLE_SECONDS = 3600
+_EMA_SLICE = 1024
 WATERMARK = "10 minutes"
 
 OUTPUT_SCHEMA = ("camera_id int, track_id long, Violation_Type string, step_no long, "
@@ -36,6 +37,7 @@ OUTPUT_SCHEMA = ("camera_id int, track_id long, Violation_Type string, step_no l
 STATE_SCHEMA = ("has_last boolean, last_x double, last_y double, last_t double, "
                 "last_frame long, last_det long, ema double, steps long, "
                 "dys array<double>, wrong_logged boolean, speed_logged boolean")
+# dys keeps the last 14 dy values: with the next step they make the 15-step sum.
 _OUT_COLS = [c.strip().split(" ")[0] for c in OUTPUT_SCHEMA.split(",")]
 
 
@@ -53,57 +55,85 @@ def _session_epoch_ms() -> float:
     return (trk.SESSION_START.replace(tzinfo=_dt.timezone.utc).timestamp()) * 1000.0
 
 
+def _ema_series(raw: np.ndarray, ema0: float) -> np.ndarray:
+    """s_k = 0.3 raw_k + 0.7 s_(k-1), s_0 = ema0, for all k at once: the closed
+    form 0.7^k (ema0 + sum_(i<=k) 0.3 * 0.7^(-i) raw_i), in slices short
+    enough that 0.7^(-i) stays finite."""
+    out = np.empty(len(raw))
+    a, d = trk.EMA_ALPHA, 1 - trk.EMA_ALPHA
+    for lo in range(0, len(raw), _EMA_SLICE):
+        x = raw[lo:lo + _EMA_SLICE]
+        i = np.arange(1, len(x) + 1, dtype=float)
+        out[lo:lo + len(x)] = d ** i * (ema0 + np.cumsum(a * d ** (-i) * x))
+        ema0 = out[lo + len(x) - 1]
+    return out
+
+
 def detect(key, pdfs, state):
+    """One track's micro-batch: vectorised steps, EMA, direction and first
+    hits, continuing from the track's state."""
     if state.hasTimedOut:
         state.remove()
         return
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    if batch.empty:
+    batch = pd.concat([p for p in pdfs if len(p)], ignore_index=True) if pdfs else None
+    if batch is None or batch.empty:
         return
     batch = batch.sort_values(["frame_idx", "det_idx"], kind="stable")
     if state.exists:
-        (has_last, lx, ly, lt, lf, ld, ema, steps, dys, wlog, slog) = state.get
+        (has_last, lx, ly, lt, lf, ld, ema0, steps0, dys, wlog, slog) = state.get
         dys = list(dys or [])
+        newer = (batch["frame_idx"] > lf) | ((batch["frame_idx"] == lf) & (batch["det_idx"] > ld))
+        batch = batch[newer.to_numpy()]
     else:
-        has_last, lx, ly, lt, lf, ld, ema, steps, dys, wlog, slog = (
+        has_last, lx, ly, lt, lf, ld, ema0, steps0, dys, wlog, slog = (
             False, 0.0, 0.0, 0.0, -1, -1, 0.0, 0, [], False, False)
+    if batch.empty:
+        return
+    tx, ty = batch["tx"].to_numpy(float), batch["ty"].to_numpy(float)
+    t = batch["t_sec"].to_numpy(float)
+    seed = (lx, ly, lt) if has_last else (np.nan, np.nan, np.nan)
+    px, py, pt = (np.concatenate(([v], a[:-1])) for v, a in zip(seed, (tx, ty, t)))
+    with np.errstate(invalid="ignore"):
+        is_step = ~np.isnan(pt) & ((t - pt) > trk.DT_MIN)
+    idx = np.flatnonzero(is_step)
     out = []
-    alpha = trk.EMA_ALPHA
-    for r in batch.itertuples(index=False):
-        if has_last and (r.frame_idx, r.det_idx) <= (lf, ld):
-            continue
-        if not has_last:
-            has_last, lx, ly, lt, lf, ld = True, r.tx, r.ty, r.t_sec, r.frame_idx, r.det_idx
-            continue
-        dt = r.t_sec - lt
-        if not dt > trk.DT_MIN:
-            lx, ly, lt, lf, ld = r.tx, r.ty, r.t_sec, r.frame_idx, r.det_idx
-            continue
-        dx, dy = r.tx - lx, r.ty - ly
-        raw = math.sqrt(dx * dx + dy * dy) * METRES_PER_UNIT / dt * trk.KMH_PER_MPS
-        ema = alpha * raw + (1 - alpha) * ema
-        steps += 1
-        dys.append(dy)
-        if len(dys) > trk.DIR_WINDOW:
-            dys.pop(0)
-        net = 0.0
-        for v in dys:
-            net += v
-        base = dict(camera_id=r.camera_id, track_id=r.track_id, step_no=steps,
-                    frame_idx=r.frame_idx, det_idx=r.det_idx, t_sec=r.t_sec,
-                    class_name=r.class_name, smooth_kmh=ema, latitude=r.latitude,
-                    longitude=r.longitude, speed_limit_kmh=r.speed_limit_kmh)
-        if net * r.flow_sign < -trk.WRONG_WAY_UNITS and not wlog:
+    ema_last = ema0
+    if len(idx):
+        dx, dy, dt = tx[idx] - px[idx], ty[idx] - py[idx], t[idx] - pt[idx]
+        raw = np.sqrt(dx * dx + dy * dy) * METRES_PER_UNIT / dt * trk.KMH_PER_MPS
+        ema = _ema_series(raw, ema0)
+        hist = np.concatenate((np.zeros(trk.DIR_WINDOW - 1 - len(dys[-(trk.DIR_WINDOW - 1):])),
+                               np.asarray(dys[-(trk.DIR_WINDOW - 1):], float), dy))
+        net = np.lib.stride_tricks.sliding_window_view(hist, trk.DIR_WINDOW).sum(axis=1)
+        first = batch.iloc[0]
+        wrong = net * float(first["flow_sign"]) < -trk.WRONG_WAY_UNITS
+        over = ema > float(first["speed_limit_kmh"])
+        rows = batch.iloc[idx]
+
+        def emit(k: int, kind: str, sev: int) -> None:
+            r = rows.iloc[k]
+            out.append(dict(camera_id=r.camera_id, track_id=r.track_id,
+                            Violation_Type=kind, step_no=steps0 + k + 1,
+                            frame_idx=r.frame_idx, det_idx=r.det_idx, t_sec=r.t_sec,
+                            class_name=r.class_name, smooth_kmh=float(ema[k]),
+                            latitude=r.latitude, longitude=r.longitude,
+                            speed_limit_kmh=r.speed_limit_kmh, Severity=sev))
+
+        if not wlog and wrong.any():
             wlog = True
-            out.append({**base, "Violation_Type": KIND_WRONG_WAY,
-                        "Severity": trk.WRONG_WAY_SEVERITY})
-        if ema > r.speed_limit_kmh and not slog:
+            emit(int(np.argmax(wrong)), KIND_WRONG_WAY, trk.WRONG_WAY_SEVERITY)
+        if not slog and over.any():
             slog = True
-            out.append({**base, "Violation_Type": KIND_SPEEDING,
-                        "Severity": _severity(ema, r.speed_limit_kmh)})
-        lx, ly, lt, lf, ld = r.tx, r.ty, r.t_sec, r.frame_idx, r.det_idx
-    state.update((has_last, lx, ly, lt, int(lf), int(ld), ema, steps, dys, wlog, slog))
-    latest_ms = _session_epoch_ms() + float(batch["t_sec"].max()) * 1000.0
+            k = int(np.argmax(over))
+            emit(k, KIND_SPEEDING, _severity(float(ema[k]), float(first["speed_limit_kmh"])))
+        ema_last = float(ema[-1])
+        steps0 += len(idx)
+        dys = (list(dys) + dy.tolist())[-(trk.DIR_WINDOW - 1):]
+    last = batch.iloc[-1]
+    state.update((True, float(last.tx), float(last.ty), float(last.t_sec), int(last.frame_idx),
+                  int(last.det_idx), ema_last, int(steps0), [float(v) for v in dys],
+                  wlog, slog))
+    latest_ms = _session_epoch_ms() + float(np.nanmax(t)) * 1000.0
     state.setTimeoutTimestamp(int(latest_ms + TRACK_IDLE_SECONDS * 1000))
     if out:
         yield pd.DataFrame(out)[_OUT_COLS]
