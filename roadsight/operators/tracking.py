@@ -294,12 +294,17 @@ def violation_log(det: DataFrame, cameras: DataFrame,
 
 def annotated(sm: DataFrame) -> DataFrame:
     """Per step: red flag (wrong way logged so far, or over the limit now) and
-    the overlay label.  The per-track first wrong-way step is joined back;
-    AQE splits a hot track's partition if one dominates."""
-    sm = materialize(sm)
-    fw = first_hits(sm).select(*KEYS, F.col("w.step_no").alias("_w_step"))
-    j = sm.join(fw, KEYS, "left")
-    wrong_so_far = F.coalesce(F.col("step_no") >= F.col("_w_step"), F.lit(False))
+    the overlay label.  The plain plan carries ``wrong_so_far`` from its
+    window; after the split plan the per-track first wrong-way step is joined
+    back (AQE splits a hot track's partition if one dominates)."""
+    if "wrong_so_far" in sm.columns:
+        j, wrong_so_far = sm, F.col("wrong_so_far")
+    else:
+        # Split plan: the first wrong-way step of each track, joined back.
+        sm = materialize(sm)
+        fw = first_hits(sm).select(*KEYS, F.col("w.step_no").alias("_w_step"))
+        j = sm.join(fw, KEYS, "left")
+        wrong_so_far = F.coalesce(F.col("step_no") >= F.col("_w_step"), F.lit(False))
     label = F.concat(F.format_string("ID %d: %.1f km/h", F.col("track_id"), F.col("smooth_kmh")),
                      F.when(wrong_so_far, F.lit(" (WRONG)")).otherwise(F.lit("")))
     return (j.withColumn("wrong_so_far", wrong_so_far)
@@ -330,6 +335,9 @@ def unsplit_from_sightings(s: DataFrame) -> DataFrame:
     r = (F.col("step_no") - 1).cast("double")
     st = (st.withColumn("smooth_kmh", ema_running(F.col("raw_kmh"), r, ws))
           .withColumn("net_dy", F.sum("dy").over(ws.rowsBetween(-(DIR_WINDOW - 1), 0))))
-    return (st.withColumn("is_wrong_way",
-                          F.col("net_dy") * F.col("flow_sign") < F.lit(-WRONG_WAY_UNITS))
-            .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh")))
+    wrong = F.col("net_dy") * F.col("flow_sign") < F.lit(-WRONG_WAY_UNITS)
+    return (st.withColumn("is_wrong_way", wrong)
+            .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh"))
+            # wrong way logged at or before this step: a running max on the same window
+            .withColumn("wrong_so_far", F.max(F.col("is_wrong_way").cast("int")).over(
+                ws.rowsBetween(Window.unboundedPreceding, 0)) > 0))

@@ -120,3 +120,11 @@ def test_stream_equals_batch(spark, edge, tmp_path):
     want = {(r.camera_id, r.track_id, r.Violation_Type, r.frame_idx, r.Severity)
             for r in trk.violation_events(trk.track_states(det, cams)).collect()}
     assert got == want and len(want) > 3
+
+
+def test_annotation_same_on_both_plans(edge, tiny_chunks):
+    _, det, cams = edge
+    cols = ["camera_id", "track_id", "step_no", "wrong_so_far", "flag", "label"]
+    a = trk.annotated(trk.track_states(det, cams, split=True)).select(*cols).collect()
+    b = trk.annotated(trk.track_states(det, cams, split=False)).select(*cols).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 900
