@@ -25,7 +25,8 @@ SEED = 42
 STARTS = 10
 MIN_POINTS = 20
 MAX_ITER = 300
-PARALLEL_STARTS = 4
+PARALLEL_STARTS = 10
+POINTS_PER_TASK = 200_000
 
 CENTER_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
@@ -47,6 +48,11 @@ def fit_zones(fact: DataFrame, k: int = K, seed: int = SEED, starts: int = START
     weighted = asm.transform(pts.groupBy("Latitude", "Longitude")
                              .agg(F.count(F.lit(1)).cast("double").alias("weight")))
     weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    # Size the iteration's partitions by the distinct locations (each k-means
+    # step is one job over them): a few points -> one task, millions -> many.
+    n_distinct = weighted.count()
+    parts = max(1, min(weighted.rdd.getNumPartitions(), -(-n_distinct // POINTS_PER_TASK)))
+    weighted = weighted.coalesce(parts)
 
     def fit(i: int):
         model = KMeans(k=k, seed=seed + i, maxIter=MAX_ITER, weightCol="weight",
