@@ -155,7 +155,7 @@ def steps(s: DataFrame) -> DataFrame:
 
 
 def ema_fold(values: Column) -> Column:
-    """The EMA recurrence as a fold over a list (reference form, O(n) per row)."""
+    """The EMA recurrence as a fold over a list (list form, O(n) per row)."""
     return F.aggregate(values, F.lit(0.0),
                        lambda acc, x: F.lit(EMA_ALPHA) * x + F.lit(1 - EMA_ALPHA) * acc)
 

@@ -76,7 +76,7 @@ def build_marts(spark: SparkSession, fact: DataFrame, cut_lineage: bool = True)
 
 
 def direct_marts(fact: DataFrame) -> dict[str, DataFrame]:
-    """Each mart straight from the fact (one aggregate each); the reference
+    """Each mart straight from the fact (one aggregate each); the plain
     shape the roll-up path must equal."""
     return {
         "hourly": agg.violations_per_hour(fact),
