@@ -316,6 +316,8 @@ def tracking_queries() -> dict[str, str]:
         "speeding_violations": with_tracks(f"select {_HIT_COLS} from vv"),
         "wrong_way_violations": with_tracks(f"select {_HIT_COLS} from ww"),
         "violation_log": with_tracks("select * from logv"),
+        "stream_violations": with_tracks(
+            f"select {_HIT_COLS} from ww union all select {_HIT_COLS} from vv"),
         "annotated_tracks": with_tracks(
             f"""select {k}, step_no, wrong_so_far, wrong_so_far or is_speeding as flag,
                        printf('ID %d: %.1f km/h', track_id, smooth_kmh)
