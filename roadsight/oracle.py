@@ -9,7 +9,7 @@ constants are written with an exponent so both engines read them as DOUBLE.
 from __future__ import annotations
 
 from .functions.geometry import METRES_PER_UNIT, road_homography, sql_double as d
-from .operators.tracking import (CHUNK_FRAMES, DIR_WINDOW, DT_MIN, EMA_ALPHA, EMA_HISTORY,
+from .operators.tracking import (DIR_WINDOW, DT_MIN, EMA_ALPHA, EMA_HISTORY,
                                  KMH_PER_MPS, WRONG_WAY_UNITS, SESSION_START)
 from .queries_params import DEMO_SELECTION
 from .sources.fixtures import FIXTURE_CAMERAS, FIXTURE_FPS

@@ -3,8 +3,6 @@ K-Means zones and the streaming detector."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from .operators import clustering, tracking as trk
