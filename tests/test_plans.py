@@ -42,3 +42,19 @@ def test_date_filter_prunes_partitions(spark):
     df = entry.queries()["fact_partitioned_roundtrip"](spark, SF001)
     plan = _plan(df)
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1]
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    qs = entry.queries()
+    names = ["time_features", "filter_by_date", "violation_log", "ingest_csv_roundtrip"]
+
+    def run():
+        return {n: sorted(map(str, qs[n](spark, SF001).collect())) for n in names}
+
+    base = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == other
