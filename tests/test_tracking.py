@@ -128,3 +128,33 @@ def test_annotation_same_on_both_plans(edge, tiny_chunks):
     a = trk.annotated(trk.track_states(det, cams, split=True)).select(*cols).collect()
     b = trk.annotated(trk.track_states(det, cams, split=False)).select(*cols).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 900
+
+
+def test_hot_track_takes_split_plan_and_matches_twin(spark):
+    """Default chunk / block sizes: a 5,000-sighting track forces the split plan
+    (2 frame chunks, 4 step blocks) and still matches the sequential rules."""
+    rows, did = [], 0
+    for f in range(5000):                      # hot: slowly crawling, then fast, then back
+        y = 200 + (f // 3 if f < 2500 else 833 + 3 * (f - 2500) if f < 4000 else 5333 - (f - 4000))
+        rows.append(dict(camera_id=0, track_id=99, frame_idx=f, t_sec=f / 25.0, det_idx=did,
+                         class_name="truck", x1=900, x2=1000, y2=y % 1100))
+        did += 1
+    for tid in range(3):
+        for f in range(40):
+            rows.append(dict(camera_id=1, track_id=tid, frame_idx=f, t_sec=f / 25.0,
+                             det_idx=did, class_name="car", x1=880, x2=1000, y2=300 + 5 * f))
+            did += 1
+    det = spark.createDataFrame([tuple(r[fl.name] for fl in DETECTION_SCHEMA.fields)
+                                 for r in rows], DETECTION_SCHEMA)
+    cams = spark.createDataFrame([(k, *v) for k, v in EDGE_CAMERAS.items()], CAMERA_SCHEMA)
+    assert trk.longest_track(trk.sightings(det, cams)) > trk.UNSPLIT_MAX_ROWS
+    want, twin_steps = twin_run(rows, EDGE_CAMERAS)
+    states = _steps_map(trk.track_states(det, cams))
+    assert states.keys() == twin_steps.keys()
+    for k, (ema, net) in twin_steps.items():
+        assert math.isclose(states[k][1], ema, rel_tol=1e-9, abs_tol=1e-9), k
+        assert math.isclose(states[k][2], net, rel_tol=1e-9, abs_tol=1e-6), k
+    got = trk.violation_log(det, cams).collect()
+    key = lambda d: (d["camera_id"], d["Violation_ID"], d["Violation_Type"], d["track_id"],
+                     d["Severity"])
+    assert sorted(key(r.asDict()) for r in got) == sorted(key(d) for d in want)
