@@ -51,8 +51,7 @@ def fit_zones(fact: DataFrame, k: int = K, seed: int = SEED, starts: int = START
     # Size the iteration's partitions by the distinct locations (each k-means
     # step is one job over them): a few points -> one task, millions -> many.
     n_distinct = weighted.count()
-    parts = max(1, min(weighted.rdd.getNumPartitions(), -(-n_distinct // POINTS_PER_TASK)))
-    weighted = weighted.coalesce(parts)
+    weighted = weighted.coalesce(max(1, -(-n_distinct // POINTS_PER_TASK)))
 
     def fit(i: int):
         model = KMeans(k=k, seed=seed + i, maxIter=MAX_ITER, weightCol="weight",

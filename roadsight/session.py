@@ -43,7 +43,10 @@ def get_session(app: str = "roadsight", master: str | None = None,
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect
+        pass
     return spark
 
 
@@ -54,13 +57,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     context).  Only when neither is set and the master is local is a private
     folder created and registered, as tests need.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the server reads the conf
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if root:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for this cluster")
     root = tempfile.mkdtemp(prefix="roadsight-ckpt-")
