@@ -154,18 +154,12 @@ def steps(s: DataFrame) -> DataFrame:
                   "_p", BUCKET))
 
 
-def ema_fold(values: Column) -> Column:
-    """The EMA recurrence as a fold over a list (list form, O(n) per row)."""
-    return F.aggregate(values, F.lit(0.0),
-                       lambda acc, x: F.lit(EMA_ALPHA) * x + F.lit(1 - EMA_ALPHA) * acc)
-
-
 def ema_running(x: Column, r: Column, w: Window) -> Column:
     """EMA (start 0) of ``x`` at row index ``r`` (0-based) of window ``w``.
 
     s_r = 0.3 x_r + 0.7 s_(r-1) unrolls to 0.7^r * sum_(i<=r) 0.3 * 0.7^(-i) * x_i:
-    an incremental running sum (O(1) per row, inside codegen) instead of
-    re-folding a 128-long list per row.  Speeds are >= 0, so the sum has no
+    an incremental running-sum frame (O(1) per row) instead of re-folding a
+    128-long list per row.  Speeds are >= 0, so the sum has no
     cancellation (relative error ~ r * 1e-16).  Callers keep r below
     ``EMA_MAX_INDEX`` so 0.7^(-r) stays finite.
     """
