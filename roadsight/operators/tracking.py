@@ -25,6 +25,7 @@ halo), see ``sequence``.  Results equal the unsplit windows exactly.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ DEFAULT_FPS = 25.0
 
 # Engine parameters (ours).
 EMA_HISTORY = 128          # steps of context a block carries; 0.7**128 ~ 1.5e-20
-CHUNK_FRAMES = 4096        # frames per lag / ranking chunk of a track
+CHUNK_FRAMES = 4096        # least frames per lag / ranking chunk of a track
 BLOCK_STEPS = 1536         # steps per EMA / direction block of a track
 EMA_MAX_INDEX = 1800       # largest row index of the running-sum EMA (0.7**-1800 ~ 1e279)
 NUMBER_CHUNK_FRAMES = 1 << 16
@@ -96,7 +97,7 @@ def sightings(det: DataFrame, cameras: DataFrame) -> DataFrame:
                         .otherwise(F.lit(-1.0))))
 
 
-def steps(s: DataFrame) -> DataFrame:
+def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
     """One row per step with dx, dy, dt, dist_m, raw_kmh and its exact 1-based
     ``step_no`` within the track.
 
@@ -110,7 +111,8 @@ def steps(s: DataFrame) -> DataFrame:
     the summary branch re-reads pass 1 through a narrow (6-column) shuffle
     rather than writing the wide pass-1 rows out and shuffling them again.
     """
-    b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(CHUNK_FRAMES)))
+    width = chunk_frames or CHUNK_FRAMES
+    b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(width)))
     w = Window.partitionBy(*KEYS, BUCKET).orderBy(*_order())
     pos = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("t_sec").alias("t"))
     inner_step = (F.col("t_sec") - F.col("_prev.t")) > F.lit(DT_MIN)
@@ -204,9 +206,15 @@ def track_states(det: DataFrame, cameras: DataFrame, split: bool | None = None)
     track.  Both give the same rows.
     """
     s = sightings(det, cameras)
+    width = None
     if split is None:
-        split = longest_track(s) > UNSPLIT_MAX_ROWS
-    return smoothed(steps(s)) if split else unsplit_from_sightings(s)
+        longest = longest_track(s)
+        split = longest > UNSPLIT_MAX_ROWS
+        # Chunks of sqrt(longest) frames: a dense hot track of N sightings
+        # becomes ~sqrt(N) chunk tasks of ~sqrt(N) rows, and its per-chunk
+        # summary (ordered per track) also has ~sqrt(N) rows.
+        width = max(CHUNK_FRAMES, math.isqrt(longest) + 1)
+    return smoothed(steps(s, width)) if split else unsplit_from_sightings(s)
 
 
 _HIT_FIELDS = ["step_no", "frame_idx", "det_idx", "t_sec", "class_name", "smooth_kmh",
