@@ -32,6 +32,13 @@ def _sum_by(r: DataFrame, *keys) -> DataFrame:
     return r.groupBy(*keys).agg(F.sum(N).cast("long").alias(N))
 
 
+def _small_sorted(df: DataFrame, *order) -> DataFrame:
+    """Total order for a mart bounded by a tiny key domain (hours, days, types,
+    windows): one partition sorted locally, so no range-sampling job and no
+    range exchange.  Location-keyed marts keep the global sort."""
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
 def marts_from_rollups(tr: DataFrame, lr: DataFrame) -> dict[str, DataFrame]:
     tr = (tr.withColumn("day_type", time.day_type(F.col("day_of_week")))
           .withColumn("hour_window", time.hour_window(F.col("hour"))))
@@ -39,9 +46,9 @@ def marts_from_rollups(tr: DataFrame, lr: DataFrame) -> dict[str, DataFrame]:
              for h in ALL_HOURS]
     cells.append(F.sum(F.when(F.col("hour").isNull(), F.col(N)).otherwise(0)).cast("long")
                  .alias(NULL_COLUMN))
-    matrix = (tr.groupBy(F.coalesce(F.col("Violation_Type"), F.lit(NULL_COLUMN))
-                         .alias("Violation_Type_hour")).agg(*cells)
-              .orderBy("Violation_Type_hour"))
+    matrix = _small_sorted(tr.groupBy(F.coalesce(F.col("Violation_Type"), F.lit(NULL_COLUMN))
+                                      .alias("Violation_Type_hour")).agg(*cells),
+                           "Violation_Type_hour")
     all_loc = lr.orderBy(*by_count_desc("Latitude", "Longitude"))
     g = (lr.withColumn("grid_cell", grid.grid_cell(grid.coord_bin(F.col("Latitude")),
                                                    grid.coord_bin(F.col("Longitude"))))
@@ -53,16 +60,20 @@ def marts_from_rollups(tr: DataFrame, lr: DataFrame) -> dict[str, DataFrame]:
                / F.sum(F.when(F.col("Longitude").isNotNull(), F.col(N)))).alias("avg_lon"))
          .orderBy(*by_count_desc("grid_cell")))
     return {
-        "hourly": _sum_by(tr, "hour").orderBy(F.col("hour").asc_nulls_first()),
-        "daily": _sum_by(tr, "day_of_week").orderBy(F.col("day_of_week").asc_nulls_first()),
-        "type_summary": _sum_by(tr, "Violation_Type").orderBy(*by_count_desc("Violation_Type")),
+        "hourly": _small_sorted(_sum_by(tr, "hour"), F.col("hour").asc_nulls_first()),
+        "daily": _small_sorted(_sum_by(tr, "day_of_week"),
+                               F.col("day_of_week").asc_nulls_first()),
+        "type_summary": _small_sorted(_sum_by(tr, "Violation_Type"),
+                                      *by_count_desc("Violation_Type")),
         "type_hour_matrix": matrix,
         "all_locations": all_loc,
         "top_locations": all_loc.limit(10),
-        "time_window": _sum_by(tr, "hour_window").orderBy(F.col("hour_window").asc_nulls_first()),
-        "daytype": _sum_by(tr, "day_type").orderBy("day_type"),
-        "type_time": _sum_by(tr, "Violation_Type", "hour_window").orderBy(
-            F.col("Violation_Type").asc_nulls_first(), F.col("hour_window").asc_nulls_first()),
+        "time_window": _small_sorted(_sum_by(tr, "hour_window"),
+                                     F.col("hour_window").asc_nulls_first()),
+        "daytype": _small_sorted(_sum_by(tr, "day_type"), "day_type"),
+        "type_time": _small_sorted(_sum_by(tr, "Violation_Type", "hour_window"),
+                                   F.col("Violation_Type").asc_nulls_first(),
+                                   F.col("hour_window").asc_nulls_first()),
         "spatial_grid": g,
     }
 
