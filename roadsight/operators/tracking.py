@@ -171,8 +171,10 @@ def ema_running(x: Column, r: Column, w: Window) -> Column:
     return F.pow(decay, r) * running
 
 
-def smoothed(st: DataFrame) -> DataFrame:
-    """Adds smooth_kmh, net_dy, is_wrong_way, is_speeding to every step."""
+def smoothed(st: DataFrame, with_flag: bool = False) -> DataFrame:
+    """Adds smooth_kmh, net_dy, is_wrong_way, is_speeding to every step (and
+    ``wrong_so_far`` when asked: a running max inside the block plus a carry
+    from a per-block summary, joined back on the block partitioning)."""
     halo = EMA_HISTORY - 1
     blk = with_halo_blocks(st, "step_no", halo=halo, block_rows=BLOCK_STEPS)
     w = Window.partitionBy(*KEYS, "_blk").orderBy("step_no")
@@ -183,10 +185,22 @@ def smoothed(st: DataFrame) -> DataFrame:
     r = (F.col("step_no") - start).cast("double")
     out = (blk.withColumn("smooth_kmh", ema_running(F.col("raw_kmh"), r, w))
            .withColumn("net_dy", F.sum("dy").over(w.rowsBetween(-(DIR_WINDOW - 1), 0)))
-           .where(~F.col("_ctx")).drop("_blk", "_ctx"))
-    return (out.withColumn("is_wrong_way",
-                           F.col("net_dy") * F.col("flow_sign") < F.lit(-WRONG_WAY_UNITS))
-            .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh")))
+           .where(~F.col("_ctx")).drop("_ctx"))
+    out = (out.withColumn("is_wrong_way",
+                          F.col("net_dy") * F.col("flow_sign") < F.lit(-WRONG_WAY_UNITS))
+           .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh")))
+    if not with_flag:
+        return out.drop("_blk")
+    wrong = F.col("is_wrong_way").cast("int")
+    out = out.withColumn("_wb", F.max(wrong).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    per_block = out.groupBy(*KEYS, "_blk").agg(F.max(wrong).alias("_bw"))
+    carry = per_block.select(*KEYS, "_blk", F.coalesce(F.max("_bw").over(
+        Window.partitionBy(*KEYS).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("_carry"))
+    return (out.join(carry, [*KEYS, "_blk"])
+            .withColumn("wrong_so_far", (F.col("_wb") > 0) | (F.col("_carry") > 0))
+            .drop("_blk", "_wb", "_carry"))
 
 
 def longest_track(s: DataFrame) -> int:
@@ -196,9 +210,11 @@ def longest_track(s: DataFrame) -> int:
     return int(top or 0)
 
 
-def track_states(det: DataFrame, cameras: DataFrame, split: bool | None = None) -> DataFrame:
+def track_states(det: DataFrame, cameras: DataFrame, split: bool | None = None,
+                 with_flag: bool = False) -> DataFrame:
     """Steps with smoothed speed and direction.
 
+    ``with_flag`` adds ``wrong_so_far`` (the plain plan always has it).
     Like a broadcast threshold, the plan is chosen behind a checked size: when
     the longest track has at most ``UNSPLIT_MAX_ROWS`` sightings, plain
     per-track windows are small and need one exchange; beyond that (a long or
@@ -214,7 +230,7 @@ def track_states(det: DataFrame, cameras: DataFrame, split: bool | None = None)
         # becomes ~sqrt(N) chunk tasks of ~sqrt(N) rows, and its per-chunk
         # summary (ordered per track) also has ~sqrt(N) rows.
         width = max(CHUNK_FRAMES, math.isqrt(longest) + 1)
-    return smoothed(steps(s, width)) if split else unsplit_from_sightings(s)
+    return smoothed(steps(s, width), with_flag) if split else unsplit_from_sightings(s)
 
 
 _HIT_FIELDS = ["step_no", "frame_idx", "det_idx", "t_sec", "class_name", "smooth_kmh",

@@ -93,7 +93,8 @@ def q_violation_log(spark, sf_dir):
 
 
 def q_annotated_tracks(spark, sf_dir):
-    return trk.annotated(states(spark, sf_dir)).select(
+    sm = trk.track_states(*_inputs(spark, sf_dir), with_flag=True)
+    return trk.annotated(sm).select(
         *K, "step_no", "wrong_so_far", "flag", "label")
 
 

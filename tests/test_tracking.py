@@ -127,7 +127,10 @@ def test_annotation_same_on_both_plans(edge, tiny_chunks):
     cols = ["camera_id", "track_id", "step_no", "wrong_so_far", "flag", "label"]
     a = trk.annotated(trk.track_states(det, cams, split=True)).select(*cols).collect()
     b = trk.annotated(trk.track_states(det, cams, split=False)).select(*cols).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 900
+    c = trk.annotated(trk.track_states(det, cams, split=True, with_flag=True)) \
+        .select(*cols).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) == sorted(map(tuple, c))
+    assert len(a) > 900
 
 
 def test_hot_track_takes_split_plan_and_matches_twin(spark):
