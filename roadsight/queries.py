@@ -20,8 +20,6 @@ from .queries_params import DATES_ONLY, DEMO_SELECTION, SEVERITY_ONLY, TYPES_ONL
 from .sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
-FACT_COLS = ["Violation_ID", "Timestamp", "Latitude", "Longitude", "Violation_Type",
-             "Vehicle_Type", "Severity"]
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
