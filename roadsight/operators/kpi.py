@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .aggregates import N, by_count_desc, count_by, grid_stats, violations_per_hour
+from ..schema import VIOLATION_COLUMNS
 from .selection import Selection, apply_selection, valid_coordinates
 
 HIGH_SEVERITY = 4  # fixed value: "Sev 4+"
@@ -78,7 +79,7 @@ def filtered_sample(df: DataFrame, sel: Selection | None = None, n: int = 200) -
     order = [F.col(c).asc_nulls_first() for c in
              ("Violation_ID", "Timestamp", "Latitude", "Longitude",
               "Violation_Type", "Vehicle_Type", "Severity")]
-    return apply_selection(df, sel).orderBy(*order).limit(n)
+    return apply_selection(df, sel).select(*VIOLATION_COLUMNS).orderBy(*order).limit(n)
 
 
 def record_count(df: DataFrame) -> DataFrame:

@@ -35,8 +35,17 @@ class Selection:
         return preds
 
 
+PARTITION_DATE = "event_date"   # partition column of the stored fact
+
+
 def apply_selection(df: DataFrame, sel: Selection | None) -> DataFrame:
+    """Conjunction of the selection's predicates.  On a fact stored by date
+    the date range is also stated on the partition column, so whole days are
+    pruned before any file is opened."""
     preds = sel.predicates() if sel else []
+    if sel and sel.date_range and len(sel.date_range) == 2 and PARTITION_DATE in df.columns:
+        start, end = sel.date_range
+        preds.append(F.col(PARTITION_DATE).between(F.lit(start), F.lit(end)))
     return df.where(reduce(lambda a, b: a & b, preds)) if preds else df
 
 

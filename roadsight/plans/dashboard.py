@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from ..operators import aggregates as agg
 from ..operators import kpi
 from ..operators.selection import Selection, apply_selection
+from ..schema import VIOLATION_COLUMNS
 from ..sources.exports import export_csv, export_json
 
 
@@ -37,7 +38,7 @@ def dashboard(fact: DataFrame, sel: Selection | None = None) -> dict[str, DataFr
 
 def export_filtered(fact: DataFrame, sel: Selection | None, path: str, fmt: str = "csv") -> None:
     """Full filtered rows (CSV with header, or JSON records)."""
-    rows = apply_selection(fact, sel)
+    rows = apply_selection(fact, sel).select(*VIOLATION_COLUMNS)
     (export_csv if fmt == "csv" else export_json)(rows, path)
 
 

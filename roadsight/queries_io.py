@@ -12,6 +12,7 @@ from .plans.marts import mart_summary, run_mart_job
 from .plans.violations import hotspots_from_detections
 from .queries import fact
 from .queries_params import DEMO_SELECTION
+from .schema import VIOLATION_COLUMNS
 from .session import scratch_path
 from .sources import exports, fixtures
 from .sources.csv_source import read_violations_csv, write_violations_csv
@@ -31,13 +32,15 @@ def q_mart_roundtrip(spark, sf_dir):
 
 def q_export_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "export-csv")
-    exports.export_csv(apply_selection(fact(spark, sf_dir), DEMO_SELECTION), path)
+    rows = apply_selection(fact(spark, sf_dir), DEMO_SELECTION).select(*VIOLATION_COLUMNS)
+    exports.export_csv(rows, path)
     return exports.read_export_csv(spark, path)
 
 
 def q_export_json_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "export-json")
-    exports.export_json(apply_selection(fact(spark, sf_dir), DEMO_SELECTION), path)
+    rows = apply_selection(fact(spark, sf_dir), DEMO_SELECTION).select(*VIOLATION_COLUMNS)
+    exports.export_json(rows, path)
     return exports.read_export_json(spark, path)
 
 

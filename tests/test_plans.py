@@ -20,10 +20,11 @@ def _plan(df):
 def test_column_pruning_and_pushdown(spark):
     qs = entry.queries()
     by_type = _plan(qs["violations_by_type"](spark, SF001))
-    assert "ReadSchema: struct<event_type:string>" in by_type or \
-        "FileScan parquet [event_type" in by_type
-    flt = _plan(qs["filter_by_type"](spark, SF001))
-    assert "PushedFilters: [In(event_type" in flt or "In(event_type" in flt
+    assert "ReadSchema: struct<Violation_Type:string>" in by_type
+    flt = _plan(qs["filter_combined"](spark, SF001))
+    assert "In(Violation_Type" in flt and "In(Severity" in flt
+    assert "PushedFilters: [IsNotNull(Timestamp)" in flt
+    assert "PartitionFilters: [" in flt and "event_date" in flt.split("PartitionFilters: [")[1]
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - IO_QUERIES))
