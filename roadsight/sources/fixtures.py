@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.severity import severity_score
 from ..operators.sequence import exact_positions
-from ..schema import CAMERA_SCHEMA
-from ..session import materialize
+from ..schema import CAMERA_SCHEMA, DETECTION_SCHEMA
+from ..session import scratch_path
 
 # The camera settings of the four fixture cameras
 # (camera_id, latitude, longitude, speed_limit_kmh, flow_positive_y).
@@ -102,8 +102,17 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations_from_events(table(spark, sf_dir, "events"))
 
 
+_STORED_DETECTIONS: dict[tuple[str, str], str] = {}
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detection table derived from ``events``, written once to the shared
-    checkpoint folder so every consumer reads stored rows, as it would read
-    a real detection table."""
-    return materialize(detections_from_events(table(spark, sf_dir, "events")))
+    """The detection table derived from ``events``: written once per session
+    and input folder as Parquet in the shared checkpoint folder, then read
+    like the real detection table it stands for."""
+    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir))
+    path = _STORED_DETECTIONS.get(key)
+    if path is None:
+        path = scratch_path(spark, "detections")
+        detections_from_events(table(spark, sf_dir, "events")).write.parquet(path)
+        _STORED_DETECTIONS[key] = path
+    return spark.read.schema(DETECTION_SCHEMA).parquet(path)
