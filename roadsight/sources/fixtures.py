@@ -8,6 +8,7 @@ user, 25 frames a second).  The same rules are written as SQL in
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ FIXTURE_VALUE_LIMIT = 50.0
 FIXTURE_VEHICLE_BY_USER_MOD4 = ["car", "truck", "bus", "motorcycle"]
 FIXTURE_CLASS_BY_USER_MOD5 = ["car", "truck", "bus", "motorcycle", "person"]
 
-# Events of one user are ranked inside id ranges of this width.
+# Events of one user are ranked inside id ranges of at least this width.
 EVENT_ID_BUCKET = 1 << 16
 
 
@@ -74,8 +75,12 @@ def detections_from_events(events: DataFrame) -> DataFrame:
     a whole user in one task (see ``exact_positions``).
     """
     ev = events.select("event_id", "user_id").where(F.col("user_id").isNotNull())
+    # Id ranges of max(2^16, sqrt(id span)): a user holding a third of all
+    # events is ranked in ~sqrt(span) buckets of ~sqrt(span) ids each.
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    width = max(EVENT_ID_BUCKET, math.isqrt(max(0, (hi or 0) - (lo or 0))) + 1)
     ranked = exact_positions(ev, ["user_id"], [F.col("event_id")],
-                             F.floor(F.col("event_id") / F.lit(EVENT_ID_BUCKET)), "pos")
+                             F.floor(F.col("event_id") / F.lit(width)), "pos")
     uid, eid, f = F.col("user_id"), F.col("event_id"), F.col("pos") - 1
     step = F.lit(1) + uid % 9
     jitter = eid % 3
