@@ -5,8 +5,8 @@ A plain ``row_number().over(Window.partitionBy(key))`` sorts every row of a key
 inside a single task; one hot key (a camera, a long track, a busy user) then
 becomes the whole job.  Here every key is cut into *buckets* that are monotone
 in the ordering (a frame range, an id range).  Only a small per-bucket summary
-is ordered per key; rows are ranked inside their bucket, so the largest task
-holds one bucket.  Bounded look-back frames (lag, the last n steps) then run
+is ordered per key (itself in two levels, see ``exclusive_prefix``); rows are
+ranked inside their bucket, so the largest task holds one bucket.  Bounded look-back frames (lag, the last n steps) then run
 over fixed-size position blocks, each carrying the last ``halo`` rows of the
 block before it as read-only context.
 """
@@ -21,28 +21,10 @@ from pyspark.sql import functions as F
 BUCKET = "_bkt"
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in names]
-
-
 def with_bucket(df: DataFrame, bucket: Column) -> DataFrame:
     return df.withColumn(BUCKET, bucket)
 
 
-def bucket_offsets(counts: DataFrame, keys: Sequence[str], count_col: str,
-                   out_col: str) -> DataFrame:
-    """Running total of ``count_col`` over the buckets *before* each bucket.
-
-    ``counts`` holds one row per (key, bucket): its size is rows / bucket width,
-    so ordering it per key is cheap even for a hot key.
-    """
-    w = (Window.partitionBy(*keys).orderBy(BUCKET)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return counts.select(*keys, BUCKET,
-                         F.coalesce(F.sum(count_col).over(w), F.lit(0)).cast("long")
-                         .alias(out_col))
-
-
 def exact_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                     bucket: Column, pos_col: str = "pos",
                     keep_bucket: bool = False) -> DataFrame:
@@ -56,7 +38,7 @@ def exact_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """
     b = with_bucket(df, bucket)
     counts = b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = bucket_offsets(counts, keys, "_n", "_off")
+    offsets = exclusive_prefix(counts, keys, BUCKET, "_n", "_off").drop("_n")
     wr = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     out = (b.join(offsets, [*keys, BUCKET])
            .withColumn(pos_col, F.col("_off") + F.row_number().over(wr))
@@ -87,6 +69,46 @@ def with_halo_blocks(df: DataFrame, pos_col: str, halo: int, block_rows: int,
             .drop("_copy"))
 
 
-def exact_row_number_window(keys: Sequence[str], order: Sequence[Column]) -> Window:
-    """The unsplit window the helpers above are equivalent to (tests, oracle)."""
-    return Window.partitionBy(*keys).orderBy(*order)
+# Two-level scans over a per-key table ordered by an integer column (a chunk
+# index).  Rows are grouped into supers of ``fanout`` consecutive indices; the
+# scan runs inside each (key, super) and then over the per-super summaries, so
+# no task orders more than ``fanout`` rows or (rows / fanout) supers of a key.
+
+SUPER = "_sup"
+
+
+def _with_super(df: DataFrame, order_col: str, fanout: int) -> DataFrame:
+    return df.withColumn(SUPER, F.floor(F.col(order_col) / F.lit(fanout)))
+
+
+def previous_values(df: DataFrame, keys: Sequence[str], order_col: str,
+                    cols: Sequence[str], out: str, fanout: int = 4096) -> DataFrame:
+    """Adds struct ``out`` holding ``cols`` of the previous row of the same key
+    (by ``order_col``), or null for a key's first row."""
+    d = _with_super(df, order_col, fanout)
+    wl = Window.partitionBy(*keys, SUPER).orderBy(order_col)
+    vals = F.struct(*[F.col(c).alias(c) for c in cols])
+    d = (d.withColumn("_local", F.when(F.lag(order_col).over(wl).isNotNull(),
+                                       F.lag(vals).over(wl)))
+         .withColumn("_is_last", F.lead(order_col).over(wl).isNull()))
+    last = d.where("_is_last").select(*keys, SUPER, vals.alias("_v"))
+    ws = Window.partitionBy(*keys).orderBy(SUPER)
+    carry = last.select(*keys, SUPER, F.lag("_v").over(ws).alias("_carry"))
+    return (d.join(carry, [*keys, SUPER])
+            .withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
+            .drop("_local", "_is_last", "_carry", SUPER))
+
+
+def exclusive_prefix(df: DataFrame, keys: Sequence[str], order_col: str,
+                     value_col: str, out: str, fanout: int = 4096) -> DataFrame:
+    """Adds ``out`` = sum of ``value_col`` over the key's earlier rows (0 first)."""
+    d = _with_super(df, order_col, fanout)
+    wl = (Window.partitionBy(*keys, SUPER).orderBy(order_col)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_lp", F.coalesce(F.sum(value_col).over(wl), F.lit(0)))
+    tot = d.groupBy(*keys, SUPER).agg(F.sum(value_col).alias("_st"))
+    ws = Window.partitionBy(*keys).orderBy(SUPER).rowsBetween(Window.unboundedPreceding, -1)
+    soff = tot.select(*keys, SUPER, F.coalesce(F.sum("_st").over(ws), F.lit(0)).alias("_so"))
+    return (d.join(soff, [*keys, SUPER])
+            .withColumn(out, (F.col("_so") + F.col("_lp")).cast("long"))
+            .drop("_lp", "_so", SUPER))

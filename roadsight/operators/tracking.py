@@ -35,7 +35,8 @@ from ..functions.severity import severity_score
 from ..schema import KIND_SPEEDING, KIND_WRONG_WAY
 from ..session import materialize
 from .selection import vehicle_only
-from .sequence import BUCKET, exact_positions, with_halo_blocks
+from .sequence import (BUCKET, exact_positions, exclusive_prefix, previous_values,
+                       with_halo_blocks)
 
 # Tracking rules.
 EMA_ALPHA = 0.3
@@ -128,17 +129,17 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
         F.max(F.when(F.col("_last"), F.col("ty"))).alias("_ly"),
         F.max(F.when(F.col("_last"), F.col("t_sec"))).alias("_lt"),
         F.max(F.when(F.col("_last"), F.col("_rin"))).alias("_nin"))
-    wc = Window.partitionBy(*KEYS).orderBy(BUCKET)
-    seed = F.struct(F.lag("_lx").over(wc).alias("x"), F.lag("_ly").over(wc).alias("y"),
-                    F.lag("_lt").over(wc).alias("t"))
+    # Per-track scans over the chunk summary run in two levels (see
+    # ``previous_values`` / ``exclusive_prefix``): no task orders a whole
+    # track's chunks.
+    ends = (ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y")
+            .withColumnRenamed("_lt", "t"))
+    seeded = previous_values(ends, KEYS, BUCKET, ["x", "y", "t"], "_seed")
     first_step = F.coalesce((F.col("_t0") - F.col("_seed.t")) > F.lit(DT_MIN), F.lit(False))
-    per_chunk = (ends.withColumn("_seed", F.when(F.lag(BUCKET).over(wc).isNotNull(), seed))
-                 .withColumn("_fstep", first_step)
-                 .withColumn("_n", F.col("_nin") + F.col("_fstep").cast("long")))
-    per_chunk = per_chunk.select(
-        *KEYS, BUCKET, "_seed", "_fstep",
-        F.coalesce(F.sum("_n").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("long").alias("_off"))
+    seeded = (seeded.withColumn("_fstep", first_step)
+              .withColumn("_n", F.col("_nin") + F.col("_fstep").cast("long")))
+    per_chunk = exclusive_prefix(seeded, KEYS, BUCKET, "_n", "_off").select(
+        *KEYS, BUCKET, "_seed", "_fstep", "_off")
     j = p1.join(per_chunk, [*KEYS, BUCKET])
     prev = F.when(F.col("_first"), F.col("_seed")).otherwise(F.col("_prev"))
     is_step = F.when(F.col("_first"), F.col("_fstep")).otherwise(F.col("_inner"))

@@ -38,3 +38,20 @@ def test_halo_blocks_give_the_same_frames(spark, n, block, halo_):
            .where(~F.col("_ctx")).select("pos", "s"))
     want = df.withColumn("s", frame(Window.partitionBy("k").orderBy("pos"))).select("pos", "s")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 60), st.integers(-5, 5)),
+                min_size=1, max_size=120, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 5))
+def test_two_level_scans_equal_plain_windows(spark, rows, fanout):
+    from roadsight.operators.sequence import exclusive_prefix, previous_values
+    df = spark.createDataFrame(rows, "k int, c long, v long")
+    got = exclusive_prefix(previous_values(df, ["k"], "c", ["v"], "prev", fanout),
+                           ["k"], "c", "v", "off", fanout)
+    w = Window.partitionBy("k").orderBy("c")
+    want = (df.withColumn("prev", F.lag(F.struct(F.col("v").alias("v"))).over(w))
+            .withColumn("off", F.coalesce(F.sum("v").over(
+                w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")))
+    key = lambda r: (r.k, r.c, r.v, None if r.prev is None else r.prev.v, r.off)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
