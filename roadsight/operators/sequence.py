@@ -5,8 +5,9 @@ A plain ``row_number().over(Window.partitionBy(key))`` sorts every row of a key
 inside a single task; one hot key (a camera, a long track, a busy user) then
 becomes the whole job.  Here every key is cut into *buckets* that are monotone
 in the ordering (a frame range, an id range).  Only a small per-bucket summary
-is ordered per key (itself in two levels, see ``exclusive_prefix``); rows are
-ranked inside their bucket, so the largest task holds one bucket.  Bounded look-back frames (lag, the last n steps) then run
+is ordered per key (in two levels where a key can have very many buckets, see
+``exclusive_prefix``); rows are ranked inside their bucket, so the largest
+task holds one bucket.  Bounded look-back frames (lag, the last n steps) then run
 over fixed-size position blocks, each carrying the last ``halo`` rows of the
 block before it as read-only context.
 """
@@ -27,18 +28,25 @@ def with_bucket(df: DataFrame, bucket: Column) -> DataFrame:
 
 def exact_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                     bucket: Column, pos_col: str = "pos",
-                    keep_bucket: bool = False) -> DataFrame:
+                    keep_bucket: bool = False, two_level: bool = False) -> DataFrame:
     """1-based consecutive position of each row within its key, in ``order``.
 
     ``bucket`` must never decrease along ``order`` within a key (e.g. the frame
-    index divided by a chunk width).  Keys must be non-null.  The offsets table
+    index divided by a chunk width).  Keys must be non-null.  The per-key scan
+    over bucket counts is one ordered window, or two levels (``two_level``)
+    when a key can have very many buckets.  The offsets table
     is joined back on (key, bucket); AQE broadcasts it when its runtime size is
     small and otherwise plans a shuffle join on the same keys the ranking
     window needs, so the rows are shuffled once.
     """
     b = with_bucket(df, bucket)
     counts = b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = exclusive_prefix(counts, keys, BUCKET, "_n", "_off").drop("_n")
+    if two_level:   # when a key may have very many buckets
+        offsets = exclusive_prefix(counts, keys, BUCKET, "_n", "_off").drop("_n")
+    else:           # buckets per key are few: one ordered scan per key
+        w = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(w), F.lit(0))
+                                .cast("long").alias("_off"))
     wr = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     out = (b.join(offsets, [*keys, BUCKET])
            .withColumn(pos_col, F.col("_off") + F.row_number().over(wr))

@@ -20,10 +20,12 @@ def test_exact_positions_equal_row_number(spark, rows, width):
     data = [(k, v, i) for i, (k, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k int, v int, i int")
     order = [F.col("v"), F.col("i")]
-    got = exact_positions(df, ["k"], order, F.floor(F.col("v") / F.lit(width)), "pos")
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
-    assert sorted(map(tuple, got.select("k", "i", "pos").collect())) == \
-        sorted(map(tuple, want.select("k", "i", "pos").collect()))
+    for two_level in (False, True):
+        got = exact_positions(df, ["k"], order, F.floor(F.col("v") / F.lit(width)), "pos",
+                              two_level=two_level)
+        assert sorted(map(tuple, got.select("k", "i", "pos").collect())) == \
+            sorted(map(tuple, want.select("k", "i", "pos").collect()))
 
 
 @SETTINGS
