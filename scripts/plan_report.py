@@ -32,17 +32,24 @@ def main() -> None:
              "written by `scripts/plan_report.py`. Counts are of plan nodes; the "
              "source/sink queries also run their writes before the plan shown "
              "(the plan is of the DataFrame they return).", "",
-             "| query | " + " | ".join(c for c, _ in COUNTS) + " | parquet scans: columns read, pushed filters |",
+             "| query | " + " | ".join(c for c, _ in COUNTS) + " | parquet scans: columns / pushed filters / partition filters |",
              "| --- | " + " | ".join("---" for _ in COUNTS) + " | --- |"]
     for name, fn in entry.queries().items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         scans = []
-        for m in re.finditer(r"FileScan parquet \[([^\]]*)\][^\n]*?PushedFilters: \[([^\]]*)\]",
-                             plan):
+        for line in plan.split("\n"):
+            m = re.search(r"FileScan parquet \[([^\]]*)\]", line)
+            if not m:
+                continue
             cols = ",".join(c.split("#")[0] for c in m.group(1).split(","))
-            scans.append(f"{cols} / {m.group(2) or '-'}")
+            pushed = re.search(r"PushedFilters: \[([^\]]*)", line)
+            parts = re.search(r"PartitionFilters: \[([^\]]*)", line)
+            part = re.sub(r"#\d+", "", parts.group(1)) if parts and parts.group(1) else ""
+            pushed = pushed.group(1).split(", ReadSchema")[0] if pushed else ""
+            scans.append(f"{cols} / {pushed or '-'}"
+                         + (f" / partitions: {part}" if part else ""))
         scans = sorted(set(scans))
         cells = [str(plan.count(pat)) for _, pat in COUNTS]
         lines.append(f"| {name} | " + " | ".join(cells) + " | "
