@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import op1_fingerprints
 from .simhash_dedup import op9_simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,5 +14,5 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
-        op9_simhash_dedup,
+        op1_fingerprints, op9_simhash_dedup,
     )}
