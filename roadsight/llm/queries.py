@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op1_fingerprints
 from .simhash_dedup import op9_simhash_dedup
+from .toxicity import op7_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
-        op1_fingerprints, op9_simhash_dedup,
+        op1_fingerprints, op7_toxicity, op9_simhash_dedup,
     )}
