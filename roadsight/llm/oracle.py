@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .mixing import OP6_SQL
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": OP6_SQL}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op1_fingerprints
+from .mixing import op6_mixing
 from .sanitise import op5_pii
 from .simhash_dedup import op9_simhash_dedup
 from .toxicity import op7_toxicity
@@ -16,5 +17,5 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
-        op1_fingerprints, op5_pii, op7_toxicity, op9_simhash_dedup,
+        op1_fingerprints, op5_pii, op6_mixing, op7_toxicity, op9_simhash_dedup,
     )}
