@@ -11,11 +11,12 @@ from .mixing import op6_mixing
 from .sanitise import op5_pii
 from .simhash_dedup import op9_simhash_dedup
 from .toxicity import op7_toxicity
+from .url_filter import op8_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
-        op1_fingerprints, op5_pii, op6_mixing, op7_toxicity, op9_simhash_dedup,
+        op1_fingerprints, op5_pii, op6_mixing, op7_toxicity, op8_url_filter, op9_simhash_dedup,
     )}
