@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from .license_scan import OP4_SQL
 from .mixing import OP6_SQL
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": OP6_SQL}
+    return {"op4_license_scan": OP4_SQL, "op6_mixing": OP6_SQL}
