@@ -10,6 +10,7 @@ from .fingerprints import op1_fingerprints
 from .license_scan import op4_license_scan
 from .mixing import op6_mixing
 from .sanitise import op5_pii
+from .sentencepiece_codec import op3_sentencepiece
 from .simhash_dedup import op9_simhash_dedup
 from .toxicity import op7_toxicity
 from .url_filter import op8_url_filter
@@ -19,5 +20,5 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
-        op1_fingerprints, op4_license_scan, op5_pii, op6_mixing, op7_toxicity, op8_url_filter, op9_simhash_dedup,
+        op1_fingerprints, op3_sentencepiece, op4_license_scan, op5_pii, op6_mixing, op7_toxicity, op8_url_filter, op9_simhash_dedup,
     )}
