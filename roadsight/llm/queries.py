@@ -14,6 +14,7 @@ from .sentencepiece_codec import op3_sentencepiece
 from .simhash_dedup import op9_simhash_dedup
 from .toxicity import op7_toxicity
 from .url_filter import op8_url_filter
+from .warc_archive import op10_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,4 +22,5 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
         op1_fingerprints, op3_sentencepiece, op4_license_scan, op5_pii, op6_mixing, op7_toxicity, op8_url_filter, op9_simhash_dedup,
+        op10_warc,
     )}
