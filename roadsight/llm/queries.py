@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .embedding_dedup import op2_embedding_dedup
 from .fingerprints import op1_fingerprints
 from .license_scan import op4_license_scan
 from .mixing import op6_mixing
@@ -21,6 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
-        op1_fingerprints, op3_sentencepiece, op4_license_scan, op5_pii, op6_mixing, op7_toxicity, op8_url_filter, op9_simhash_dedup,
+        op1_fingerprints, op2_embedding_dedup, op3_sentencepiece, op4_license_scan, op5_pii, op6_mixing, op7_toxicity, op8_url_filter, op9_simhash_dedup,
         op10_warc,
     )}

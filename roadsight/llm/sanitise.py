@@ -234,29 +234,37 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with base spans masked and disclosing terms generalised or
-    removed; other columns, rows without findings and null ids stay.  A null
-    doc_id has its base spans masked."""
+    removed, and the code points of a changed text counted anew in
+    ``length_col`` (if there is one).  Other columns stay."""
     added = (personal_spans(docs, id_col, text_col).filter(F.size("added") > 0)
              .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("added").alias("__added"))
              .dropDuplicates(["__id", "__hash"]))
     added = stored(added, "added-spans")
-    joined = docs if added.isEmpty() else docs.join(
-        added, (docs[id_col].cast("long") == F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__hash")), "left")
-    if "__added" not in joined.columns:
-        joined = joined.withColumn("__added", F.lit(None).cast(f"array<{_SPAN}>"))
-
-    @F.pandas_udf("string")
-    def masked(texts, more):
-        def one(t, m):
-            if t is None:
-                return None
-            return mask(t, base_spans(t) + [(s["kind"], s["start"], s["end"]) for s in (m if m is not None else ())])
-        import pandas as pd
-        return pd.Series([one(t, m) for t, m in zip(texts, more)], dtype=object)
-
-    return joined.select(*[masked(docs[c], F.col("__added")).alias(c) if c == text_col else docs[c] for c in docs.columns])
+    if added.isEmpty():
+        joined = docs.withColumn("__added", F.lit(None).cast(f"array<{_SPAN}>"))
+    else:
+        same_text = F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__hash")
+        joined = docs.join(added, (docs[id_col].cast("long") == F.col("__id")) & same_text, "left").drop("__id", "__hash")
+    names, lengths = docs.columns, docs.schema[length_col].dataType if length_col in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns, more = list(b.columns[:-1]), b.columns[-1]
+            at = names.index(text_col)
+            old, new = columns[at].to_pylist(), []
+            for t, m in zip(old, more.to_pylist()):
+                spans = base_spans(t) + [(s["kind"], s["start"], s["end"]) for s in m or ()] if t else ()
+                new.append(mask(t, spans) if spans else t)
+            columns[at] = pa.array(new, pa.string())
+            if lengths is not None:
+                k = names.index(length_col)
+                kept = columns[k].to_pylist()
+                columns[k] = pa.array([c if x == y else len(y) for c, x, y in zip(kept, old, new)], columns[k].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return joined.select(*names, "__added").mapInArrow(run, docs.schema)
 
 
 def _number_of(kind: str):

@@ -223,6 +223,24 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, that of
+    the smallest id; rows with a null id stay, of rows that repeat an id the
+    first by text and then by the other columns does."""
+    named = simhash_components(docs, id_col, text_col)
+    later = stored(named.filter("doc_id != component_id").select(F.col("doc_id").alias("__later")).distinct(), "later-copies")
+    kept = docs.join(later, docs[id_col].cast("long") == F.col("__later"), "left_anti")
+    repeated = stored(docs.filter(docs[id_col].isNotNull()).groupBy(docs[id_col].alias("__id")).agg(F.count("*").alias("__n"))
+                      .filter("__n > 1").select("__id"), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    single = kept.join(repeated, kept[id_col] == F.col("__id"), "left_anti")
+    again = kept.join(repeated, kept[id_col] == F.col("__id"), "left_semi")
+    order = [text_col, *(c for c in docs.columns if c != text_col)]
+    first = again.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*order)).alias("__row"))
+    return single.unionByName(first.select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
+
+
 def op9_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Query: doc_id, fingerprint (16 hex digits), component_id over ``documents``."""
     c = simhash_components(read_table(spark, sf_dir, "documents"))

@@ -255,6 +255,16 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     return rows.mapInArrow(run, schema)
 
 
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` less the rows whose text scores ``threshold`` or more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text_col))
+            yield b.filter(pa.array([model.score(t.as_py()) < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     """Query: doc_id, held_out, score, predicted for every document."""
     docs = read_table(spark, sf_dir, "documents")
