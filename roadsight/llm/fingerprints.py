@@ -44,6 +44,10 @@ BLOCKS_PER_PARTITION = 16
 MOST_BLOCKS = 1 << 16
 
 
+def _highest(fraction: float) -> np.uint64:
+    return np.uint64(int(fraction * 2.0 ** 64) - 1)
+
+
 def sketch(data: bytes, fraction: float = FRACTION, size: int = SHINGLE_WORDS) -> np.ndarray:
     """Ascending, distinct uint64 hashes of the text's sketch."""
     joined, starts, ends = joined_words(data.lower())
@@ -51,14 +55,14 @@ def sketch(data: bytes, fraction: float = FRACTION, size: int = SHINGLE_WORDS) -
     if len(starts) == 0:
         return np.zeros(0, dtype=np.uint64)
     h = RollingHash(joined).of(starts, ends)
-    low = h[h < np.uint64(int(fraction * 2.0 ** 64))]
+    low = h[h <= _highest(fraction)]
     return np.unique(low) if len(low) else h.min(keepdims=True)
 
 
 def merge_sketches(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     """The sketch of both texts' shingles together."""
     both = np.union1d(a, b)
-    low = both[both < np.uint64(int(fraction * 2.0 ** 64))]
+    low = both[both <= _highest(fraction)]
     return low if len(low) else both[:1]
 
 
