@@ -6,6 +6,7 @@
     python -m roadsight.cli detect  --detections dets/ --cameras cams/ --log out/log.csv
     python -m roadsight.cli stream  --detections dets/ --cameras cams/ --sink out/stream \
                                     --checkpoint ckpt/stream
+    python -m roadsight.cli stream-log --sink out/stream --log out/log.csv
 
 Inputs and outputs are paths Spark can read (local, HDFS, object stores).
 Detections and cameras are Parquet with the schemas in ``roadsight.schema``.
@@ -14,6 +15,7 @@ Detections and cameras are Parquet with the schemas in ``roadsight.schema``.
 from __future__ import annotations
 
 import argparse
+import datetime as _dt
 
 from .operators import clustering
 from .operators import tracking as trk
@@ -23,7 +25,7 @@ from .session import get_session
 from .sources.csv_source import read_violations_csv
 from .sources.exports import append_log
 from .sources.fact_store import read_fact, write_fact
-from .streaming.tracker import run_violation_stream
+from .streaming.tracker import MAX_FILES_PER_TRIGGER, run_violation_stream, stream_log
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,10 +47,17 @@ def _parser() -> argparse.ArgumentParser:
         a.add_argument("--cameras", required=True)
         if name == "detect":
             a.add_argument("--log", required=True)
+            a.add_argument("--session-start", type=_dt.datetime.fromisoformat, default=trk.SESSION_START,
+                           help="start of recordings whose camera table names none")
         else:
             a.add_argument("--sink", required=True)
             a.add_argument("--checkpoint", required=True)
-            a.add_argument("--max-files-per-trigger", type=int, default=None)
+            a.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER)
+            a.add_argument("--idle-seconds", type=float, default=None,
+                           help="forget a track that got no rows for so long (default: never)")
+    a = sub.add_parser("stream-log", help="stream sink -> numbered log")
+    a.add_argument("--sink", required=True)
+    a.add_argument("--log", required=True)
     return p
 
 
@@ -68,11 +77,14 @@ def main(argv: list[str] | None = None) -> None:
             args.out.rstrip("/") + "/centers")
     elif args.cmd == "detect":
         det, cams = spark.read.parquet(args.detections), spark.read.parquet(args.cameras)
-        append_log(trk.violation_log(det, cams), args.log)
+        append_log(trk.violation_log(det, cams, args.session_start), args.log)
     elif args.cmd == "stream":
         run_violation_stream(spark, args.detections, args.sink, args.checkpoint,
                              spark.read.parquet(args.cameras),
-                             max_files_per_trigger=args.max_files_per_trigger)
+                             max_files_per_trigger=args.max_files_per_trigger,
+                             idle_seconds=args.idle_seconds)
+    elif args.cmd == "stream-log":
+        append_log(stream_log(spark, args.sink), args.log)
 
 
 if __name__ == "__main__":

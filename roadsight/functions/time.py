@@ -14,10 +14,10 @@ HOUR_WINDOW_WIDTH = 3
 def parse_timestamp(c: Column) -> Column:
     """Text -> wall-clock timestamp; malformed text gives null (never raises).
 
-    The parse happens in the session zone and is cast straight back, so the
-    stored wall clock equals the text whatever the session zone is.
+    The cast is straight to a timestamp without zone, so the wall clock equals
+    the text in any session zone, hours that a zone skips included.
     """
-    return F.try_to_timestamp(c).cast("timestamp_ntz")
+    return c.try_cast("timestamp_ntz")
 
 
 def hour_of(ts: Column) -> Column:

@@ -50,8 +50,9 @@ def apply_selection(df: DataFrame, sel: Selection | None) -> DataFrame:
 
 
 def valid_coordinates(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
-    """Drop rows with a null coordinate or a 0 placeholder in either one."""
+    """Drop rows with a null or NaN coordinate or a 0 placeholder in either one."""
     return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()
+                    & ~F.isnan(lat) & ~F.isnan(lon)
                     & (F.col(lat) != 0) & (F.col(lon) != 0))
 
 

@@ -14,18 +14,22 @@ the same rules are window functions over each track, ordered by
   anything older weighs < 1.5e-20);
 * direction: net dy over the last 15 steps; wrong way when
   net x flow sign < -20 units;
-* first hit per (track, kind) only; ids numbered per camera in detection order,
-  wrong way before speeding within one detection.
+* first hit per (track, kind) only; ids numbered per camera and session in
+  detection order, wrong way before speeding within one detection.
+
+A session is one recording of one camera: track ids, settings, the id counter
+and the clock start anew with it.  Detections and the camera table may carry a
+``session_id`` (0 where there is none), and the camera table a
+``session_start``.
 
 No task ever holds a whole track: tracks are cut into frame chunks (lag seeded
 from the previous chunk's last sighting) and step blocks (with a 127-step
-halo), see ``sequence``.  Results equal the unsplit windows exactly.
+halo), see ``sequence``.  There is one plan for tracks of any length.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,30 +49,38 @@ WRONG_WAY_UNITS = 20.0     # top-down units (not metres), threshold of the net d
 DT_MIN = 0.0001            # seconds; smaller steps are skipped
 KMH_PER_MPS = 3.6
 WRONG_WAY_SEVERITY = 5
-DEFAULT_FPS = 25.0
 
 # Engine parameters (ours).
 EMA_HISTORY = 128          # steps of context a block carries; 0.7**128 ~ 1.5e-20
 CHUNK_FRAMES = 4096        # least frames per lag / ranking chunk of a track
 BLOCK_STEPS = 1536         # steps per EMA / direction block of a track
 EMA_MAX_INDEX = 1800       # largest row index of the running-sum EMA (0.7**-1800 ~ 1e279)
-NUMBER_CHUNK_FRAMES = 1 << 16
-UNSPLIT_MAX_ROWS = EMA_MAX_INDEX  # longest track (sightings) run as one window
 MAX_BROADCAST_CAMERAS = 200_000   # ~40 bytes a row: well under 10 MB
 # Violation time = session start + media time (the original used the wall
 # clock at processing time, which no replay can reproduce).
 SESSION_START = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
-KEYS = ["camera_id", "track_id"]
+KEYS = ["session_id", "camera_id", "track_id"]
 
 
 def _order() -> list[Column]:
     return [F.col("frame_idx"), F.col("det_idx")]
 
 
-def _camera_side(cameras: DataFrame, check_size: bool) -> DataFrame:
-    cams = cameras.select("camera_id", "latitude", "longitude", "speed_limit_kmh",
-                          "flow_positive_y")
+def with_session(df: DataFrame) -> DataFrame:
+    """``df`` with a non-null ``session_id``: 0 where it has none."""
+    own = F.coalesce(F.col("session_id").cast("long"), F.lit(0)) if "session_id" in df.columns else F.lit(0)
+    return df.withColumn("session_id", own.cast("long"))
+
+
+def _camera_side(cameras: DataFrame, check_size: bool, session_start: _dt.datetime) -> DataFrame:
+    # A text literal cast to timestamp_ntz: independent of any time zone.
+    default = F.lit(session_start.isoformat(sep=" ")).cast("timestamp_ntz")
+    start = (F.coalesce(F.col("session_start").cast("timestamp_ntz"), default)
+             if "session_start" in cameras.columns else default)
+    keys = ["session_id"] if "session_id" in cameras.columns else []
+    cams = cameras.select(*keys, "camera_id", "latitude", "longitude", "speed_limit_kmh",
+                          "flow_positive_y", start.alias("session_start"))
     # The camera table is a dimension; broadcast it only behind a checked size,
     # else leave the join to AQE / sort-merge.
     if not check_size or cams.count() <= MAX_BROADCAST_CAMERAS:
@@ -83,13 +95,19 @@ def vehicle_detections(det: DataFrame) -> DataFrame:
                                    & F.col("frame_idx").isNotNull())
 
 
-def camera_enriched(det: DataFrame, cameras: DataFrame, check_size: bool = True) -> DataFrame:
-    return vehicle_detections(det).join(_camera_side(cameras, check_size), "camera_id")
+def camera_enriched(det: DataFrame, cameras: DataFrame, check_size: bool = True,
+                    session_start: _dt.datetime = SESSION_START) -> DataFrame:
+    """Vehicle detections with their camera's settings: those of the session
+    where the camera table has sessions, else one setting per camera."""
+    cams = _camera_side(cameras, check_size, session_start)
+    on = ["session_id", "camera_id"] if "session_id" in cams.columns else ["camera_id"]
+    return with_session(vehicle_detections(det)).join(cams, on)
 
 
-def sightings(det: DataFrame, cameras: DataFrame) -> DataFrame:
+def sightings(det: DataFrame, cameras: DataFrame,
+              session_start: _dt.datetime = SESSION_START) -> DataFrame:
     """Enriched vehicle detections with the bottom-centre pixel and (tx, ty)."""
-    e = camera_enriched(det, cameras)
+    e = camera_enriched(det, cameras, session_start=session_start)
     bx = bottom_center_x(F.col("x1"), F.col("x2"))
     e = e.withColumn("bx", bx).withColumn("by", F.col("y2"))
     tx, ty = project(F.col("bx").cast("double"), F.col("by").cast("double"))
@@ -107,10 +125,9 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
     per-chunk summary built from only the first and last row of each chunk
     (a hash aggregate over <= 2 rows per chunk) gives each chunk its seed (the
     previous chunk's last sighting), whether its first row is a step, and the
-    number of steps before it.  The window output is already hash-partitioned
-    on (track, chunk), so joining the summary back moves only the summary;
-    the summary branch re-reads pass 1 through a narrow (6-column) shuffle
-    rather than writing the wide pass-1 rows out and shuffling them again.
+    number of steps before it.  Pass 1 is checkpointed, so the detections are
+    scanned once; the checkpoint keeps its partitioning on (track, chunk), so
+    joining the summary back moves only the summary.
     """
     width = chunk_frames or CHUNK_FRAMES
     b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(width)))
@@ -123,6 +140,7 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
           .withColumn("_inner", F.coalesce(inner_step, F.lit(False)))
           .withColumn("_rin", F.sum(F.col("_inner").cast("long")).over(
               w.rowsBetween(Window.unboundedPreceding, 0))))
+    p1 = materialize(p1)
     ends = p1.where(F.col("_first") | F.col("_last")).groupBy(*KEYS, BUCKET).agg(
         F.max(F.when(F.col("_first"), F.col("t_sec"))).alias("_t0"),
         F.max(F.when(F.col("_last"), F.col("tx"))).alias("_lx"),
@@ -193,49 +211,24 @@ def smoothed(st: DataFrame, with_flag: bool = False) -> DataFrame:
     if not with_flag:
         return out.drop("_blk")
     wrong = F.col("is_wrong_way").cast("int")
-    out = out.withColumn("_wb", F.max(wrong).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = materialize(out.withColumn("_wb", F.max(wrong).over(
+        w.rowsBetween(Window.unboundedPreceding, 0))))
     per_block = out.groupBy(*KEYS, "_blk").agg(F.max(wrong).alias("_bw"))
-    carry = per_block.select(*KEYS, "_blk", F.coalesce(F.max("_bw").over(
-        Window.partitionBy(*KEYS).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_carry"))
+    carry = exclusive_prefix(per_block, KEYS, "_blk", "_bw", "_carry").select(*KEYS, "_blk", "_carry")
     return (out.join(carry, [*KEYS, "_blk"])
             .withColumn("wrong_so_far", (F.col("_wb") > 0) | (F.col("_carry") > 0))
             .drop("_blk", "_wb", "_carry"))
 
 
-def longest_track(s: DataFrame) -> int:
-    """Sightings in the longest track: a partial-aggregated count per track,
-    then one number to the driver."""
-    top = s.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(top or 0)
-
-
-def track_states(det: DataFrame, cameras: DataFrame, split: bool | None = None,
-                 with_flag: bool = False) -> DataFrame:
-    """Steps with smoothed speed and direction.
-
-    ``with_flag`` adds ``wrong_so_far`` (the plain plan always has it).
-    Like a broadcast threshold, the plan is chosen behind a checked size: when
-    the longest track has at most ``UNSPLIT_MAX_ROWS`` sightings, plain
-    per-track windows are small and need one exchange; beyond that (a long or
-    hot track) the chunk / block plan runs, whose tasks never hold a whole
-    track.  Both give the same rows.
-    """
-    s = sightings(det, cameras)
-    width = None
-    if split is None:
-        longest = longest_track(s)
-        split = longest > UNSPLIT_MAX_ROWS
-        # Chunks of sqrt(longest) frames: a dense hot track of N sightings
-        # becomes ~sqrt(N) chunk tasks of ~sqrt(N) rows, and its per-chunk
-        # summary (ordered per track) also has ~sqrt(N) rows.
-        width = max(CHUNK_FRAMES, math.isqrt(longest) + 1)
-    return smoothed(steps(s, width), with_flag) if split else unsplit_from_sightings(s)
+def track_states(det: DataFrame, cameras: DataFrame, with_flag: bool = False,
+                 session_start: _dt.datetime = SESSION_START) -> DataFrame:
+    """Steps with smoothed speed and direction; ``with_flag`` adds
+    ``wrong_so_far``.  Pass 1 of the steps runs when this is called."""
+    return smoothed(steps(sightings(det, cameras, session_start)), with_flag)
 
 
 _HIT_FIELDS = ["step_no", "frame_idx", "det_idx", "t_sec", "class_name", "smooth_kmh",
-               "latitude", "longitude", "speed_limit_kmh"]
+               "latitude", "longitude", "speed_limit_kmh", "session_start"]
 
 
 def first_hits(sm: DataFrame) -> DataFrame:
@@ -281,19 +274,25 @@ def violation_events(sm: DataFrame) -> DataFrame:
                      F.col("e.sev").cast("int").alias("Severity"))
 
 
-def number_violations(ev: DataFrame, session_start: _dt.datetime = SESSION_START) -> DataFrame:
-    """The log rows: one shared counter per camera in detection order (wrong
-    way first within a detection), ``W0001`` / ``V0002`` ids (padded, never
-    cut), time = session start + whole seconds of media time."""
+def number_violations(ev: DataFrame) -> DataFrame:
+    """The log rows: one shared counter per camera and session in detection
+    order (wrong way first within a detection), ``W0001`` / ``V0002`` ids
+    (padded, never cut), time = session start + whole seconds of media time.
+
+    The rows are dealt out by range of their order and kept, so a camera with
+    very many violations is many ranges; a row's number is its rank within its
+    range plus the rows of its camera in earlier ranges.
+    """
     kind_rank = F.when(F.col("Violation_Type") == F.lit(KIND_WRONG_WAY), F.lit(0)).otherwise(F.lit(1))
-    numbered = exact_positions(
-        ev.withColumn("_kr", kind_rank), ["camera_id"],
-        [F.col("frame_idx"), F.col("det_idx"), F.col("_kr")],
-        F.floor(F.col("frame_idx") / F.lit(NUMBER_CHUNK_FRAMES)), "_seq")
+    order = ["frame_idx", "det_idx", "_kr"]
+    parts = int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(with_session(ev).withColumn("_kr", kind_rank)
+                         .repartitionByRange(parts, "session_id", "camera_id", *order)
+                         .withColumn("_range", F.spark_partition_id()))
+    numbered = exact_positions(ranged, ["session_id", "camera_id"], [F.col(c) for c in order],
+                               F.col("_range"), "_seq", two_level=True)
     prefix = F.when(F.col("_kr") == 0, F.lit("W")).otherwise(F.lit("V"))
-    # A text literal cast to timestamp_ntz: independent of any time zone.
-    ts = (F.lit(session_start.isoformat(sep=" ")).cast("timestamp_ntz")
-          + F.make_dt_interval(secs=F.floor(F.col("t_sec")).cast("decimal(18,6)")))
+    ts = F.col("session_start") + F.make_dt_interval(secs=F.floor(F.col("t_sec")).cast("decimal(18,6)"))
     return numbered.select(
         F.format_string("%s%04d", prefix, F.col("_seq")).alias("Violation_ID"),
         ts.alias("Timestamp"),
@@ -302,61 +301,18 @@ def number_violations(ev: DataFrame, session_start: _dt.datetime = SESSION_START
         F.col("Violation_Type"),
         F.col("class_name").alias("Vehicle_Type"),
         F.col("Severity"),
-        F.col("camera_id"), F.col("track_id"))
+        F.col("camera_id"), F.col("track_id"), F.col("session_id"))
 
 
 def violation_log(det: DataFrame, cameras: DataFrame,
                   session_start: _dt.datetime = SESSION_START) -> DataFrame:
-    ev = materialize(violation_events(track_states(det, cameras)))
-    return number_violations(ev, session_start)
+    return number_violations(violation_events(track_states(det, cameras, session_start=session_start)))
 
 
 def annotated(sm: DataFrame) -> DataFrame:
-    """Per step: red flag (wrong way logged so far, or over the limit now) and
-    the overlay label.  The plain plan carries ``wrong_so_far`` from its
-    window; after the split plan the per-track first wrong-way step is joined
-    back (AQE splits a hot track's partition if one dominates)."""
-    if "wrong_so_far" in sm.columns:
-        j, wrong_so_far = sm, F.col("wrong_so_far")
-    else:
-        # Split plan: the first wrong-way step of each track, joined back.
-        sm = materialize(sm)
-        fw = first_hits(sm).select(*KEYS, F.col("w.step_no").alias("_w_step"))
-        j = sm.join(fw, KEYS, "left")
-        wrong_so_far = F.coalesce(F.col("step_no") >= F.col("_w_step"), F.lit(False))
+    """Per step (of ``track_states(..., with_flag=True)``): red flag (wrong way
+    logged so far, or over the limit now) and the overlay label."""
     label = F.concat(F.format_string("ID %d: %.1f km/h", F.col("track_id"), F.col("smooth_kmh")),
-                     F.when(wrong_so_far, F.lit(" (WRONG)")).otherwise(F.lit("")))
-    return (j.withColumn("wrong_so_far", wrong_so_far)
-            .withColumn("flag", wrong_so_far | F.col("is_speeding"))
-            .withColumn("label", label).drop("_w_step"))
-
-
-def unsplit_states(det: DataFrame, cameras: DataFrame) -> DataFrame:
-    return unsplit_from_sightings(sightings(det, cameras))
-
-
-def unsplit_from_sightings(s: DataFrame) -> DataFrame:
-    """The same rules with plain per-track windows (one task per track; used
-    only when the longest track is below the checked bound).  Both windows
-    share one hash partitioning, so this is a single exchange."""
-    w = Window.partitionBy(*KEYS).orderBy(*_order())
-    pos = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("t_sec").alias("t"))
-    st = (s.withColumn("_prev", F.lag(pos).over(w))
-          .withColumn("dt", F.col("t_sec") - F.col("_prev.t"))
-          .where(F.col("_prev").isNotNull() & (F.col("dt") > F.lit(DT_MIN)))
-          .withColumn("dx", F.col("tx") - F.col("_prev.x"))
-          .withColumn("dy", F.col("ty") - F.col("_prev.y")).drop("_prev"))
-    dist_units = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))
-    st = (st.withColumn("dist_m", dist_units * F.lit(METRES_PER_UNIT))
-          .withColumn("raw_kmh", F.col("dist_m") / F.col("dt") * F.lit(KMH_PER_MPS))
-          .withColumn("step_no", F.row_number().over(w).cast("long")))
-    ws = Window.partitionBy(*KEYS).orderBy("step_no")
-    r = (F.col("step_no") - 1).cast("double")
-    st = (st.withColumn("smooth_kmh", ema_running(F.col("raw_kmh"), r, ws))
-          .withColumn("net_dy", F.sum("dy").over(ws.rowsBetween(-(DIR_WINDOW - 1), 0))))
-    wrong = F.col("net_dy") * F.col("flow_sign") < F.lit(-WRONG_WAY_UNITS)
-    return (st.withColumn("is_wrong_way", wrong)
-            .withColumn("is_speeding", F.col("smooth_kmh") > F.col("speed_limit_kmh"))
-            # wrong way logged at or before this step: a running max on the same window
-            .withColumn("wrong_so_far", F.max(F.col("is_wrong_way").cast("int")).over(
-                ws.rowsBetween(Window.unboundedPreceding, 0)) > 0))
+                     F.when(F.col("wrong_so_far"), F.lit(" (WRONG)")).otherwise(F.lit("")))
+    return (sm.withColumn("flag", F.col("wrong_so_far") | F.col("is_speeding"))
+            .withColumn("label", label))

@@ -12,7 +12,8 @@ from .functions.geometry import METRES_PER_UNIT, road_homography, sql_double as
 from .operators.tracking import (DIR_WINDOW, DT_MIN, EMA_ALPHA, EMA_HISTORY,
                                  KMH_PER_MPS, WRONG_WAY_UNITS, SESSION_START)
 from .queries_params import DEMO_SELECTION
-from .sources.fixtures import FIXTURE_CAMERAS, FIXTURE_FPS
+from .sources.fixtures import (FIXTURE_CAMERAS, FIXTURE_FIRST_START, FIXTURE_FPS,
+                               FIXTURE_SESSION_DAYS, FIXTURE_SESSION_OFFSET, FIXTURE_SESSIONS)
 
 SPEED_DIGITS = 4
 AVG_DIGITS = 6
@@ -193,39 +194,51 @@ def fact_queries() -> dict[str, str]:
 
 # ---------------------------------------------------------------- tracking --
 
-def _cams_sql() -> str:
-    rows = ", ".join(f"({c}, {d(lat)}, {d(lon)}, {d(lim)}, {'true' if pos else 'false'})"
-                     for c, lat, lon, lim, pos in FIXTURE_CAMERAS)
+def _cams_sql(sessions: int = 0) -> str:
+    """One setting per camera (session 0), or per session and camera."""
+    spot = FIXTURE_CAMERAS[0]
+    first = FIXTURE_FIRST_START if sessions else SESSION_START
+    rows = ", ".join(
+        f"({c}, {d(spot[1] if sessions and c == 1 else lat)}, "
+        f"{d(spot[2] if sessions and c == 1 else lon)}, {d(lim + n)}, {'true' if pos else 'false'}, "
+        f"{n}, TIMESTAMP '{first.isoformat(sep=' ')}' + INTERVAL {n * FIXTURE_SESSION_DAYS} DAY)"
+        for n in range(max(1, sessions)) for c, lat, lon, lim, pos in FIXTURE_CAMERAS)
     return (f"select * from (values {rows}) as c(camera_id, latitude, longitude, "
-            "speed_limit_kmh, flow_positive_y)")
+            "speed_limit_kmh, flow_positive_y, session_id, session_start)")
 
 
-DETECTIONS = f"""
+def _detections_sql(sessions: int = 0) -> str:
+    n = max(1, sessions)
+    return f"""
 select cast(user_id % 4 as integer) as camera_id, user_id as track_id,
-       cast(f as integer) as frame_idx, cast(f as double) / {d(FIXTURE_FPS)} as t_sec,
+       cast(f as integer) as frame_idx,
+       cast(f as double) / {d(FIXTURE_FPS)} + session_id * {d(FIXTURE_SESSION_OFFSET)} as t_sec,
        event_id as det_idx,
        case user_id % 5 when 0 then 'car' when 1 then 'truck' when 2 then 'bus'
                         when 3 then 'motorcycle' else 'person' end as class_name,
        900 as x1, cast(1000 + user_id % 50 as integer) as x2,
        cast(case when user_id % 7 = 0 then 800 - f * (1 + user_id % 9) - event_id % 3
-                 else 200 + f * (1 + user_id % 9) + event_id % 3 end as integer) as y2
-from (select *, row_number() over (partition by user_id order by event_id) - 1 as f
+                 else 200 + f * (1 + user_id % 9) + event_id % 3 end as integer) as y2,
+       session_id
+from (select *, event_id % {n} as session_id,
+             row_number() over (partition by user_id, event_id % {n} order by event_id) - 1 as f
       from events where user_id is not null) b
 """
 
 
-def _tracking_ctes() -> str:
+def _tracking_ctes(sessions: int = 0, detections: str | None = None, cameras: str | None = None) -> str:
     m = [d(v) for v in road_homography()]
     den = f"({m[6]} * bx + {m[7]} * \"by\" + 1e0)"
-    w_s = "partition by camera_id, track_id order by frame_idx, det_idx"
-    w_st = "partition by camera_id, track_id order by step_no"
+    w_s = "partition by session_id, camera_id, track_id order by frame_idx, det_idx"
+    w_st = "partition by session_id, camera_id, track_id order by step_no"
     return f"""
-det as ({DETECTIONS}),
-cams as ({_cams_sql()}),
+det as ({detections or _detections_sql(sessions)}),
+cams as ({cameras or _cams_sql(sessions)}),
 veh as (select * from det where class_name in ('car', 'truck', 'bus', 'motorcycle')
         and camera_id is not null and track_id is not null and frame_idx is not null),
-enr as (select veh.*, cams.latitude, cams.longitude, cams.speed_limit_kmh, cams.flow_positive_y
-        from veh join cams using (camera_id)),
+enr as (select veh.*, cams.latitude, cams.longitude, cams.speed_limit_kmh, cams.flow_positive_y,
+               cams.session_start
+        from veh join cams using (session_id, camera_id)),
 s0 as (select *, cast(trunc((x1 + x2) / 2) as integer) as bx, y2 as "by",
               case when flow_positive_y then 1e0 else -1e0 end as flow_sign from enr),
 s as (select *, ({m[0]} * bx + {m[1]} * "by" + {m[2]}) / {den} as tx,
@@ -247,12 +260,12 @@ sm0 as (select *,
                        wd as ({w_st} rows between {DIR_WINDOW - 1} preceding and current row)),
 sm as (select *, net_dy * flow_sign < -{d(WRONG_WAY_UNITS)} as is_wrong_way,
               smooth_kmh > speed_limit_kmh as is_speeding from sm0),
-fh as (select camera_id, track_id,
+fh as (select session_id, camera_id, track_id,
               min(step_no) filter (where is_wrong_way) as wstep,
               min(step_no) filter (where is_speeding) as vstep
-       from sm group by camera_id, track_id),
+       from sm group by session_id, camera_id, track_id),
 ww as (select sm.*, 'Wrong Way' as Violation_Type, 5 as Severity, 0 as kr
-       from sm join fh using (camera_id, track_id) where sm.step_no = fh.wstep),
+       from sm join fh using (session_id, camera_id, track_id) where sm.step_no = fh.wstep),
 vv as (select sm.*, 'Speeding' as Violation_Type,
               cast(case when smooth_kmh <= speed_limit_kmh then 0
                         when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 10e0 then 1
@@ -260,20 +273,30 @@ vv as (select sm.*, 'Speeding' as Violation_Type,
                         when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 30e0 then 3
                         when (smooth_kmh - speed_limit_kmh) / speed_limit_kmh * 100e0 < 40e0 then 4
                         else 5 end as integer) as Severity, 1 as kr
-       from sm join fh using (camera_id, track_id) where sm.step_no = fh.vstep),
+       from sm join fh using (session_id, camera_id, track_id) where sm.step_no = fh.vstep),
 ev as (select * from ww union all select * from vv),
 logv as (select printf('%s%04d', case when kr = 0 then 'W' else 'V' end,
-                       row_number() over (partition by camera_id
+                       row_number() over (partition by session_id, camera_id
                                           order by frame_idx, det_idx, kr)) as Violation_ID,
-                TIMESTAMP '{SESSION_START.isoformat(sep=' ')}'
-                  + to_seconds(cast(floor(t_sec) as bigint)) as Timestamp,
+                session_start + to_seconds(cast(floor(t_sec) as bigint)) as Timestamp,
                 latitude as Latitude, longitude as Longitude, Violation_Type,
-                class_name as Vehicle_Type, Severity, camera_id, track_id
+                class_name as Vehicle_Type, Severity, camera_id, track_id, session_id
          from ev)"""
 
 
-def with_tracks(body: str) -> str:
-    return f"with {_tracking_ctes()}\n{body}"
+def with_tracks(body: str, sessions: int = 0) -> str:
+    return f"with {_tracking_ctes(sessions)}\n{body}"
+
+
+def _long_track_sql() -> str:
+    """All events as the sightings of one track, one frame each."""
+    return f"""
+select 0 as camera_id, cast(1 as bigint) as track_id, cast(f as integer) as frame_idx,
+       cast(f as double) / {d(FIXTURE_FPS)} as t_sec, event_id as det_idx, 'car' as class_name,
+       900 as x1, 1000 as x2,
+       cast(200 + abs((f * 2) % 1600 - 800) + event_id % 3 as integer) as y2, cast(0 as bigint) as session_id
+from (select event_id, row_number() over (order by event_id) - 1 as f from events) b
+"""
 
 
 R = SPEED_DIGITS
@@ -285,7 +308,7 @@ _HIT_COLS = (f"camera_id, track_id, Violation_Type, step_no, frame_idx, det_idx,
 def tracking_queries() -> dict[str, str]:
     k = "camera_id, track_id, frame_idx, det_idx"
     return {
-        "detections_scan": with_tracks("select * from det"),
+        "detections_scan": with_tracks("select * exclude (session_id) from det"),
         "vehicle_detections": with_tracks(
             "select camera_id, track_id, frame_idx, t_sec, det_idx, class_name, x1, x2, y2 "
             "from veh"),
@@ -315,7 +338,19 @@ def tracking_queries() -> dict[str, str]:
                      else 5 end as integer) as severity from sm"""),
         "speeding_violations": with_tracks(f"select {_HIT_COLS} from vv"),
         "wrong_way_violations": with_tracks(f"select {_HIT_COLS} from ww"),
-        "violation_log": with_tracks("select * from logv"),
+        "violation_log": with_tracks("select * exclude (session_id) from logv"),
+        "violation_log_sessions": with_tracks("select * from logv", FIXTURE_SESSIONS),
+        "stream_violations_multi": with_tracks("select * from logv", FIXTURE_SESSIONS),
+        "session_hotspots": with_tracks(
+            f"select grid_cell, count(*) as total_violations, round(avg(Latitude), {AVG_DIGITS}) as avg_lat, "
+            f"round(avg(Longitude), {AVG_DIGITS}) as avg_lon from (select *, "
+            f"concat_ws('_', try_cast(trunc(Latitude * 10e0) as integer), "
+            f"try_cast(trunc(Longitude * 10e0) as integer)) as grid_cell from logv) group by grid_cell",
+            FIXTURE_SESSIONS),
+        "long_track_states": f"""with {_tracking_ctes(0, _long_track_sql())}
+            select {k}, step_no, round(smooth_kmh, {R}) as smooth_kmh, round(net_dy, {R}) as net_dy,
+                   wrong_so_far from (select sm.*, coalesce(sm.step_no >= fh.wstep, false) as wrong_so_far
+                   from sm join fh using (session_id, camera_id, track_id))""",
         "stream_violations": with_tracks(
             f"select {_HIT_COLS} from ww union all select {_HIT_COLS} from vv"),
         "annotated_tracks": with_tracks(
@@ -323,7 +358,7 @@ def tracking_queries() -> dict[str, str]:
                        printf('ID %d: %.1f km/h', track_id, smooth_kmh)
                          || case when wrong_so_far then ' (WRONG)' else '' end as label
                 from (select sm.*, coalesce(sm.step_no >= fh.wstep, false) as wrong_so_far
-                      from sm join fh using (camera_id, track_id))"""),
+                      from sm join fh using (session_id, camera_id, track_id))"""),
     }
 
 
@@ -362,9 +397,43 @@ def io_queries() -> dict[str, str]:
            f"round(avg(Longitude), {AVG_DIGITS}) as avg_lon from "
            f"(select *, concat_ws('_', try_cast(trunc(Latitude * 10e0) as integer), "
            f"try_cast(trunc(Longitude * 10e0) as integer)) as grid_cell "
-           f"from (select distinct {m1} from logv where Violation_ID is not null)) "
+           f"from (select distinct {m1}, camera_id, track_id from logv where Violation_ID is not null)) "
            f"group by grid_cell")
+    group = "user_id % 5"
+    separated = (f"select 10e0 * ({group}) + (event_id % 7) * 1e-3 as Latitude, "
+                 f"100e0 - 15e0 * ({group}) + (event_id % 11) * 1e-3 as Longitude, cast({group} as integer) as cluster "
+                 f"from events where user_id is not null")
     return {
+        "kmeans_separated": f"""select cluster, count(*) as points,
+            round(avg(Latitude), {AVG_DIGITS}) as center_lat, round(avg(Longitude), {AVG_DIGITS}) as center_lon
+            from ({separated}) group by cluster""",
+        "valid_coordinates_nan": with_fact(
+            "select Violation_ID, Latitude, Longitude from v where Violation_ID is not null "
+            "and Latitude is not null and Longitude is not null and Latitude <> 0 and Longitude <> 0 "
+            "and cast(Violation_ID as bigint) % 13 <> 0"),
+        "mart_values": with_fact(f"""
+            select 'hourly' as mart, cast(hour as varchar) as key, total_violations, cast(row_number() over (
+                     order by hour nulls first) as integer) as place
+              from ({grp.format(k="hour")})
+            union all select 'daily', day_of_week, total_violations, row_number() over (
+                     order by day_of_week nulls first) from ({grp.format(k="day_of_week")})
+            union all select 'type_summary', Violation_Type, total_violations, row_number() over (
+                     order by total_violations desc, Violation_Type nulls first) from ({grp.format(k="Violation_Type")})
+            union all select 'time_window', cast(hour_window as varchar), total_violations, row_number() over (
+                     order by hour_window nulls first) from ({grp.format(k="hour_window")})
+            union all select 'daytype', day_type, total_violations, row_number() over (order by day_type)
+              from ({grp.format(k="day_type")})
+            union all select 'type_time', concat_ws('|', Violation_Type, hour_window), total_violations,
+                     row_number() over (order by Violation_Type nulls first, hour_window nulls first)
+              from ({grp.format(k="Violation_Type, hour_window")})
+            union all select 'spatial_grid', grid_cell, total_violations, row_number() over (
+                     order by total_violations desc, grid_cell nulls first) from ({grp.format(k="grid_cell")})
+            union all select 'all_locations', concat_ws('|', round(Latitude, 2), round(Longitude, 2)), total_violations,
+                     row_number() over (order by total_violations desc, Latitude nulls first, Longitude nulls first)
+              from ({grp.format(k="Latitude, Longitude")})
+            union all select 'top_locations', concat_ws('|', round(Latitude, 2), round(Longitude, 2)), total_violations,
+                     row_number() over (order by total_violations desc, Latitude nulls first, Longitude nulls first)
+              from ({top})"""),
         "ingest_csv_roundtrip": with_fact(f"select {m1} from v"),
         "mart_roundtrip": with_fact(" union all ".join(marts)),
         "export_csv_roundtrip": with_fact(text_ts("%Y-%m-%d %H:%M:%S.%f")),

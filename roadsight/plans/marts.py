@@ -9,12 +9,13 @@ a lost executor does not send the job back to the fact scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import grid, time
 from ..operators import aggregates as agg
 from ..operators.aggregates import ALL_HOURS, N, NULL_COLUMN, by_count_desc
+from ..schema import has_columns
 from ..session import checkpoint_root
 from ..sources.mart_store import write_marts
 
@@ -33,22 +34,36 @@ def _sum_by(r: DataFrame, *keys) -> DataFrame:
 
 
 def _small_sorted(df: DataFrame, *order) -> DataFrame:
-    """Total order for a mart bounded by a tiny key domain (hours, days, types,
+    """Total order for a mart bounded by a tiny key domain (hours, days,
     windows): one partition sorted locally, so no range-sampling job and no
-    range exchange.  Location-keyed marts keep the global sort."""
+    range exchange.  Marts keyed by type or place keep the global sort."""
     return df.coalesce(1).sortWithinPartitions(*order)
 
 
-def marts_from_rollups(tr: DataFrame, lr: DataFrame) -> dict[str, DataFrame]:
+def time_marts(tr: DataFrame) -> dict[str, DataFrame]:
     tr = (tr.withColumn("day_type", time.day_type(F.col("day_of_week")))
           .withColumn("hour_window", time.hour_window(F.col("hour"))))
     cells = [F.sum(F.when(F.col("hour") == h, F.col(N)).otherwise(0)).cast("long").alias(str(h))
              for h in ALL_HOURS]
     cells.append(F.sum(F.when(F.col("hour").isNull(), F.col(N)).otherwise(0)).cast("long")
                  .alias(NULL_COLUMN))
-    matrix = _small_sorted(tr.groupBy(F.coalesce(F.col("Violation_Type"), F.lit(NULL_COLUMN))
-                                      .alias("Violation_Type_hour")).agg(*cells),
-                           "Violation_Type_hour")
+    matrix = (tr.groupBy(F.coalesce(F.col("Violation_Type"), F.lit(NULL_COLUMN)).alias("Violation_Type_hour"))
+              .agg(*cells).orderBy("Violation_Type_hour"))
+    return {
+        "hourly": _small_sorted(_sum_by(tr, "hour"), F.col("hour").asc_nulls_first()),
+        "daily": _small_sorted(_sum_by(tr, "day_of_week"),
+                               F.col("day_of_week").asc_nulls_first()),
+        "type_summary": _sum_by(tr, "Violation_Type").orderBy(*by_count_desc("Violation_Type")),
+        "type_hour_matrix": matrix,
+        "time_window": _small_sorted(_sum_by(tr, "hour_window"),
+                                     F.col("hour_window").asc_nulls_first()),
+        "daytype": _small_sorted(_sum_by(tr, "day_type"), "day_type"),
+        "type_time": _sum_by(tr, "Violation_Type", "hour_window").orderBy(
+            F.col("Violation_Type").asc_nulls_first(), F.col("hour_window").asc_nulls_first()),
+    }
+
+
+def location_marts(lr: DataFrame) -> dict[str, DataFrame]:
     all_loc = lr.orderBy(*by_count_desc("Latitude", "Longitude"))
     g = (lr.withColumn("grid_cell", grid.grid_cell(grid.coord_bin(F.col("Latitude")),
                                                    grid.coord_bin(F.col("Longitude"))))
@@ -59,31 +74,17 @@ def marts_from_rollups(tr: DataFrame, lr: DataFrame) -> dict[str, DataFrame]:
               (F.sum(F.col("Longitude") * F.col(N))
                / F.sum(F.when(F.col("Longitude").isNotNull(), F.col(N)))).alias("avg_lon"))
          .orderBy(*by_count_desc("grid_cell")))
-    return {
-        "hourly": _small_sorted(_sum_by(tr, "hour"), F.col("hour").asc_nulls_first()),
-        "daily": _small_sorted(_sum_by(tr, "day_of_week"),
-                               F.col("day_of_week").asc_nulls_first()),
-        "type_summary": _small_sorted(_sum_by(tr, "Violation_Type"),
-                                      *by_count_desc("Violation_Type")),
-        "type_hour_matrix": matrix,
-        "all_locations": all_loc,
-        "top_locations": all_loc.limit(10),
-        "time_window": _small_sorted(_sum_by(tr, "hour_window"),
-                                     F.col("hour_window").asc_nulls_first()),
-        "daytype": _small_sorted(_sum_by(tr, "day_type"), "day_type"),
-        "type_time": _small_sorted(_sum_by(tr, "Violation_Type", "hour_window"),
-                                   F.col("Violation_Type").asc_nulls_first(),
-                                   F.col("hour_window").asc_nulls_first()),
-        "spatial_grid": g,
-    }
+    return {"all_locations": all_loc, "top_locations": all_loc.limit(10), "spatial_grid": g}
 
 
 def build_marts(spark: SparkSession, fact: DataFrame, cut_lineage: bool = True) -> dict[str, DataFrame]:
-    tr, lr = time_rollup(fact), location_rollup(fact)
-    if cut_lineage:
-        checkpoint_root(spark)
-        tr, lr = tr.checkpoint(), lr.checkpoint()
-    return marts_from_rollups(tr, lr)
+    """The marts that the fact's columns allow: those of places need both
+    coordinates, the others the time and type."""
+    checkpoint_root(spark)
+    keep = (lambda df: df.checkpoint()) if cut_lineage else (lambda df: df)
+    tr = keep(time_rollup(fact)) if has_columns(fact, "Timestamp", "Violation_Type") else None
+    lr = keep(location_rollup(fact)) if has_columns(fact, "Latitude", "Longitude") else None
+    return {**(time_marts(tr) if tr is not None else {}), **(location_marts(lr) if lr is not None else {})}
 
 
 def direct_marts(fact: DataFrame) -> dict[str, DataFrame]:
@@ -128,3 +129,26 @@ def mart_summary(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def mart_values(spark: SparkSession, root: str) -> DataFrame:
+    """(mart, key, total_violations, place) of the marts with a total per row;
+    ``place`` is a row's position in the order it was written in."""
+    from ..sources.mart_store import load_parquet, mart_path
+    keys = {"hourly": ["hour"], "daily": ["day_of_week"], "type_summary": ["Violation_Type"], "time_window": ["hour_window"],
+            "daytype": ["day_type"], "type_time": ["Violation_Type", "hour_window"], "spatial_grid": ["grid_cell"],
+            "all_locations": ["Latitude", "Longitude"], "top_locations": ["Latitude", "Longitude"]}
+    parts = []
+    for name, cols in keys.items():
+        df = load_parquet(spark, mart_path(root, name))
+        if df is None:
+            continue
+        text = [F.round(c, 2).cast("string") if c in ("Latitude", "Longitude") else F.col(c).cast("string") for c in cols]
+        key = F.concat_ws("|", *text) if len(cols) > 1 else text[0]
+        # files are named in partition order and a file keeps its rows' order
+        written = Window.orderBy("_metadata.file_name", "_metadata.row_index")
+        parts.append(df.select(F.lit(name).alias("mart"), key.alias("key"), F.col(N), F.row_number().over(written).alias("place")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -8,14 +8,12 @@ from ..operators import aggregates as agg
 from ..operators import tracking as trk
 from ..operators.clean import clean_violations
 from ..sources import fixtures
-from ..sources.exports import append_log
 
 
 def violation_fact(detections: DataFrame, cameras: DataFrame) -> DataFrame:
-    """The violation log of the detections as a cleaned fact."""
-    log = trk.violation_log(detections, cameras)
-    return clean_violations(log.select(*[c for c in log.columns
-                                         if c not in ("camera_id", "track_id")]))
+    """The violation log of the detections as a cleaned fact, which keeps the
+    session, camera and track of each row."""
+    return clean_violations(trk.violation_log(detections, cameras), keys=trk.KEYS)
 
 
 def hotspots(detections: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -24,9 +22,3 @@ def hotspots(detections: DataFrame, cameras: DataFrame) -> DataFrame:
 
 def hotspots_from_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hotspots(fixtures.detections(spark, sf_dir), fixtures.fixture_cameras(spark))
-
-
-def run_detection_job(spark: SparkSession, detections: DataFrame, cameras: DataFrame,
-                      log_path: str) -> None:
-    """Append this batch of violations to the CSV log (header in each file)."""
-    append_log(trk.violation_log(detections, cameras), log_path)

@@ -6,7 +6,6 @@ grows with them.  ``roadsight.oracle`` holds the matching SQL.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ from .sources.fact_store import read_fact, write_fact
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_STORED_FACT: dict[tuple[str, str], str] = {}
+_STORED_FACT: dict[tuple, str] = {}
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +34,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     date-partitioned Parquet in the shared checkpoint folder.  Reading it back
     gives real pushdown (type, severity, time) and date partition pruning.
     Columns: the seven fact columns plus ``event_date``."""
-    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir))
+    key = fixtures.input_state(fixtures.table(spark, sf_dir, "events"))
     path = _STORED_FACT.get(key)
     if path is None:
         path = scratch_path(spark, "fact")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .operators import clustering, tracking as trk
 from .operators.clean import standardize
-from .operators.selection import apply_selection
-from .plans.marts import mart_summary, run_mart_job
+from .operators.selection import apply_selection, valid_coordinates
+from .plans.marts import mart_summary, mart_values, run_mart_job
 from .plans.violations import hotspots_from_detections
 from .queries import fact
 from .queries_params import DEMO_SELECTION
@@ -16,7 +16,7 @@ from .schema import VIOLATION_COLUMNS
 from .session import scratch_path
 from .sources import exports, fixtures
 from .sources.csv_source import read_violations_csv, write_violations_csv
-from .streaming.tracker import run_violation_stream
+from .streaming.tracker import run_violation_stream, stream_hits, stream_log
 
 
 def q_ingest_csv_roundtrip(spark, sf_dir):
@@ -65,16 +65,66 @@ def q_kmeans_centers(spark, sf_dir):
     return clustering.kmeans_centers(spark, fact(spark, sf_dir))
 
 
+def _deliver(det, src: str, cuts) -> None:
+    """Append one delivery per cut: a track's rows of a delivery are in one
+    file, so files of a delivery may be taken in any order."""
+    parts = int(det.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for cut in cuts:
+        part = trk.with_session(det).where(cut)
+        part.repartition(parts, *trk.KEYS).write.mode("append").parquet(src)
+
+
 def q_stream_violations(spark, sf_dir):
     src = scratch_path(spark, "stream-src")
-    fixtures.detections(spark, sf_dir).write.parquet(src)
+    _deliver(fixtures.detections(spark, sf_dir), src, ["frame_idx < 20", "frame_idx >= 20"])
     sink = scratch_path(spark, "stream-sink")
     run_violation_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"),
                          fixtures.fixture_cameras(spark))
-    out = spark.read.parquet(sink)
+    out = stream_hits(spark, sink).drop("session_id", "session_start")
     return out.withColumn("smooth_kmh", F.round("smooth_kmh", 4))
 
 
+def q_stream_violations_multi(spark, sf_dir):
+    """Recordings delivered camera by camera and out of their time order, an
+    hour of media time apart; the stream's sink as the numbered log."""
+    src = scratch_path(spark, "stream-src")
+    _deliver(fixtures.session_detections(spark, sf_dir), src,
+             ["camera_id = 2 and session_id >= 1", "camera_id = 0", "camera_id in (1, 3)",
+              "camera_id = 2 and session_id = 0"])
+    sink = scratch_path(spark, "stream-sink")
+    run_violation_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"),
+                         fixtures.session_cameras(spark))
+    return stream_log(spark, sink)
+
+
+def q_kmeans_separated(spark, sf_dir):
+    """Zones of points around five far places, whose best fit is known."""
+    group = F.col("user_id") % 5
+    points = (fixtures.table(spark, sf_dir, "events").where("user_id is not null").select(
+        (10.0 * group + (F.col("event_id") % 7) * 1e-3).alias("Latitude"),
+        (100.0 - 15.0 * group + (F.col("event_id") % 11) * 1e-3).alias("Longitude")))
+    fitted = clustering.fit_zones(points)
+    centers = clustering.kmeans_centers(spark, points, fitted).select(
+        "cluster", F.round("Latitude", 6).alias("center_lat"), F.round("Longitude", 6).alias("center_lon"))
+    counts = clustering.kmeans_clusters(points, fitted).groupBy("cluster").agg(F.count("*").alias("points"))
+    return counts.join(centers, "cluster")
+
+
+def q_valid_coordinates_nan(spark, sf_dir):
+    """Coordinates that are no number don't pass: every 13th latitude is NaN."""
+    raw = fixtures.violations(spark, sf_dir)
+    bad = raw.withColumn("Latitude", F.when(F.col("Violation_ID").cast("long") % 13 == 0, F.lit(float("nan")))
+                         .otherwise(F.col("Latitude")))
+    return valid_coordinates(standardize(bad)).select("Violation_ID", "Latitude", "Longitude")
+
+
+def q_mart_values(spark, sf_dir):
+    """Key, total and place in order of every row of the marts read back."""
+    root = scratch_path(spark, "mart-values")
+    run_mart_job(spark, fact(spark, sf_dir), root)
+    return mart_values(spark, root)
+
+
 def io_queries():
     return {
         "ingest_csv_roundtrip": q_ingest_csv_roundtrip,
@@ -86,6 +136,10 @@ def io_queries():
         "kmeans_clusters": q_kmeans_clusters,
         "kmeans_centers": q_kmeans_centers,
         "stream_violations": q_stream_violations,
+        "stream_violations_multi": q_stream_violations_multi,
+        "kmeans_separated": q_kmeans_separated,
+        "valid_coordinates_nan": q_valid_coordinates_nan,
+        "mart_values": q_mart_values,
     }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .functions.severity import severity_score
 from .operators import tracking as trk
+from .plans.violations import hotspots
 from .sources import fixtures
 
 R = 4  # digits kept of floating track values
@@ -89,7 +90,25 @@ def q_wrong_way_violations(spark, sf_dir):
 
 
 def q_violation_log(spark, sf_dir):
-    return trk.violation_log(*_inputs(spark, sf_dir))
+    return trk.violation_log(*_inputs(spark, sf_dir)).drop("session_id")
+
+
+def q_violation_log_sessions(spark, sf_dir):
+    """Several recordings of each camera: ids, settings and clocks by session."""
+    return trk.violation_log(fixtures.session_detections(spark, sf_dir), fixtures.session_cameras(spark))
+
+
+def q_session_hotspots(spark, sf_dir):
+    """Violations of two cameras at one spot both count."""
+    df = hotspots(fixtures.session_detections(spark, sf_dir), fixtures.session_cameras(spark))
+    return (df.withColumn("avg_lat", F.round("avg_lat", 6))
+            .withColumn("avg_lon", F.round("avg_lon", 6)))
+
+
+def q_long_track_states(spark, sf_dir):
+    """All events as one track: many chunks and blocks of a single key."""
+    sm = trk.track_states(fixtures.long_track(spark, sf_dir), fixtures.fixture_cameras(spark), with_flag=True)
+    return sm.select(*K, "step_no", _r("smooth_kmh"), _r("net_dy"), "wrong_so_far")
 
 
 def q_annotated_tracks(spark, sf_dir):
@@ -114,4 +133,7 @@ def tracking_queries():
         "wrong_way_violations": q_wrong_way_violations,
         "violation_log": q_violation_log,
         "annotated_tracks": q_annotated_tracks,
+        "violation_log_sessions": q_violation_log_sessions,
+        "session_hotspots": q_session_hotspots,
+        "long_track_states": q_long_track_states,
     }

@@ -20,17 +20,6 @@ VIOLATION_CSV_SCHEMA = T.StructType([
     T.StructField("Severity", T.IntegerType(), True),
 ])
 
-# The cleaned fact: a wall-clock timestamp without zone.
-VIOLATION_SCHEMA = T.StructType([
-    T.StructField("Violation_ID", T.StringType(), True),
-    T.StructField("Timestamp", T.TimestampNTZType(), True),
-    T.StructField("Latitude", T.DoubleType(), True),
-    T.StructField("Longitude", T.DoubleType(), True),
-    T.StructField("Violation_Type", T.StringType(), True),
-    T.StructField("Vehicle_Type", T.StringType(), True),
-    T.StructField("Severity", T.IntegerType(), True),
-])
-
 # One row per (camera, frame, tracked box).  y1 only feeds drawing: dropped.
 DETECTION_SCHEMA = T.StructType([
     T.StructField("camera_id", T.IntegerType(), True),
@@ -44,6 +33,10 @@ DETECTION_SCHEMA = T.StructType([
     T.StructField("y2", T.IntegerType(), True),
 ])
 
+# Detections of several recordings: track ids start anew with each session.
+SESSION_DETECTION_SCHEMA = T.StructType([*DETECTION_SCHEMA.fields,
+                                         T.StructField("session_id", T.LongType(), True)])
+
 CAMERA_SCHEMA = T.StructType([
     T.StructField("camera_id", T.IntegerType(), False),
     T.StructField("latitude", T.DoubleType(), True),
@@ -52,6 +45,13 @@ CAMERA_SCHEMA = T.StructType([
     T.StructField("flow_positive_y", T.BooleanType(), True),
 ])
 
+# Camera settings per session, with the wall-clock start of each.
+SESSION_CAMERA_SCHEMA = T.StructType([
+    *CAMERA_SCHEMA.fields,
+    T.StructField("session_id", T.LongType(), False),
+    T.StructField("session_start", T.TimestampNTZType(), True),
+])
+
 # Vehicle classes that are tracked, and the two violation kinds.
 VEHICLE_CLASSES = ["car", "truck", "bus", "motorcycle"]
 KIND_WRONG_WAY = "Wrong Way"

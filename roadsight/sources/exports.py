@@ -24,8 +24,8 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 def export_json(df: DataFrame, path: str) -> None:
     """Rows as JSON records (one per line) with ISO timestamps; null fields
-    are omitted and read back as null."""
-    (df.write.mode("overwrite")
+    are written as null."""
+    (df.write.mode("overwrite").option("ignoreNullFields", False)
      .option("timestampNTZFormat", JSON_TIME_FORMAT)
      .option("timestampFormat", JSON_TIME_FORMAT).json(path))
 

@@ -8,6 +8,7 @@ user, 25 frames a second).  The same rules are written as SQL in
 
 from __future__ import annotations
 
+import datetime as _dt
 import math
 import os
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.severity import severity_score
 from ..operators.sequence import exact_positions
-from ..schema import CAMERA_SCHEMA, DETECTION_SCHEMA
+from ..schema import CAMERA_SCHEMA, DETECTION_SCHEMA, SESSION_CAMERA_SCHEMA, SESSION_DETECTION_SCHEMA
 from ..session import scratch_path
 
 # The camera settings of the four fixture cameras
@@ -30,6 +31,13 @@ FIXTURE_CAMERAS = [
 # Frame rate of the fixture tracks, the limit used to score the
 # event value as a speed, and the per-user vehicle classes.
 FIXTURE_FPS = 25.0
+# The recordings that the session fixture deals events out to,
+# the seconds of media time each starts later than the one before, and the days
+# between their starts.  Cameras 0 and 1 stand at one spot there.
+FIXTURE_SESSIONS = 3
+FIXTURE_SESSION_OFFSET = 3600.0
+FIXTURE_SESSION_DAYS = 1
+FIXTURE_FIRST_START = _dt.datetime(2024, 1, 1)
 FIXTURE_VALUE_LIMIT = 50.0
 FIXTURE_VEHICLE_BY_USER_MOD4 = ["car", "truck", "bus", "motorcycle"]
 FIXTURE_CLASS_BY_USER_MOD5 = ["car", "truck", "bus", "motorcycle", "person"]
@@ -66,20 +74,22 @@ def violations_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def detections_from_events(events: DataFrame) -> DataFrame:
+def detections_from_events(events: DataFrame, sessions: int = 0) -> DataFrame:
     """One track per user: frame f is the user's f-th event (0-based), steady
     motion with a small jitter; every seventh user moves up the picture and
-    one user in five is not a vehicle.
+    one user in five is not a vehicle.  With ``sessions``, event ids modulo
+    that number name the recording, and frames count within it.
 
     The per-user frame number is an exact row number computed without sorting
     a whole user in one task (see ``exact_positions``).
     """
     ev = events.select("event_id", "user_id").where(F.col("user_id").isNotNull())
+    ev = ev.withColumn("session_id", F.pmod("event_id", F.lit(max(1, sessions))))
     # Id ranges of max(2^16, sqrt(id span)): a user holding a third of all
     # events is ranked in ~sqrt(span) buckets of ~sqrt(span) ids each.
     lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
     width = max(EVENT_ID_BUCKET, math.isqrt(max(0, (hi or 0) - (lo or 0))) + 1)
-    ranked = exact_positions(ev, ["user_id"], [F.col("event_id")],
+    ranked = exact_positions(ev, ["user_id", "session_id"], [F.col("event_id")],
                              F.floor(F.col("event_id") / F.lit(width)), "pos")
     uid, eid, f = F.col("user_id"), F.col("event_id"), F.col("pos") - 1
     step = F.lit(1) + uid % 9
@@ -90,12 +100,14 @@ def detections_from_events(events: DataFrame) -> DataFrame:
         (uid % 4).cast("int").alias("camera_id"),
         uid.alias("track_id"),
         f.cast("int").alias("frame_idx"),
-        (f.cast("double") / F.lit(FIXTURE_FPS)).alias("t_sec"),
+        (f.cast("double") / F.lit(FIXTURE_FPS)
+         + F.col("session_id") * F.lit(FIXTURE_SESSION_OFFSET)).alias("t_sec"),
         eid.alias("det_idx"),
         _pick(FIXTURE_CLASS_BY_USER_MOD5, uid % 5).alias("class_name"),
         F.lit(900).cast("int").alias("x1"),
         (F.lit(1000) + uid % 50).cast("int").alias("x2"),
         y2.cast("int").alias("y2"),
+        *(["session_id"] if sessions else []),
     )
 
 
@@ -107,17 +119,54 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations_from_events(table(spark, sf_dir, "events"))
 
 
-_STORED_DETECTIONS: dict[tuple[str, str], str] = {}
+def session_cameras(spark: SparkSession) -> DataFrame:
+    """Settings per session: each a little faster than the one before."""
+    spot = FIXTURE_CAMERAS[0]
+    rows = [(cam, spot[1] if cam == 1 else lat, spot[2] if cam == 1 else lon, limit + s, positive, s,
+             FIXTURE_FIRST_START + _dt.timedelta(days=s * FIXTURE_SESSION_DAYS))
+            for s in range(FIXTURE_SESSIONS) for cam, lat, lon, limit, positive in FIXTURE_CAMERAS]
+    return spark.createDataFrame(rows, SESSION_CAMERA_SCHEMA)
 
 
-def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def long_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as the sightings of one track that goes to and fro."""
+    ev = table(spark, sf_dir, "events").select("event_id").withColumn("one", F.lit(1))
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    width = max(EVENT_ID_BUCKET, math.isqrt(max(0, (hi or 0) - (lo or 0))) + 1)
+    f = F.col("pos") - 1
+    return exact_positions(ev, ["one"], [F.col("event_id")], F.floor(F.col("event_id") / F.lit(width)), "pos").select(
+        F.lit(0).alias("camera_id"), F.lit(1).cast("long").alias("track_id"), f.cast("int").alias("frame_idx"),
+        (f.cast("double") / F.lit(FIXTURE_FPS)).alias("t_sec"), F.col("event_id").alias("det_idx"),
+        F.lit("car").alias("class_name"), F.lit(900).alias("x1"), F.lit(1000).alias("x2"),
+        (F.lit(200) + F.abs((f * 2) % 1600 - 800) + F.col("event_id") % 3).cast("int").alias("y2"))
+
+
+_STORED_DETECTIONS: dict[tuple, str] = {}
+
+
+def _stored_detections(spark: SparkSession, sf_dir: str, sessions: int) -> str:
     """The detection table derived from ``events``: written once per session
-    and input folder as Parquet in the shared checkpoint folder, then read
-    like the real detection table it stands for."""
-    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir))
+    and state of the input as Parquet in the shared checkpoint folder, then
+    read like the real detection table it stands for."""
+    events = table(spark, sf_dir, "events")
+    key = (*input_state(events), sessions)
     path = _STORED_DETECTIONS.get(key)
     if path is None:
         path = scratch_path(spark, "detections")
-        detections_from_events(table(spark, sf_dir, "events")).write.parquet(path)
+        detections_from_events(events, sessions).write.parquet(path)
         _STORED_DETECTIONS[key] = path
-    return spark.read.schema(DETECTION_SCHEMA).parquet(path)
+    return path
+
+
+def input_state(df: DataFrame) -> tuple:
+    """What a stored copy of a table must be made anew for: the application
+    and the table's files (a rewritten table has files of other names)."""
+    return (df.sparkSession.conf.get("spark.app.id", ""), tuple(sorted(df.inputFiles())))
+
+
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(DETECTION_SCHEMA).parquet(_stored_detections(spark, sf_dir, 0))
+
+
+def session_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(SESSION_DETECTION_SCHEMA).parquet(_stored_detections(spark, sf_dir, FIXTURE_SESSIONS))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 
 # Mart name -> path under the output root.
@@ -55,7 +56,7 @@ def load_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     gives None instead of an error."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except (AnalysisException, SparkException, Py4JJavaError):   # missing, or no footer to read
         return None
     return df if df.columns else None
 

@@ -1,21 +1,30 @@
 """Stateful violation detector over a detection stream.
 
-``groupBy(camera_id, track_id).applyInPandasWithState``: the state of a track
-is its last sighting, the EMA, the last 15 dy values and the two "already
-logged" flags; each micro-batch's rows of a track are sorted by
-(frame_idx, det_idx) and rows not newer than the state are ignored (replays).
-Every (track, kind) is emitted at most once.  A track idle for longer than
-``TRACK_IDLE`` of event time is evicted (the original never evicts; the idle
-time must exceed a camera session, else a track could log twice).
+``groupBy(session_id, camera_id, track_id).applyInPandasWithState``: the state
+of a track is its last sighting, the EMA, the last 14 dy values, the two
+"already logged" flags and its late rows; each micro-batch's rows of a track
+are sorted by (frame_idx, det_idx).  Every (track, kind) is emitted at most
+once.
+
+Order.  Tracks don't wait for each other: there is no watermark, so a file of
+one camera may come long after another camera has moved on.  Within a track
+files must come in frame order, as a camera records; a row that is not newer
+than its track's state (a file out of order, or one delivered again) can't
+change what was emitted.  Such rows are counted, never dropped in silence: the
+sink gets a ``LATE_ROWS`` row with their number in ``step_no``.  ``stream_hits``
+and ``late_rows`` read the two kinds apart.
+
+State is kept for good, as the original keeps it, unless ``idle_seconds`` is
+given: then a track that got no rows for that long (processing time) is
+forgotten, and would log anew if it came back.
 
 Ids are not assigned here: a shared sequence across parallel tracks is not a
-streaming notion; number the emitted rows in batch (``number_violations``).
+streaming notion; ``number_violations`` numbers the emitted rows in batch
+(``stream_log``).
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,16 +33,18 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.geometry import METRES_PER_UNIT
 from ..operators import tracking as trk
-from ..schema import DETECTION_SCHEMA, KIND_SPEEDING, KIND_WRONG_WAY
+from ..functions.severity import severity_of
+from ..schema import KIND_SPEEDING, KIND_WRONG_WAY, SESSION_DETECTION_SCHEMA
 
-TRACK_IDLE_SECONDS = 3600
 _EMA_SLICE = 1024
-WATERMARK = "10 minutes"
+LATE_ROWS = "Late Rows"
+#: Files of a micro-batch, which bounds what one track can hand to one task.
+MAX_FILES_PER_TRIGGER = 64
 
-OUTPUT_SCHEMA = ("camera_id int, track_id long, Violation_Type string, step_no long, "
+OUTPUT_SCHEMA = ("session_id long, camera_id int, track_id long, Violation_Type string, step_no long, "
                  "frame_idx int, det_idx long, t_sec double, class_name string, "
                  "smooth_kmh double, latitude double, longitude double, "
-                 "speed_limit_kmh double, Severity int")
+                 "speed_limit_kmh double, session_start timestamp_ntz, Severity int")
 STATE_SCHEMA = ("has_last boolean, last_x double, last_y double, last_t double, "
                 "last_frame long, last_det long, ema double, steps long, "
                 "dys array<double>, wrong_logged boolean, speed_logged boolean")
@@ -41,20 +52,6 @@ STATE_SCHEMA = ("has_last boolean, last_x double, last_y double, last_t double,
 _OUT_COLS = [c.strip().split(" ")[0] for c in OUTPUT_SCHEMA.split(",")]
 
 
-def _severity(speed: float, limit: float) -> int:
-    if speed <= limit:
-        return 0
-    pct = (speed - limit) / limit * 100.0
-    for score, step in enumerate((10.0, 20.0, 30.0, 40.0), start=1):
-        if pct < step:
-            return score
-    return 5
-
-
-def _session_epoch_ms() -> float:
-    return (trk.SESSION_START.replace(tzinfo=_dt.timezone.utc).timestamp()) * 1000.0
-
-
 def _ema_series(raw: np.ndarray, ema0: float) -> np.ndarray:
     """s_k = 0.3 raw_k + 0.7 s_(k-1), s_0 = ema0, for all k at once: the closed
     form 0.7^k (ema0 + sum_(i<=k) 0.3 * 0.7^(-i) raw_i), in slices short
@@ -69,12 +66,14 @@ def _ema_series(raw: np.ndarray, ema0: float) -> np.ndarray:
     return out
 
 
-def detect(key, pdfs, state):
+def detect(key, pdfs, state, idle_seconds=None):
     """One track's micro-batch: vectorised steps, EMA, direction and first
     hits, continuing from the track's state."""
     if state.hasTimedOut:
         state.remove()
         return
+    if idle_seconds:
+        state.setTimeoutDuration(int(idle_seconds * 1000))
     batch = pd.concat([p for p in pdfs if len(p)], ignore_index=True) if pdfs else None
     if batch is None or batch.empty:
         return
@@ -83,7 +82,12 @@ def detect(key, pdfs, state):
         (has_last, lx, ly, lt, lf, ld, ema0, steps0, dys, wlog, slog) = state.get
         dys = list(dys or [])
         newer = (batch["frame_idx"] > lf) | ((batch["frame_idx"] == lf) & (batch["det_idx"] > ld))
-        batch = batch[newer.to_numpy()]
+        late, batch = batch[~newer.to_numpy()], batch[newer.to_numpy()]
+        if len(late):
+            r = late.iloc[0]
+            yield pd.DataFrame([{c: r.get(c) for c in _OUT_COLS}
+                                | dict(Violation_Type=LATE_ROWS, step_no=len(late),
+                                       smooth_kmh=None, Severity=0)])[_OUT_COLS]
     else:
         has_last, lx, ly, lt, lf, ld, ema0, steps0, dys, wlog, slog = (
             False, 0.0, 0.0, 0.0, -1, -1, 0.0, 0, [], False, False)
@@ -112,7 +116,8 @@ def detect(key, pdfs, state):
 
         def emit(k: int, kind: str, sev: int) -> None:
             r = rows.iloc[k]
-            out.append(dict(camera_id=r.camera_id, track_id=r.track_id,
+            out.append(dict(session_id=r.session_id, session_start=r.session_start,
+                            camera_id=r.camera_id, track_id=r.track_id,
                             Violation_Type=kind, step_no=steps0 + k + 1,
                             frame_idx=r.frame_idx, det_idx=r.det_idx, t_sec=r.t_sec,
                             class_name=r.class_name, smooth_kmh=float(ema[k]),
@@ -125,7 +130,7 @@ def detect(key, pdfs, state):
         if not slog and over.any():
             slog = True
             k = int(np.argmax(over))
-            emit(k, KIND_SPEEDING, _severity(float(ema[k]), float(first["speed_limit_kmh"])))
+            emit(k, KIND_SPEEDING, severity_of(float(ema[k]), float(first["speed_limit_kmh"])))
         ema_last = float(ema[-1])
         steps0 += len(idx)
         dys = (list(dys) + dy.tolist())[-(trk.DIR_WINDOW - 1):]
@@ -133,33 +138,32 @@ def detect(key, pdfs, state):
     state.update((True, float(last.tx), float(last.ty), float(last.t_sec), int(last.frame_idx),
                   int(last.det_idx), ema_last, int(steps0), [float(v) for v in dys],
                   wlog, slog))
-    latest_ms = _session_epoch_ms() + float(np.nanmax(t)) * 1000.0
-    state.setTimeoutTimestamp(int(latest_ms + TRACK_IDLE_SECONDS * 1000))
     if out:
         yield pd.DataFrame(out)[_OUT_COLS]
 
 
-def violation_stream(detections: DataFrame, cameras: DataFrame) -> DataFrame:
-    """Streaming DataFrame of first hits per (track, kind)."""
-    s = trk.sightings(detections, cameras)
-    epoch_s = _session_epoch_ms() / 1000.0
-    s = (s.withColumn("event_time", F.timestamp_seconds(F.lit(epoch_s) + F.col("t_sec")))
-         .withWatermark("event_time", WATERMARK)
-         .select("camera_id", "track_id", "frame_idx", "det_idx", "t_sec", "class_name",
-                 "tx", "ty", "flow_sign", "latitude", "longitude", "speed_limit_kmh",
-                 "event_time"))
-    return s.groupBy("camera_id", "track_id").applyInPandasWithState(
-        detect, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+def violation_stream(detections: DataFrame, cameras: DataFrame,
+                     idle_seconds: float | None = None) -> DataFrame:
+    """Streaming DataFrame of first hits per (track, kind), and late-row counts."""
+    s = trk.sightings(detections, cameras).select(
+        *trk.KEYS, "frame_idx", "det_idx", "t_sec", "class_name", "tx", "ty", "flow_sign",
+        "latitude", "longitude", "speed_limit_kmh", "session_start")
+
+    def run(key, pdfs, state):
+        yield from detect(key, pdfs, state, idle_seconds)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_seconds else GroupStateTimeout.NoTimeout
+    return s.groupBy(*trk.KEYS).applyInPandasWithState(run, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def run_violation_stream(spark, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                         cameras: DataFrame, max_files_per_trigger: int | None = None,
-                         available_now: bool = True):
-    """Parquet detection files -> stateful detector -> Parquet sink (append)."""
-    reader = spark.readStream.schema(DETECTION_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    out = violation_stream(reader.parquet(source_dir), cameras)
+                         cameras: DataFrame, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+                         available_now: bool = True, idle_seconds: float | None = None):
+    """Parquet detection files -> stateful detector -> Parquet sink (append).
+    A source without ``session_id`` is one session."""
+    reader = (spark.readStream.schema(SESSION_DETECTION_SCHEMA)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    out = violation_stream(reader.parquet(source_dir), cameras, idle_seconds)
     w = (out.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint_dir).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w
@@ -167,3 +171,20 @@ def run_violation_stream(spark, source_dir: str, sink_dir: str, checkpoint_dir:
     if available_now:
         q.awaitTermination()
     return q
+
+
+def stream_hits(spark, sink_dir: str) -> DataFrame:
+    """The violations in a stream's sink."""
+    return spark.read.parquet(sink_dir).where(F.col("Violation_Type") != LATE_ROWS)
+
+
+def late_rows(spark, sink_dir: str) -> DataFrame:
+    """(session_id, camera_id, track_id, rows): rows that came too late to count."""
+    return (spark.read.parquet(sink_dir).where(F.col("Violation_Type") == LATE_ROWS)
+            .groupBy(*trk.KEYS).agg(F.sum("step_no").alias("rows")))
+
+
+def stream_log(spark, sink_dir: str) -> DataFrame:
+    """The numbered log of a stream's sink, as the batch job writes it; clean
+    it with ``clean_violations(log, keys=KEYS)`` to get the marts' fact."""
+    return trk.number_violations(stream_hits(spark, sink_dir))
