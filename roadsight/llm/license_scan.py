@@ -11,9 +11,9 @@ words of letters and digits; its bigrams are a set.
 *Pruning, none of it lossy.*  Dice >= t needs |A| between t/(2-t) |B| and
 (2-t)/t |B|: templates out of these size bounds are not compared.  It also
 needs t/(2-t) |B| shared bigrams, so a matching unit holds one of any
-|B| - ceil(t/(2-t) |B|) + 1 of the template's; for each template the longest
-words that cover as many of its bigrams are its probe words, and a text or unit
-without any probe word is passed over.
+|B| - ceil(t/(2-t) |B|) + 1 of the template's.  A notice has as many of its
+bigrams as probes, those of the longest words; a longer template has words that
+as many of its bigrams hold.  A text or unit without a probe is passed over.
 
 *Scale.*  One projection over the texts: no shuffle, no join, and the templates
 are a constant of the plan.
@@ -75,8 +75,9 @@ OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[^\p{L}\p{N}]+"
-#: Probe words shorter than this are looked for as whole words.
-SHORT_WORD = 5
+#: Templates of at most so many bigrams have bigrams for probes, others words.
+NOTICE_BIGRAMS = 20
+LONG_WORD = 6
 PARAGRAPH = r"\n[ \t\r]*\n"
 
 
@@ -92,19 +93,46 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     return ceil(threshold / (2 - threshold) * n - 1e-9), int((2 - threshold) / threshold * n + 1e-9)
 
 
+def _enough(bigrams: list[str], threshold: float) -> int:
+    """So many of the bigrams can't all be missing from a match."""
+    return len(bigrams) - size_bounds(len(bigrams), threshold)[0] + 1
+
+
+def probe_bigrams(bigrams: list[str], threshold: float) -> list[str]:
+    """Bigrams of which any match has one, those of the longest words."""
+    return sorted(bigrams, key=lambda b: (max(map(len, b.split())), b), reverse=True)[:_enough(bigrams, threshold)]
+
+
 def probe_words(bigrams: list[str], threshold: float) -> list[str]:
-    """Words of which any match has one: longest first (of equal length the
-    last in the alphabet), until the bigrams they are part of can't all be missing."""
-    enough = len(bigrams) - size_bounds(len(bigrams), threshold)[0] + 1
-    words, covered = [], set()
-    for w in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (len(w), w), reverse=True):
-        if len(covered) >= enough:
-            break
-        words.append(w)
-        covered |= {b for b in bigrams if w in b.split()}
+    """Words of which any match has one: each time the word that most of the
+    bigrams not yet covered hold, long words before short ones."""
+    words, left = [], set(bigrams)
+    need = len(bigrams) - _enough(bigrams, threshold)
+    while len(left) > need:
+        words.append(max(sorted({w for b in left for w in b.split()}),
+                         key=lambda w: (len(w) >= LONG_WORD, sum(w in b.split() for b in left))))
+        left = {b for b in left if words[-1] not in b.split()}
     return words
 
 
+def has_probe(text: Column, grams: list[list[str]], threshold: float) -> Column:
+    """Whether a lower-cased text has a probe of any template: long templates'
+    words, or a notice's bigram; the pattern is only tried on texts that hold
+    both words of one."""
+    words = sorted({w for g in grams if len(g) > NOTICE_BIGRAMS for w in probe_words(g, threshold)})
+    pairs = sorted({b for g in grams if len(g) <= NOTICE_BIGRAMS for b in probe_bigrams(g, threshold)})
+    both = F.lit(False)
+    for b in pairs:
+        short, long = sorted(b.split(), key=len)
+        both = both | (F.contains(text, F.lit(long)) & F.contains(text, F.lit(short)))
+    pattern = "|".join(rf"{x}[^\p{{L}}\p{{N}}]+{y}" for x, y in (b.split() for b in pairs))
+    found = both & F.rlike(text, F.lit(pattern)) if pairs else both
+    for w in words:
+        if not any(p != w and p in w for p in words):      # else its part stands for it
+            found = F.contains(text, F.lit(w)) | found
+    return found
+
+
 def _lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
@@ -121,24 +149,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """doc_id, ``matches``: the distinct (license, dice) of the document's
     units, best first, for every row."""
     grams = [(name, template_bigrams(text)) for name, text in templates]
-    probes = sorted({w for _, g in grams for w in probe_words(g, threshold)})
-
-    def has_probe(text: Column) -> Column:
-        found, short = F.lit(False), [w for w in probes if len(w) < SHORT_WORD]
-        for w in probes:
-            if w not in short and not any(p != w and p in w for p in probes if p not in short):   # else its part stands for it
-                found = found | F.contains(text, F.lit(w))
-        if short:
-            found = found | F.rlike(text, F.lit(rf"(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(short)})(?:[^\p{{L}}\p{{N}}]|$)"))
-        return found
-
+    probed = lambda text: has_probe(text, [g for _, g in grams], threshold)
     constant = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"),
                                   F.lit(size_bounds(len(g), threshold)[0]).alias("lo"),
                                   F.lit(size_bounds(len(g), threshold)[1]).alias("hi"),
                                   F.split(F.lit(",".join(g)), ",").alias("bigrams")) for name, g in grams])
-    rows = docs.select(docs[id_col].alias("doc_id"), _lower(docs[text_col]).alias("text"))
-    units = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", PARAGRAPH), F.array("text")))
-    units = F.when(has_probe(F.col("text")), F.filter(units, has_probe))
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.lower(docs[text_col]).alias("low"))
+    text = _lower(F.col("text"))
+    units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, PARAGRAPH), F.array(text)))
+    units = F.when(probed(F.col("low")), F.filter(units, probed))
 
     def compared(unit_grams: Column) -> Column:
         size = F.size(unit_grams)

@@ -42,12 +42,13 @@ def test_matches_brute_force(spark, edge_docs):
         assert all(abs(got[i][k] - v) < 1e-12 for k, v in brute(t).items())
 
 
-def test_every_match_has_a_probe_word():
+def test_every_match_has_a_probe():
     for _, template in ls.TEMPLATES:
         grams = ls.template_bigrams(template)
         lo, _ = ls.size_bounds(len(grams), ls.THRESHOLD)
-        probes = ls.probe_words(grams, ls.THRESHOLD)
-        assert sum(any(w in g.split() for w in probes) for g in grams) >= len(grams) - lo + 1
+        words = ls.probe_words(grams, ls.THRESHOLD)
+        assert sum(any(w in g.split() for w in words) for g in grams) >= len(grams) - lo + 1
+        assert len(ls.probe_bigrams(grams, ls.THRESHOLD)) == len(grams) - lo + 1
 
 
 def test_empty_table(no_docs):
