@@ -125,9 +125,9 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
     per-chunk summary built from only the first and last row of each chunk
     (a hash aggregate over <= 2 rows per chunk) gives each chunk its seed (the
     previous chunk's last sighting), whether its first row is a step, and the
-    number of steps before it.  Pass 1 is checkpointed, so the detections are
-    scanned once; the checkpoint keeps its partitioning on (track, chunk), so
-    joining the summary back moves only the summary.
+    number of steps before it.  Pass 1 and the summary are checkpointed, so the
+    detections are scanned once and pass 1 twice: for the summary, and for the
+    join with it.
     """
     width = chunk_frames or CHUNK_FRAMES
     b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(width)))
@@ -150,14 +150,14 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
     # Per-track scans over the chunk summary run in two levels (see
     # ``previous_values`` / ``exclusive_prefix``): no task orders a whole
     # track's chunks.
-    ends = (ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y")
-            .withColumnRenamed("_lt", "t"))
+    ends = materialize(ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y")
+                       .withColumnRenamed("_lt", "t"))
     seeded = previous_values(ends, KEYS, BUCKET, ["x", "y", "t"], "_seed")
     first_step = F.coalesce((F.col("_t0") - F.col("_seed.t")) > F.lit(DT_MIN), F.lit(False))
     seeded = (seeded.withColumn("_fstep", first_step)
               .withColumn("_n", F.col("_nin") + F.col("_fstep").cast("long")))
-    per_chunk = exclusive_prefix(seeded, KEYS, BUCKET, "_n", "_off").select(
-        *KEYS, BUCKET, "_seed", "_fstep", "_off")
+    per_chunk = materialize(exclusive_prefix(seeded, KEYS, BUCKET, "_n", "_off").select(
+        *KEYS, BUCKET, "_seed", "_fstep", "_off"))
     j = p1.join(per_chunk, [*KEYS, BUCKET])
     prev = F.when(F.col("_first"), F.col("_seed")).otherwise(F.col("_prev"))
     is_step = F.when(F.col("_first"), F.col("_fstep")).otherwise(F.col("_inner"))

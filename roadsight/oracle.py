@@ -436,6 +436,13 @@ def io_queries() -> dict[str, str]:
               from ({top})"""),
         "ingest_csv_roundtrip": with_fact(f"select {m1} from v"),
         "mart_roundtrip": with_fact(" union all ".join(marts)),
+        "export_summaries_roundtrip": f"""
+            select 'top_locations_data' as summary, concat_ws('|', round(Latitude, 2), round(Longitude, 2)) as key,
+                   total_violations from ({fact_queries()["top_hotspot_locations"]})
+            union all select 'violation_type_summary', coalesce(Violation_Type, ''), count(*)
+                from ({with_fact(f"select Violation_Type from f where {sel}")}) group by Violation_Type
+            union all select 'hourly_summary', coalesce(cast(hour as varchar), ''), count(*)
+                from ({with_fact(f"select hour from f where {sel}")}) group by hour""",
         "export_csv_roundtrip": with_fact(text_ts("%Y-%m-%d %H:%M:%S.%f")),
         "export_json_roundtrip": with_fact(text_ts("%Y-%m-%dT%H:%M:%S.%g")),
         "log_tail10": with_tracks(f"select {m1} from logv order by {log_order} limit 10"),

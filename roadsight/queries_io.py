@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .operators import clustering, tracking as trk
 from .operators.clean import standardize
 from .operators.selection import apply_selection, valid_coordinates
+from .plans.dashboard import export_summaries
 from .plans.marts import mart_summary, mart_values, run_mart_job
 from .plans.violations import hotspots_from_detections
 from .queries import fact
@@ -44,6 +45,20 @@ def q_export_json_roundtrip(spark, sf_dir):
     return exports.read_export_json(spark, path)
 
 
+def q_export_summaries_roundtrip(spark, sf_dir):
+    """Every row of the three summary exports of a selection, read back."""
+    root = scratch_path(spark, "summaries")
+    paths = export_summaries(fact(spark, sf_dir), DEMO_SELECTION, root)
+    parts = []
+    for name, keys in (("violation_type_summary", ["Violation_Type"]), ("hourly_summary", ["hour"]),
+                       ("top_locations_data", ["Latitude", "Longitude"])):
+        df = spark.read.option("header", True).csv(paths[name])
+        key = [F.round(F.col(k).cast("double"), 2).cast("string") if len(keys) > 1 else F.col(k) for k in keys]
+        parts.append(df.select(F.lit(name).alias("summary"), F.concat_ws("|", *key).alias("key"),
+                               F.col("total_violations").cast("long").alias("total_violations")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_log_tail10(spark, sf_dir):
     path = scratch_path(spark, "violation-log")
     log = trk.violation_log(fixtures.detections(spark, sf_dir), fixtures.fixture_cameras(spark))
@@ -131,6 +146,7 @@ def io_queries():
         "mart_roundtrip": q_mart_roundtrip,
         "export_csv_roundtrip": q_export_csv_roundtrip,
         "export_json_roundtrip": q_export_json_roundtrip,
+        "export_summaries_roundtrip": q_export_summaries_roundtrip,
         "log_tail10": q_log_tail10,
         "violation_hotspots": q_violation_hotspots,
         "kmeans_clusters": q_kmeans_clusters,
