@@ -243,3 +243,21 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
 def op2_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     """Query: vec_id, n_links, component_id, kept for every row of ``embeddings``."""
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+    AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {MIN_COSINE}),
+reach(id, near) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.near),
+component AS (SELECT id, min(near) AS component_id FROM reach GROUP BY id),
+number AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN component c ON c.id = v.vec_id LEFT JOIN number m ON m.id = v.vec_id
+"""

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from .embedding_dedup import OP2_SQL
 from .license_scan import OP4_SQL
 from .mixing import OP6_SQL
+from .warc_archive import OP10_SQL
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": OP4_SQL, "op6_mixing": OP6_SQL}
+    return {"op2_embedding_dedup": OP2_SQL, "op4_license_scan": OP4_SQL, "op6_mixing": OP6_SQL,
+            "op10_warc": OP10_SQL}

@@ -282,3 +282,17 @@ def op10_warc(spark, sf_dir: str) -> DataFrame:
     write_archive(pages, root)
     records = read_records(find_captures(spark, root, pages), root)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               ((('0x' || substr(hex || '00', (5 * i) // 4 + 1, 3))::INT >> (7 - (5 * i) % 4)) & 31) + 1, 1)
+                        for i in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
