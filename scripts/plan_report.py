@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan shape of every registered query.
+"""Write PLANS.md: the physical plan shape of every registered analytics query.
 
     python scripts/plan_report.py [sf_dir]
 
@@ -24,7 +24,7 @@ COUNTS = [("hash exch", "Exchange hashpartitioning"), ("range exch", "Exchange r
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from roadsight.queries import queries
     from roadsight.session import get_session
     spark = get_session(master="local[8]", shuffle_partitions=8)
     lines = ["# PLANS", "",
@@ -34,10 +34,10 @@ def main() -> None:
              "(the plan is of the DataFrame they return).", "",
              "| query | " + " | ".join(c for c, _ in COUNTS) + " | parquet scans: columns / pushed filters / partition filters |",
              "| --- | " + " | ".join("---" for _ in COUNTS) + " | --- |"]
-    for name, fn in entry.queries().items():
+    for name, fn in queries().items():
         df = fn(spark, sf_dir)
         df.collect()       # an action of this frame: the plan read next is the one that ran
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         scans = []
         for line in plan.split("\n"):
             m = re.search(r"FileScan parquet \[([^\]]*)\]", line)
