@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 
+#: Rows and bytes of a batch that goes to Python: texts are long, and the
+#: defaults (10,000 rows) make batches of tens of megabytes on either side.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of the session's Python tasks."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; bounds the session's batches for what reads it."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
