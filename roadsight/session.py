@@ -99,12 +99,11 @@ def cluster_sizing(input_bytes: int, total_cores: int,
 
     Scan splits of ~256 MB; shuffle partitions sized so a wide shuffle of the
     whole input lands near the same size per reducer (at least two waves of the
-    cores, at most 200k), with AQE coalescing the small aggregate exchanges
-    and splitting skewed ones.  E.g. 100 TB on 8,000 cores -> 200,000
-    partitions of ~500 MB before AQE coalescing; pass the result to
-    ``get_session(extra=...)``.
+    cores), with AQE coalescing the small aggregate exchanges and splitting
+    skewed ones.  E.g. 100 TB on 8,000 cores -> about 373,000 partitions before
+    AQE coalescing; pass the result to ``get_session(extra=...)``.
     """
-    parts = max(2 * total_cores, min(200_000, -(-input_bytes // target_bytes)))
+    parts = max(2 * total_cores, -(-input_bytes // target_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.shuffle.partitions": str(parts),

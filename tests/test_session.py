@@ -11,7 +11,7 @@ def test_checkpoint_folder_comes_from_the_session(spark):
 
 def test_cluster_sizing_bounds():
     tb100 = cluster_sizing(100 * 10**12, total_cores=8000)
-    assert int(tb100["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(tb100["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))   # 256 MB each, no cap
     small = cluster_sizing(10**9, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16_000      # two waves of cores
     assert small["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
