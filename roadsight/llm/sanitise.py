@@ -6,28 +6,35 @@ fails its check is dropped without a retry.  Each found value is a protected
 entity.
 
 *Disclosure.*  Corpus co-occurrence tells how strongly a term gives an entity
-away.  A context is the ``REACH`` words on either side of an occurrence;
-contexts of equal words count once, so copies of a text don't vote.  With N
-texts in the corpus, an entity c seen in n(c) contexts, a term t in n(t) texts
-and both together in n(c,t) contexts,
-
-    IC(c)    = log2(N / n(c))                  what there is to learn about c
-    PMI(c,t) = log2(N n(c,t) / (n(c) n(t)))    what t tells of it
-
-t discloses c when PMI >= ``DISCLOSURE`` x IC(c) on at least ``MIN_CONTEXTS``
-contexts; N and n(t) count all texts of the corpus.  Such a term is a span of
-its own within the entity's context: it is generalised to ``[TERM]`` (kind
-term) if it also occurs apart from the entity, and removed (kind sole) if not.
-
-*Scale.*  Texts are read where they lie: once for the base spans and contexts,
-once for term counts, where a task sums its batch's terms before the shuffle.
-Only spans, contexts and term counts move.  ``sanitise`` joins the texts with
-their spans, which moves a text once.
-
-Defined cases: a null or empty text has no spans; repeated rows of a doc_id are
-judged each by itself when their texts agree, and share the added spans of
-their id otherwise only where these lie in the row's own contexts; a null
-doc_id has base spans and no added ones.
+away.  All counts are of distinct texts, so copies of a text don't vote.  With
+N texts in the corpus, an entity c in n(c) of them, a term t in n(t) and both
+together in n(c,t),
+
+    IC(c)    = log2(N / n(c))                              what there is to learn about c
+    PMI(c,t) = log2(N n(c,t) / ((n(c) + 1) (n(t) + 1)))    what t tells of it, at least
+
+The PMI is a smoothed one, as if c and t had each been seen once more without
+the other: the fewer texts speak for it, the lower it is.  t discloses c when
+PMI >= ``DISCLOSURE`` x IC(c).  There is no least count: a term of one text may
+disclose an entity of that text where the corpus is large enough (1,024 texts)
+to make both rare.  Such a term is a span of its own wherever it stands in a
+text with the entity: it is generalised to ``[TERM]`` (kind term) if it also
+occurs in texts without any entity it discloses, and removed (kind sole) if not.
+
+*Pruning, none of it lossy.*  n(c,t) is at most n(c) and n(t), so terms of more
+than N^(1-d) n(c)^(1+d) / (n(c) + 1) texts can't disclose c, nor can terms of
+more than the largest such bound disclose any entity.  Entities of the very
+same texts have the same counts and are one group: a list of contacts makes one
+pair a term, not one a term and contact.
+
+*Scale.*  Texts are read where they lie: once for the base spans and the terms
+of texts that have any, once for term counts, where a task sums its batch's
+terms before the shuffle.  Only spans, term counts, the terms of texts with
+entities and texts that repeat move.  ``sanitise`` joins the texts with their
+added spans, which moves a text at most once.
+
+Defined cases: a null or empty text has no spans; spans depend on the text
+alone, so repeated rows and null ids are treated as any others.
 """
 
 from __future__ import annotations
@@ -44,9 +51,7 @@ from pyspark.sql import functions as F
 from .tables import read_table, stored
 from .text import RollingHash, as_bytes, joined_words
 
-REACH = 5
 DISCLOSURE = 0.8
-MIN_CONTEXTS = 3
 
 # The kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -105,59 +110,73 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def term_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of lower-cased terms, as the corpus counts have them."""
-    joined, starts, ends = joined_words(b" ".join(words).lower())
+def term_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of a text's lower-cased words, as the corpus counts have them."""
+    joined, starts, ends = joined_words(data.lower())
     return RollingHash(joined).of(starts, ends).view(np.int64)
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """For each base span its entity, the hash of its context, and the terms
-    of the context (words clear of every base span) with their places."""
-    if not spans:
-        return []
-    cover = sorted((a, b) for _, a, b in spans)
-    words = [m.span() for m in WORD.finditer(text)]
-    begins, ends = np.array([a for a, _ in words]), np.array([b for _, b in words])
-    out = []
+def entities(text: str, spans: list[tuple[str, int, int]]) -> list[int]:
+    """The distinct values of the base spans."""
+    out = {}
     for kind, a, b in spans:
-        i, j = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(begins, b, "left"))
-        near = [k for k in (*range(max(0, i - REACH), i), *range(j, min(len(words), j + REACH)))
-                if not any(s < words[k][1] and words[k][0] < e for s, e in cover)]
-        if not near:
-            continue
         value = text[a:b].lower() if kind == "email" else text[a:b] if kind == "ip" else NOT_DIGIT.sub("", text[a:b])
-        near_bytes = [text[words[k][0]:words[k][1]].encode("utf-8", "surrogatepass") for k in near]
-        hashes = term_hashes(near_bytes)
-        out.append({"entity": _hash(f"{kind}:{value}"), "context": _hash(str(hashes.tolist())),
-                    "terms": [{"term": int(h), "start": words[k][0], "end": words[k][1]} for h, k in zip(hashes, near)]})
-    return out
+        out[_hash(f"{kind}:{value}")] = None
+    return list(out)
+
+
+def terms(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+    """The distinct words of a text that are clear of every base span, each
+    with all its places; none if there is no span."""
+    if not spans:
+        return []
+    begins, ends = np.array([m.span() for m in WORD.finditer(text)]).T
+    clear = np.ones(len(begins), dtype=bool)
+    for _, a, b in spans:
+        clear[np.searchsorted(ends, a, "right"):np.searchsorted(begins, b, "left")] = False
+    places = {}
+    for h, a, b in zip(term_hashes(as_bytes(text))[clear].tolist(), begins[clear].tolist(), ends[clear].tolist()):
+        places.setdefault(h, []).append({"start": a, "end": b})
+    return [{"term": h, "places": p} for h, p in places.items()]
 
 
 _SPAN = "struct<kind:string,start:int,end:int>"
-_CONTEXTS = "array<struct<entity:long,context:long,terms:array<struct<term:long,start:int,end:int>>>>"
+_TERMS = "array<struct<term:long,places:array<struct<start:int,end:int>>>>"
 _SPAN_T = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-_CONTEXTS_T = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), (
-    "terms", pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])))]))
+_TERMS_T = pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))
+
+
+def _text_hash(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def base_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, spans, contexts) for every row."""
+    """(doc_id, text_hash, spans, entities, terms) for every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
+                       _text_hash(text_col).alias("text_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            spans, near = [], []
+            spans, values, words = [], [], []
             for t in b.column(1):
                 text = t.as_py() or ""
                 found = base_spans(text)
                 spans.append([{"kind": k, "start": a, "end": e} for k, a, e in found])
-                near.append(contexts(text, found))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(spans, _SPAN_T), pa.array(near, _CONTEXTS_T)],
-                                             ["doc_id", "text_hash", "spans", "contexts"])
+                values.append(entities(text, found))
+                words.append(terms(text, found))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(spans, _SPAN_T), pa.array(values, pa.list_(pa.int64())),
+                                              pa.array(words, _TERMS_T)], ["doc_id", "text_hash", "spans", "entities", "terms"])
 
-    return rows.mapInArrow(run, f"doc_id long, text_hash long, spans array<{_SPAN}>, contexts {_CONTEXTS}")
+    return rows.mapInArrow(run, f"doc_id long, text_hash long, spans array<{_SPAN}>, entities array<long>, terms {_TERMS}")
+
+
+def distinct_texts(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """(text): each text of the corpus once.  Texts that don't repeat stay
+    where they are."""
+    again = stored(found.groupBy("text_hash").agg(F.count("*").alias("rows")).filter("rows > 1").select("text_hash"), "repeated-texts")
+    rows = docs.select(_text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    once = rows.join(again, "text_hash", "left_anti")
+    return once.unionByName(rows.join(again, "text_hash", "left_semi").dropDuplicates(["text_hash"])).select("text")
 
 
 def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -184,41 +203,54 @@ def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
             .groupBy("term").agg(F.sum("texts").alias("texts")))
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, disclosure: float = DISCLOSURE,
-                     min_contexts: int = MIN_CONTEXTS) -> DataFrame:
-    """(entity, term, apart): terms that give an entity away; ``apart`` if the
-    term also occurs without it."""
-    seen = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.context", "c.terms").dropDuplicates(["entity", "context"])
-    seen = stored(seen, "contexts")
-    of_entity = seen.groupBy("entity").agg(F.count("*").alias("n_c")).filter(F.col("n_c") >= min_contexts)
-    pairs = (seen.join(of_entity, "entity")
-             .select("entity", "n_c", F.explode(F.array_distinct(F.transform("terms", lambda x: x["term"]))).alias("term"))
-             .groupBy("entity", "term").agg(F.count("*").alias("n_ct"), F.first("n_c").alias("n_c"))
-             .filter(F.col("n_ct") >= min_contexts))
-    counts = stored(term_counts(docs, text_col), "term-counts")
-    total = F.lit(counts.filter("term is null").agg(F.sum("texts")).first()[0] or 0)
-    ic = F.log2(F.greatest(total / F.col("n_c"), F.lit(1.0)))
-    pmi = F.log2(total * F.col("n_ct") / (F.col("n_c") * F.greatest("texts", "n_ct")))
-    return (pairs.join(counts, "term").filter((ic > 0) & (pmi >= disclosure * ic))
-            .select("entity", "term", (F.col("texts") > F.col("n_ct")).alias("apart")))
-
-
-def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   disclosure: float = DISCLOSURE, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+def _most_texts(total: int, n_c, disclosure: float):
+    """So many texts may a term of an entity in ``n_c`` texts have at most,
+    with slack for rounding; it grows with n_c."""
+    return F.lit(float(total)) ** (1 - disclosure) * n_c ** (1 + disclosure) / (n_c + 1) * (1 + 1e-9)
+
+
+def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(text_hash, added): the places of the terms that give an entity of
+    their text away, for texts that have any."""
+    texts = found.filter(F.size("entities") > 0)
+    mentions = stored(texts.select("text_hash", F.explode("entities").alias("entity")).distinct(), "mentions")
+    # entities of the same texts are one group
+    same = mentions.groupBy("entity").agg(F.count("*").cast("double").alias("n_c"), F.bit_xor("text_hash").alias("x"),
+                                          F.bit_xor(F.xxhash64("text_hash", F.lit(1))).alias("y"))
+    groups = (mentions.join(same, "entity").select("text_hash", F.xxhash64("n_c", "x", "y").alias("group"), "n_c").distinct())
+    groups = stored(groups, "entity-groups")
+    most = groups.agg(F.max("n_c")).first()[0]
+    counts = stored(term_counts(distinct_texts(docs, found, text_col), "text"), "term-counts")
+    total = counts.filter("term is null").agg(F.sum("texts")).first()[0] or 0
+    seldom = counts.filter(F.col("texts") + 1 <= _most_texts(total, F.lit(most or 0.0), disclosure))
+    rare = (texts.dropDuplicates(["text_hash"]).select("text_hash", F.explode("terms").alias("t"))
+            .select("text_hash", "t.term", "t.places").join(seldom, "term"))
+    rare = stored(rare, "rare-terms")
+    pairs = (rare.select("text_hash", "term", "texts").join(groups, "text_hash")
+             .filter(F.col("texts") + 1 <= _most_texts(total, F.col("n_c"), disclosure)))
+    pairs = stored(pairs, "term-pairs")
+    ic = F.log2(F.greatest(F.lit(float(total)) / F.col("n_c"), F.lit(1.0)))
+    pmi = F.log2(F.lit(float(total)) * F.col("n_ct") / ((F.col("n_c") + 1) * (F.col("texts") + 1)))
+    telling = (pairs.groupBy("group", "term").agg(F.count("*").alias("n_ct"), F.first("n_c").alias("n_c"), F.first("texts").alias("texts"))
+               .filter((ic > 0) & (pmi >= disclosure * ic))
+               .select("group", "term", (F.col("texts") > F.col("n_ct")).alias("apart")))
+    told = (pairs.select("text_hash", "term", "group").join(telling, ["group", "term"])
+            .groupBy("text_hash", "term").agg(F.min("apart").alias("apart")))
+    kind = F.when(F.col("apart"), "term").otherwise("sole").alias("kind")
+    return (rare.join(told, ["text_hash", "term"]).select("text_hash", kind, F.explode("places").alias("p"))
+            .groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("kind", "p.start", "p.end"))).alias("added")))
+
+
+def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, ``spans`` (base) and
     ``added`` (disclosing terms), arrays of (kind, start, end)."""
     found = stored(base_findings(docs, id_col, text_col), "pii-spans")
-    telling = disclosing_terms(found, docs, text_col, disclosure, min_contexts)
-    places = (found.filter(F.size("contexts") > 0).select("doc_id", "text_hash", F.explode("contexts").alias("c"))
-              .select("doc_id", "text_hash", "c.entity", F.explode("c.terms").alias("t"))
-              .select("doc_id", "text_hash", "entity", "t.term", "t.start", "t.end"))
-    added = (places.join(telling, ["entity", "term"])
-             .select("doc_id", "text_hash", F.struct(F.when(F.col("apart"), "term").otherwise("sole").alias("kind"),
-                                                     F.col("start"), F.col("end")).alias("span"))
-             .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("span")).alias("added")))
-    added = added.select(F.col("doc_id").alias("doc_id_"), F.col("text_hash").alias("text_hash_"), "added")
-    joined = found.join(added, (F.col("doc_id") == F.col("doc_id_")) & (F.col("text_hash") == F.col("text_hash_")), "left")
-    return joined.select("doc_id", "text_hash", "spans", F.coalesce("added", F.array().cast(f"array<{_SPAN}>")).alias("added"))
+    added = stored(added_spans(found, docs, text_col, disclosure), "added-spans")
+    none = F.array().cast(f"array<{_SPAN}>")
+    rows = found.select("doc_id", "text_hash", "spans")
+    with_any = rows.filter(F.size("spans") > 0).join(added, "text_hash", "left")
+    return (with_any.select("doc_id", "text_hash", "spans", F.coalesce("added", none).alias("added"))
+            .unionByName(rows.filter(F.size("spans") == 0).withColumn("added", none)))
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -238,15 +270,12 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     """``docs`` with base spans masked and disclosing terms generalised or
     removed, and the code points of a changed text counted anew in
     ``length_col`` (if there is one).  Other columns stay."""
-    added = (personal_spans(docs, id_col, text_col).filter(F.size("added") > 0)
-             .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("added").alias("__added"))
-             .dropDuplicates(["__id", "__hash"]))
-    added = stored(added, "added-spans")
+    found = stored(base_findings(docs, id_col, text_col), "pii-spans")
+    added = stored(added_spans(found, docs, text_col).select(F.col("text_hash").alias("__hash"), F.col("added").alias("__added")), "added-spans")
     if added.isEmpty():
         joined = docs.withColumn("__added", F.lit(None).cast(f"array<{_SPAN}>"))
     else:
-        same_text = F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__hash")
-        joined = docs.join(added, (docs[id_col].cast("long") == F.col("__id")) & same_text, "left").drop("__id", "__hash")
+        joined = docs.join(added, _text_hash(text_col) == F.col("__hash"), "left").drop("__hash")
     names, lengths = docs.columns, docs.schema[length_col].dataType if length_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 from hypothesis import example, given, settings
@@ -84,6 +85,44 @@ def test_copies_of_a_context_do_not_vote(spark):
     assert all(not r.added for r in sa.personal_spans(df).collect())
 
 
+def brute_added(texts):
+    """The added spans of each text, from the definition."""
+    texts = list(dict.fromkeys(texts))
+    words = {t: [(w.encode().lower(), m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", t) for w in [m[0]]] for t in texts}
+    held = {t: {w for w, _, _ in words[t]} for t in texts}
+    values = {t: {(k, t[a:b].lower()) for k, a, b in brute(t)} for t in texts}
+    out = {t: {} for t in texts}
+    for c in {v for vs in values.values() for v in vs}:
+        with_c = [t for t in texts if c in values[t]]
+        for w in {w for t in with_c for w in held[t]}:
+            n_t, n_ct = sum(w in held[t] for t in texts), sum(w in held[t] for t in with_c)
+            ic = math.log2(len(texts) / len(with_c))
+            if ic <= 0 or math.log2(len(texts) * n_ct / ((len(with_c) + 1) * (n_t + 1))) < 0.8 * ic:
+                continue
+            for t in with_c:
+                for x, a, b in words[t]:
+                    if x == w and not any(s < b and a < e for _, s, e in brute(t)):
+                        out[t][a, b] = min(out[t].get((a, b), "term"), "term" if n_t > n_ct else "sole")
+    return {t: sorted((k, a, b) for (a, b), k in found.items()) for t, found in out.items()}
+
+
+def test_entities_of_one_and_two_texts_are_protected(spark):
+    """Far and near terms, copies, several entities of a text, a null id."""
+    far = " ".join(f"plain{i % 9}" for i in range(40))
+    texts = [f"Quagga {far} mail ann@one.example.com then Quagga end", f"Okapi two {far} bob@two.example.com 10.1.2.3", f"okapi {far} bob@two.example.com",
+             f"zebra {far} tel 10.1.2.4 and 10.1.2.5 or 10.1.2.6 gnu", f"gnu {far}"]
+    texts += [f"plain{i % 9} words number{i % 700} of text {i}" for i in range(1500)]
+    rows = list(enumerate(texts)) + [(None, texts[0])] + [(5000 + i, texts[1]) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, text = brute_added(texts), dict(rows)
+    got = [(r.doc_id, [tuple(s) for s in r.added]) for r in sa.personal_spans(df).collect()]
+    assert len(got) == len(rows) and all(spans == want[text[i]] for i, spans in got)
+    assert [texts[0][a:b] for _, a, b in want[texts[0]]].count("Quagga") == 2
+    assert ("sole", 0, 5) in want[texts[1]]
+    clean = {r.doc_id: r.text for r in sa.sanitise(df).collect()}
+    assert all(clean[i] == sa.mask(text[i], brute(text[i]) + want[text[i]]) for i, _ in rows)
+
+
 def test_sanitise_keeps_columns_and_counts_anew(edge_docs):
     out = sa.sanitise(edge_docs)
     assert out.schema == edge_docs.schema
