@@ -6,6 +6,13 @@ lines) and as a whole, so that a one-line notice, a wrapped header and a
 licence file all meet their template.  A unit is normalised to lower-case (A-Z)
 words of letters and digits; its bigrams are a set.
 
+*Windows.*  A licence that no unit shows may still be part of a line, or run
+over several paragraphs of a longer text.  It is looked for in the runs of the
+whole text's words, whatever its lines and paragraphs, that begin with a bigram
+of a template and have at least as many bigrams as it (near the text's end: in
+the last so many) and at most its upper bound; the best stands for the licence.
+A shorter run is none: GPL-2.0's notice has 8 of the 11 bigrams of GPL-3.0's.
+
 *Match.*  Dice = 2 |A and B| / (|A| + |B|); at least ``THRESHOLD`` is a match.
 
 *Pruning, none of it lossy.*  Dice >= t needs |A| between t/(2-t) |B| and
@@ -14,6 +21,9 @@ needs t/(2-t) |B| shared bigrams, so a matching unit holds one of any
 |B| - ceil(t/(2-t) |B|) + 1 of the template's.  A notice has as many of its
 bigrams as probes, those of the longest words; a longer template has words that
 as many of its bigrams hold.  A text or unit without a probe is passed over.
+A window that is longer than its template and ends beside the template's
+bigrams is no better than the shorter one without that end, and is left out;
+windows are only taken in texts, and from places, that have enough of them.
 
 *Scale.*  One projection over the texts: no shuffle, no join, and the templates
 are a constant of the plan.
@@ -137,17 +147,43 @@ def _lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def unit_bigrams(unit: Column) -> Column:
-    """Distinct word bigrams of a lower-cased unit."""
+def sequence_bigrams(unit: Column) -> Column:
+    """Word bigrams of a lower-cased unit in their order."""
     words = F.filter(F.split(unit, NOT_WORD), lambda w: w != "")
     pairs = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def unit_bigrams(unit: Column) -> Column:
+    """Distinct word bigrams of a lower-cased unit."""
+    return F.array_distinct(sequence_bigrams(unit))
+
+
+def best_window(g: Column, t: Column) -> Column:
+    """Best Dice of template ``t`` and its windows in the bigrams ``g``; null
+    if none can match."""
+    at = F.filter(F.transform(g, lambda b, i: F.when(F.array_contains(t["bigrams"], b), i + 1)), lambda i: i.isNotNull())
+    final = F.greatest(F.size(g) - t["n"] + 1, F.lit(1))
+
+    def dice(window: Column) -> Column:
+        return 2.0 * F.size(F.array_intersect(window, t["bigrams"])) / (F.size(F.array_distinct(window)) + t["n"])
+
+    def from_each(hits: Column) -> Column:
+        # where a window from p may end that has enough hits: at its least size, or at a hit beyond
+        near = lambda p, i: F.filter(F.slice(hits, i + t["lo"], t["hi"] - t["lo"] + 1), lambda q: q - p < t["hi"])
+        ends = lambda p, i: F.when(F.size(near(p, i)) > 0, F.concat(
+            F.array(p + t["n"] - 1), F.filter(near(p, i), lambda q: q - p >= t["n"])))
+        return F.transform(hits, lambda p, i: F.array_max(F.transform(
+            ends(p, i), lambda q: dice(F.slice(g, F.least(p, final), q - p + 1)))))
+
+    return F.array_max(F.flatten(F.transform(F.array(at), from_each)))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, ``matches``: the distinct (license, dice) of the document's
-    units, best first, for every row."""
+    units, and of the best windows for licences that no unit shows, best first,
+    for every row."""
     grams = [(name, template_bigrams(text)) for name, text in templates]
     probed = lambda text: has_probe(text, [g for _, g in grams], threshold)
     constant = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"),
@@ -167,8 +203,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             t["license"].alias("license")))
 
     scores = F.flatten(F.transform(units, lambda u: compared(unit_bigrams(u))))
-    best = F.array_sort(F.array_distinct(F.filter(scores, lambda m: -m["minus"] >= threshold)))
-    matches = F.transform(best, lambda m: F.struct(m["license"].alias("license"), (-m["minus"]).alias("dice")))
+    best = F.array_distinct(F.filter(scores, lambda m: -m["minus"] >= threshold))
+    every = F.split(F.lit(",".join(dict.fromkeys(b for _, g in grams for b in g))), ",")
+
+    def windowed(g: Column) -> Column:
+        # templates of which the text holds enough bigrams, and no unit matched
+        held = lambda common: F.filter(constant, lambda t: (
+            (F.size(F.array_intersect(common, t["bigrams"])) >= t["lo"])
+            & ~F.exists("best", lambda m: m["license"] == t["license"])))
+        fitting = F.flatten(F.transform(F.array(F.array_intersect(g, every)), held))
+        return F.transform(fitting, lambda t: F.struct((-best_window(g, t)).alias("minus"), t["license"].alias("license")))
+
+    rows = rows.select("doc_id", "text", best.alias("best"))
+    whole = F.when(F.col("best").isNotNull(), F.array(sequence_bigrams(text)))
+    windows = F.filter(F.flatten(F.transform(whole, windowed)), lambda m: -m["minus"] >= threshold)
+    ordered = F.array_sort(F.array_distinct(F.concat("best", windows)))
+    matches = F.transform(ordered, lambda m: F.struct(m["license"].alias("license"), (-m["minus"]).alias("dice")))
     empty = F.array().cast("array<struct<license:string,dice:double>>")
     return rows.select("doc_id", F.coalesce(matches, empty).alias("matches"))
 

@@ -42,6 +42,57 @@ def test_matches_brute_force(spark, edge_docs):
         assert all(abs(got[i][k] - v) < 1e-12 for k, v in brute(t).items())
 
 
+def brute_windows(text):
+    """Best Dice of all windows that begin with a bigram of a template and have
+    from its size to its upper bound."""
+    words = re.sub(r"[\W_]+", " ", "".join(c.lower() if c.isascii() else c for c in text)).split()
+    g, found = [f"{x} {y}" for x, y in zip(words, words[1:])], {}
+    for name, template in ls.TEMPLATES:
+        b = set(ls.template_bigrams(template))
+        _, hi = ls.size_bounds(len(b), ls.THRESHOLD)
+        for i in [i for i, x in enumerate(g) if x in b]:
+            for size in range(len(b), hi + 1):
+                start = max(0, min(i, len(g) - size))
+                a = set(g[start:start + size])
+                dice = 2 * len(a & b) / (len(a) + len(b))
+                if dice >= ls.THRESHOLD:
+                    found[name] = max(found.get(name, 0), dice)
+    return found
+
+
+def test_licences_within_longer_texts(spark):
+    """Long templates in their real paragraphs inside 1,000 words, and every
+    notice inside a longer line."""
+    prose = [f"word{i}" for i in range(1000)]
+    before, after = " ".join(prose[:500]), " ".join(prose[500:])
+    breaks = ["Unless required", "This program is distributed", "You should have", "THE\nSOFTWARE IS", "THE SOFTWARE IS", "The above"]
+    full = []
+    for name, t in ls.TEMPLATES:
+        if len(ls.template_bigrams(t)) > ls.NOTICE_BIGRAMS:
+            for b in breaks:
+                t = re.sub(re.escape(b), "\n\n" + b, t, count=1)
+            full.append((name, f"{before}\n\n{t}\n\n{after}"))
+        else:
+            full.append((name, f"{before} this is it: {t} {after}"))
+    got = rows(spark, [t for _, t in full])
+    for i, (name, t) in enumerate(full):
+        assert abs(got[i][name] - brute(t).get(name, 1.0)) < 1e-12      # ISC's second paragraph is a match by itself
+
+
+def test_windows_match_brute_force(spark):
+    pad = " ".join(f"word{i}" for i in range(30))
+    notices = [t for _, t in ls.TEMPLATES if len(ls.template_bigrams(t)) <= ls.NOTICE_BIGRAMS]
+    apache = next(t for _, t in ls.TEMPLATES[9:])
+    texts = [f"{pad} {t} {pad}" for t in notices] + [f"{pad} {t.replace('the', 'the very')} {pad}" for t in notices]
+    texts += [f"{pad} {' '.join(t.split()[:-1])} {pad}\n\n{t.split()[-1]}" for t in notices] + [f"{pad} {t} or {t} {pad}" for t in notices[:4]]
+    texts += [f"{pad} {apache.replace('License', 'Lizenz', 3)} {pad} {pad}", f"{pad} {apache.replace('the', 'all the')} {pad} {pad}"]
+    got = rows(spark, texts)
+    for i, t in enumerate(texts):
+        want = {**brute_windows(t), **brute(t)}
+        assert got[i].keys() == want.keys(), t
+        assert all(abs(got[i][k] - v) < 1e-12 for k, v in want.items()), t
+
+
 def test_every_match_has_a_probe():
     for _, template in ls.TEMPLATES:
         grams = ls.template_bigrams(template)
