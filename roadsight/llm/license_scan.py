@@ -244,7 +244,7 @@ units AS (
 words AS (SELECT row, list_filter(regexp_split_to_array(unit, '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM units),
 grams AS (
   SELECT row, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM words
-  WHERE len(w) BETWEEN 2 AND 1000),
+  WHERE len(w) >= 2),
 scores AS (
   SELECT row, license, 2.0 * len(list_intersect(g, bigrams)) / (len(g) + len(bigrams)) AS dice
   FROM grams, templates WHERE len(g) BETWEEN len(bigrams) / 2 AND len(bigrams) * 2),

@@ -1,5 +1,7 @@
 import re
 
+import duckdb
+
 from roadsight.llm import license_scan as ls
 
 
@@ -104,3 +106,11 @@ def test_every_match_has_a_probe():
 
 def test_empty_table(no_docs):
     assert ls.scan(no_docs).collect() == []
+
+
+def test_sql_has_long_texts_of_few_words():
+    text = " ".join(["Released under the MIT License."] * 201)      # 1,005 words, 5 distinct bigrams
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents AS SELECT 1 AS doc_id, ? AS text", [text])
+    ((_, name, dice, names),) = db.execute(ls.OP4_SQL).fetchall()
+    assert (name, names) == ("MIT", "MIT") and abs(dice - brute(text)["MIT"]) < 1e-12
