@@ -180,9 +180,11 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
 
     def place(frames):
         for f in frames:
-            cell, error = np.full(len(f), -1), np.zeros(len(f))
-            codes, probes = [b""] * len(f), [[-1]] * len(f)
-            known = np.flatnonzero((f["v"].map(len) == dim).to_numpy())
+            # vectors the model doesn't know: a list for each length
+            sizes = f["v"].map(len).to_numpy()
+            cell, error = -sizes, np.zeros(len(f))
+            codes, probes = [b""] * len(f), [[-int(k)] for k in sizes]
+            known = np.flatnonzero(sizes == dim)
             if len(known):
                 x = _unit(_matrix(f["v"].iloc[known]))
                 cell[known], coded, error[known] = model.encode(x)

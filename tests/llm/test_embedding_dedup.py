@@ -69,6 +69,12 @@ def test_edge_vectors(spark):
     assert result(df.limit(0)) == {}
 
 
+def test_several_lengths_in_a_label(spark):
+    rows = [(i, [1.0, float(i)], 0) for i in range(5)]
+    rows += [(10, [1.0, 0.0, 0.0], 0), (11, [1.0, 0.0, 0.1], 0), (12, [1.0, 0.0, 0.0, 0.0], 0), (13, [1.0, 0.0, 0.1, 0.0], 0), (14, [3.0], 0)]
+    assert result(spark.createDataFrame(rows, SCHEMA)) == brute(rows, 0.98)
+
+
 def test_given_table(spark):
     from tests.conftest import SF001
     df = spark.read.parquet(f"{SF001}/embeddings.parquet")
