@@ -228,7 +228,11 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     found = (home.repartition(parts, *key).groupBy(*key).cogroup(asks.repartition(parts, *q_key).groupBy(*q_key))
              .applyInPandas(compare, "rep long, links long, root long"))
     found = stored(found, "vector-links")
-    comps = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    # a vec_id that repeats is one vertex: its vectors hang on the first of them
+    again = good.groupBy("vec_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("vec_id")
+    shared = stored(good.join(again, "vec_id").select("vec_id", "label", "v").join(reps, ["label", "v"]).select("vec_id", "rep").distinct(), "shared-ids")
+    ties = shared.join(shared.groupBy("vec_id").agg(F.min("rep").alias("first")), "vec_id").select(F.col("rep").alias("a"), F.col("first").alias("b"))
+    comps = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(ties))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     named = (placed.select("label", "v", "low", "copies", "rep")
              .join(comps.withColumnRenamed("id", "rep"), "rep", "left").join(links, "rep", "left")

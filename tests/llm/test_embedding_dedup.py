@@ -75,6 +75,12 @@ def test_several_lengths_in_a_label(spark):
     assert result(spark.createDataFrame(rows, SCHEMA)) == brute(rows, 0.98)
 
 
+def test_rows_of_a_vec_id_are_one_vertex(spark):
+    rows = [(1, [1.0, 0.0], 0), (5, [2.0, 0.0], 0), (5, [0.0, 1.0], 1), (9, [0.0, 3.0], 1), (5, [1.0, 1.0], 2), (7, [1.0, -1.0], 0)]
+    got = [(r.vec_id, r.component_id) for r in ed.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got) == [(1, 1), (5, 1), (5, 1), (5, 1), (7, 7), (9, 1)]
+
+
 def test_given_table(spark):
     from tests.conftest import SF001
     df = spark.read.parquet(f"{SF001}/embeddings.parquet")
