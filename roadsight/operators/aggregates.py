@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_count, exact_sum, mean_of
 from .features import with_grid_features, with_time_features
 
 N = "total_violations"
@@ -94,10 +95,14 @@ def violations_type_time(df: DataFrame) -> DataFrame:
 
 
 def grid_stats(df: DataFrame) -> DataFrame:
-    return (ensure_grid(df).groupBy("grid_cell")
-            .agg(F.count(F.lit(1)).alias(N),
-                 F.avg("Latitude").alias("avg_lat"),
-                 F.avg("Longitude").alias("avg_lon"))
+    """Counts and mean coordinates per cell; means are exact integer sums (see
+    ``functions.exact``), the same however the rows are partitioned."""
+    lat, lon = F.col("Latitude"), F.col("Longitude")
+    g = (ensure_grid(df).groupBy("grid_cell")
+         .agg(F.count(F.lit(1)).alias(N), exact_sum(lat).alias("_a"), exact_count(lat).alias("_an"),
+              exact_sum(lon).alias("_o"), exact_count(lon).alias("_on")))
+    return (g.select("grid_cell", N, mean_of(F.col("_a"), F.col("_an")).alias("avg_lat"),
+                     mean_of(F.col("_o"), F.col("_on")).alias("avg_lon"))
             .orderBy(*by_count_desc("grid_cell")))
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_sum, mean_of
 from .aggregates import N, by_count_desc, count_by, grid_stats, violations_per_hour
 from ..schema import VIOLATION_COLUMNS
 from .selection import Selection, apply_selection, valid_coordinates
@@ -60,7 +61,8 @@ def top_hotspot_locations(df: DataFrame, sel: Selection | None = None, n: int =
 def map_center(df: DataFrame, sel: Selection | None = None) -> DataFrame:
     """Unweighted mean of the aggregated locations (one vote per location)."""
     locs = count_by(valid_coordinates(apply_selection(df, sel)), "Latitude", "Longitude")
-    return locs.agg(F.avg("Latitude").alias("mid_lat"), F.avg("Longitude").alias("mid_lon"))
+    s = locs.agg(exact_sum(F.col("Latitude")).alias("_a"), exact_sum(F.col("Longitude")).alias("_o"), F.count(F.lit(1)).alias("_n"))
+    return s.select(mean_of(F.col("_a"), F.col("_n")).alias("mid_lat"), mean_of(F.col("_o"), F.col("_n")).alias("mid_lon"))
 
 
 def map_points(df: DataFrame, sel: Selection | None = None, n: int = 1000) -> DataFrame:

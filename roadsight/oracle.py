@@ -8,10 +8,11 @@ constants are written with an exponent so both engines read them as DOUBLE.
 
 from __future__ import annotations
 
+from .functions.exact import SCALE as EXACT_SCALE
 from .functions.geometry import METRES_PER_UNIT, road_homography, sql_double as d
 from .operators.tracking import (DIR_WINDOW, DT_MIN, EMA_ALPHA, EMA_HISTORY,
                                  KMH_PER_MPS, WRONG_WAY_UNITS, SESSION_START)
-from .queries_params import DEMO_SELECTION
+from .queries_params import DEMO_SELECTION, ROLLUP_ADDED, ROLLUP_CHANGED, ROLLUP_DROPPED
 from .sources.fixtures import (FIXTURE_CAMERAS, FIXTURE_FIRST_START, FIXTURE_FPS,
                                FIXTURE_SESSION_DAYS, FIXTURE_SESSION_OFFSET, FIXTURE_SESSIONS)
 
@@ -74,6 +75,11 @@ def selection_sql(sel=DEMO_SELECTION, types=True, sev=True, dates=True) -> str:
     return " and ".join(preds)
 
 
+def exact_mean(c: str) -> str:
+    """The mean of doubles as an exact sum of multiples of 2^-40."""
+    return f"cast(sum(cast(floor({c} * {d(EXACT_SCALE)} + 0.5e0) as hugeint)) // count({c}) as double) / {d(EXACT_SCALE)}"
+
+
 VALID = ("Latitude is not null and Longitude is not null "
          "and Latitude <> 0 and Longitude <> 0")
 
@@ -92,8 +98,8 @@ def _matrix(row_expr: str, row_alias: str, col: str, values) -> str:
 
 def _grid_stats() -> str:
     return (f"select grid_cell, count(*) as total_violations, "
-            f"round(avg(Latitude), {AVG_DIGITS}) as avg_lat, "
-            f"round(avg(Longitude), {AVG_DIGITS}) as avg_lon from f group by grid_cell")
+            f"{exact_mean('Latitude')} as avg_lat, "
+            f"{exact_mean('Longitude')} as avg_lon from f group by grid_cell")
 
 
 def fact_queries() -> dict[str, str]:
@@ -152,8 +158,8 @@ def fact_queries() -> dict[str, str]:
             f"where {sel_all} and {VALID} group by Latitude, Longitude "
             "order by total_violations desc, Latitude, Longitude limit 10"),
         "map_center": with_fact(
-            f"select round(avg(Latitude), {AVG_DIGITS}) as mid_lat, "
-            f"round(avg(Longitude), {AVG_DIGITS}) as mid_lon from "
+            f"select {exact_mean('Latitude')} as mid_lat, "
+            f"{exact_mean('Longitude')} as mid_lon from "
             f"(select Latitude, Longitude from f where {sel_all} and {VALID} "
             "group by Latitude, Longitude)"),
         "map_points": with_fact(
@@ -342,8 +348,8 @@ def tracking_queries() -> dict[str, str]:
         "violation_log_sessions": with_tracks("select * from logv", FIXTURE_SESSIONS),
         "stream_violations_multi": with_tracks("select * from logv", FIXTURE_SESSIONS),
         "session_hotspots": with_tracks(
-            f"select grid_cell, count(*) as total_violations, round(avg(Latitude), {AVG_DIGITS}) as avg_lat, "
-            f"round(avg(Longitude), {AVG_DIGITS}) as avg_lon from (select *, "
+            f"select grid_cell, count(*) as total_violations, {exact_mean('Latitude')} as avg_lat, "
+            f"{exact_mean('Longitude')} as avg_lon from (select *, "
             f"concat_ws('_', try_cast(trunc(Latitude * 10e0) as integer), "
             f"try_cast(trunc(Longitude * 10e0) as integer)) as grid_cell from logv) group by grid_cell",
             FIXTURE_SESSIONS),
@@ -393,8 +399,8 @@ def io_queries() -> dict[str, str]:
                           ("Timestamp", "Violation_ID", "Latitude", "Longitude",
                            "Violation_Type", "Vehicle_Type", "Severity"))
     hot = (f"select grid_cell, count(*) as total_violations, "
-           f"round(avg(Latitude), {AVG_DIGITS}) as avg_lat, "
-           f"round(avg(Longitude), {AVG_DIGITS}) as avg_lon from "
+           f"{exact_mean('Latitude')} as avg_lat, "
+           f"{exact_mean('Longitude')} as avg_lon from "
            f"(select *, concat_ws('_', try_cast(trunc(Latitude * 10e0) as integer), "
            f"try_cast(trunc(Longitude * 10e0) as integer)) as grid_cell "
            f"from (select distinct {m1}, camera_id, track_id from logv where Violation_ID is not null)) "
@@ -453,8 +459,55 @@ def io_queries() -> dict[str, str]:
     }
 
 
+# --------------------------------------------------------------- roll-up --
+
+def _rolled(body: str) -> str:
+    """The fact after the roll-up queries' changes: one date is gone."""
+    kept = f"select * from ({VIOLATIONS}) where Timestamp is null or cast(Timestamp as date) <> DATE '{ROLLUP_DROPPED}'"
+    return f"with v as ({kept}), f0 as ({FEATURES}), f as ({GRID})\n{body}"
+
+
+def rollup_queries() -> dict[str, str]:
+    direct, sel = fact_queries(), selection_sql()
+
+    def after(name: str) -> str:
+        """A fact query's own SQL over the changed fact."""
+        return _rolled(direct[name].removeprefix(with_fact("")))
+
+    def summary(name: str, key: str, inner: str) -> str:
+        return f"select '{name}' as summary, {key} as key, total_violations from ({inner})"
+
+    places = (f"select Latitude, Longitude, count(*) as total_violations from f where {sel} and {VALID} group by Latitude, Longitude "
+              "order by total_violations desc, Latitude, Longitude limit 10")
+    cells = ", ".join(f'count(*) filter (where hour_window = {w}) as "{w}"' for w in range(0, 24, 3))
+    return {
+        "rollup_kpi_summary": after("kpi_summary"),
+        "rollup_hourly": _rolled(f"select hour, count(*) as total_violations from f where {sel} group by hour"),
+        "rollup_types": _rolled(f"select Violation_Type, count(*) as total_violations from f where {sel} group by Violation_Type"),
+        "rollup_type_time": _rolled(f"select Violation_Type, hour_window, count(*) as total_violations from f where {sel} group by Violation_Type, hour_window"),
+        "rollup_heatmap": _rolled(f'select Violation_Type, {cells}, count(*) filter (where hour_window is null) as "null" from f where {sel} group by Violation_Type'),
+        "rollup_hotspots": after("hotspot_locations"),
+        "rollup_map_center": after("map_center"),
+        "rollup_map_points": after("map_points"),
+        "rollup_grid_stats": after("grid_stats"),
+        "rollup_filter_options": _rolled(
+            "select 'type' as option, Violation_Type as value from f where Violation_Type is not null group by Violation_Type "
+            "union all select 'severity', cast(Severity as varchar) from f where Severity is not null group by Severity "
+            "union all select 'from', cast(min(cast(Timestamp as date)) as varchar) from f union all select 'to', cast(max(cast(Timestamp as date)) as varchar) from f"),
+        "rollup_summaries": _rolled(
+            summary("top_locations_data", "concat_ws('|', round(Latitude, 2), round(Longitude, 2))", places) + " union all "
+            + summary("violation_type_summary", "coalesce(Violation_Type, '')", f"select Violation_Type, count(*) as total_violations from f where {sel} group by Violation_Type")
+            + " union all " + summary("hourly_summary", "coalesce(cast(hour as varchar), '')", f"select hour, count(*) as total_violations from f where {sel} group by hour")),
+        "rollup_refresh_log": with_fact(f"""
+            select event_date, case event_date when DATE '{ROLLUP_ADDED}' then 'added' when DATE '{ROLLUP_CHANGED}' then 'changed'
+                   when DATE '{ROLLUP_DROPPED}' then 'deleted' else 'kept' end as action
+            from (select distinct cast(Timestamp as date) as event_date from f)"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = fact_queries()
     out.update(tracking_queries())
     out.update(io_queries())
+    out.update(rollup_queries())
     return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import grid, time
+from ..functions import exact, grid, time
 from ..operators import aggregates as agg
 from ..operators.aggregates import ALL_HOURS, N, NULL_COLUMN, by_count_desc
 from ..schema import has_columns
@@ -65,14 +65,13 @@ def time_marts(tr: DataFrame) -> dict[str, DataFrame]:
 
 def location_marts(lr: DataFrame) -> dict[str, DataFrame]:
     all_loc = lr.orderBy(*by_count_desc("Latitude", "Longitude"))
-    g = (lr.withColumn("grid_cell", grid.grid_cell(grid.coord_bin(F.col("Latitude")),
-                                                   grid.coord_bin(F.col("Longitude"))))
+    lat, lon, n = F.col("Latitude"), F.col("Longitude"), F.col(N)
+    g = (lr.withColumn("grid_cell", grid.grid_cell(grid.coord_bin(lat), grid.coord_bin(lon)))
          .groupBy("grid_cell")
-         .agg(F.sum(N).cast("long").alias(N),
-              (F.sum(F.col("Latitude") * F.col(N))
-               / F.sum(F.when(F.col("Latitude").isNotNull(), F.col(N)))).alias("avg_lat"),
-              (F.sum(F.col("Longitude") * F.col(N))
-               / F.sum(F.when(F.col("Longitude").isNotNull(), F.col(N)))).alias("avg_lon"))
+         .agg(F.sum(N).cast("long").alias(N), exact.exact_sum(lat, n).alias("_a"), exact.exact_count(lat, n).alias("_an"),
+              exact.exact_sum(lon, n).alias("_o"), exact.exact_count(lon, n).alias("_on"))
+         .select("grid_cell", N, exact.mean_of(F.col("_a"), F.col("_an")).alias("avg_lat"),
+                 exact.mean_of(F.col("_o"), F.col("_on")).alias("avg_lon"))
          .orderBy(*by_count_desc("grid_cell")))
     return {"all_locations": all_loc, "top_locations": all_loc.limit(10), "spatial_grid": g}
 

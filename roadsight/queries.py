@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .operators import aggregates as agg
 from .operators import kpi
@@ -47,12 +46,6 @@ def _on_fact(fn) -> Query:
     return lambda spark, sf_dir: fn(fact(spark, sf_dir))
 
 
-def _round(df: DataFrame, digits: int, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, F.round(F.col(c), digits))
-    return df
-
-
 def q_time_features(spark, sf_dir):
     return with_time_features(fact(spark, sf_dir)).select(
         "Violation_ID", "Timestamp", "hour", "day_of_week", "month", "year", "weekday",
@@ -64,22 +57,6 @@ def q_grid_features(spark, sf_dir):
         "Violation_ID", "Latitude", "Longitude", "lat_bin", "lon_bin", "grid_cell")
 
 
-def q_grid_stats(spark, sf_dir):
-    return _round(agg.grid_stats(fact(spark, sf_dir)), 6, "avg_lat", "avg_lon")
-
-
-def q_top_hotspots(spark, sf_dir):
-    return _round(agg.top_hotspots(fact(spark, sf_dir)), 6, "avg_lat", "avg_lon")
-
-
-def q_map_center(spark, sf_dir):
-    return _round(kpi.map_center(fact(spark, sf_dir), DEMO_SELECTION), 6, "mid_lat", "mid_lon")
-
-
-def q_report_summary(spark, sf_dir):
-    return _round(kpi.report_summary(fact(spark, sf_dir)), 6, "avg_lat", "avg_lon")
-
-
 def fact_queries() -> dict[str, Query]:
     return {
         "record_count": _on_fact(kpi.record_count),
@@ -95,8 +72,8 @@ def fact_queries() -> dict[str, Query]:
         "violations_by_window": _on_fact(agg.violations_by_window),
         "violations_by_daytype": _on_fact(agg.violations_by_daytype),
         "violations_type_time": _on_fact(agg.violations_type_time),
-        "grid_stats": q_grid_stats,
-        "top_hotspots": q_top_hotspots,
+        "grid_stats": _on_fact(agg.grid_stats),
+        "top_hotspots": _on_fact(agg.top_hotspots),
         "type_window_matrix": _on_fact(agg.type_window_matrix),
         "top_types": _on_fact(agg.top_types),
         "filter_by_type": _on_fact(
@@ -113,7 +90,7 @@ def fact_queries() -> dict[str, Query]:
         "hotspot_locations": _on_fact(lambda df: kpi.hotspot_locations(df, DEMO_SELECTION)),
         "top_hotspot_locations": _on_fact(
             lambda df: kpi.top_hotspot_locations(df, DEMO_SELECTION)),
-        "map_center": q_map_center,
+        "map_center": _on_fact(lambda df: kpi.map_center(df, DEMO_SELECTION)),
         "map_points": _on_fact(lambda df: kpi.map_points(df, DEMO_SELECTION)),
         "kpi_summary": _on_fact(
             lambda df: kpi.kpi_summary(apply_selection(df, DEMO_SELECTION))),
@@ -121,15 +98,17 @@ def fact_queries() -> dict[str, Query]:
         "filter_options_severity": _on_fact(kpi.filter_options_severity),
         "filter_options_dates": _on_fact(kpi.filter_options_dates),
         "filtered_sample": _on_fact(lambda df: kpi.filtered_sample(df, DEMO_SELECTION)),
-        "report_summary": q_report_summary,
+        "report_summary": _on_fact(kpi.report_summary),
     }
 
 
 def queries() -> dict[str, Query]:
     from .queries_io import io_queries, io_queries_extra
+    from .queries_rollup import rollup_queries
     from .queries_tracking import tracking_queries
     out = fact_queries()
     out.update(tracking_queries())
     out.update(io_queries())
     out.update(io_queries_extra())
+    out.update(rollup_queries())
     return out

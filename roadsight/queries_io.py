@@ -67,9 +67,7 @@ def q_log_tail10(spark, sf_dir):
 
 
 def q_violation_hotspots(spark, sf_dir):
-    df = hotspots_from_detections(spark, sf_dir)
-    return (df.withColumn("avg_lat", F.round("avg_lat", 6))
-            .withColumn("avg_lon", F.round("avg_lon", 6)))
+    return hotspots_from_detections(spark, sf_dir)
 
 
 def q_kmeans_clusters(spark, sf_dir):

@@ -14,3 +14,8 @@ DEMO_SELECTION = Selection(
 TYPES_ONLY = Selection(types=DEMO_SELECTION.types)
 SEVERITY_ONLY = Selection(severities=DEMO_SELECTION.severities)
 DATES_ONLY = Selection(date_range=DEMO_SELECTION.date_range)
+
+# Dates that the roll-up queries add, change and delete between two refreshes.
+ROLLUP_ADDED = _dt.date(2024, 1, 10)
+ROLLUP_CHANGED = _dt.date(2024, 1, 12)
+ROLLUP_DROPPED = _dt.date(2024, 1, 15)

@@ -100,9 +100,7 @@ def q_violation_log_sessions(spark, sf_dir):
 
 def q_session_hotspots(spark, sf_dir):
     """Violations of two cameras at one spot both count."""
-    df = hotspots(fixtures.session_detections(spark, sf_dir), fixtures.session_cameras(spark))
-    return (df.withColumn("avg_lat", F.round("avg_lat", 6))
-            .withColumn("avg_lon", F.round("avg_lon", 6)))
+    return hotspots(fixtures.session_detections(spark, sf_dir), fixtures.session_cameras(spark))
 
 
 def q_long_track_states(spark, sf_dir):

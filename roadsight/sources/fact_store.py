@@ -39,3 +39,10 @@ def date_partition_filter(sel) -> F.Column | None:
         return None
     s, e = sel.date_range
     return (F.col(DATE_COL) >= F.lit(s)) & (F.col(DATE_COL) <= F.lit(e))
+
+
+def drop_date(spark: SparkSession, path: str, date) -> bool:
+    """Remove a stored date (None: the rows without a time); False if absent."""
+    name = "__HIVE_DEFAULT_PARTITION__" if date is None else str(date)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{DATE_COL}={name}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
