@@ -79,8 +79,9 @@ def _camera_side(cameras: DataFrame, check_size: bool, session_start: _dt.dateti
     start = (F.coalesce(F.col("session_start").cast("timestamp_ntz"), default)
              if "session_start" in cameras.columns else default)
     keys = ["session_id"] if "session_id" in cameras.columns else []
+    more = ["session_end"] if "session_end" in cameras.columns else []
     cams = cameras.select(*keys, "camera_id", "latitude", "longitude", "speed_limit_kmh",
-                          "flow_positive_y", start.alias("session_start"))
+                          "flow_positive_y", start.alias("session_start"), *more)
     # The camera table is a dimension; broadcast it only behind a checked size,
     # else leave the join to AQE / sort-merge.
     if not check_size or cams.count() <= MAX_BROADCAST_CAMERAS:
@@ -274,14 +275,15 @@ def violation_events(sm: DataFrame) -> DataFrame:
                      F.col("e.sev").cast("int").alias("Severity"))
 
 
-def number_violations(ev: DataFrame) -> DataFrame:
+def number_violations(ev: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """The log rows: one shared counter per camera and session in detection
     order (wrong way first within a detection), ``W0001`` / ``V0002`` ids
     (padded, never cut), time = session start + whole seconds of media time.
 
     The rows are dealt out by range of their order and kept, so a camera with
     very many violations is many ranges; a row's number is its rank within its
-    range plus the rows of its camera in earlier ranges.
+    range plus the rows of its camera in earlier ranges.  ``before`` (session_id,
+    camera_id, total) says how many numbers a camera has given out already.
     """
     kind_rank = F.when(F.col("Violation_Type") == F.lit(KIND_WRONG_WAY), F.lit(0)).otherwise(F.lit(1))
     order = ["frame_idx", "det_idx", "_kr"]
@@ -291,6 +293,9 @@ def number_violations(ev: DataFrame) -> DataFrame:
                          .withColumn("_range", F.spark_partition_id()))
     numbered = exact_positions(ranged, ["session_id", "camera_id"], [F.col(c) for c in order],
                                F.col("_range"), "_seq", two_level=True)
+    if before is not None:
+        numbered = (numbered.join(before, ["session_id", "camera_id"], "left")
+                    .withColumn("_seq", F.col("_seq") + F.coalesce("total", F.lit(0))))
     prefix = F.when(F.col("_kr") == 0, F.lit("W")).otherwise(F.lit("V"))
     ts = F.col("session_start") + F.make_dt_interval(secs=F.floor(F.col("t_sec")).cast("decimal(18,6)"))
     return numbered.select(

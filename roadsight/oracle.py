@@ -346,6 +346,12 @@ def tracking_queries() -> dict[str, str]:
         "wrong_way_violations": with_tracks(f"select {_HIT_COLS} from ww"),
         "violation_log": with_tracks("select * exclude (session_id) from logv"),
         "violation_log_sessions": with_tracks("select * from logv", FIXTURE_SESSIONS),
+        "stream_log_numbered": with_tracks("select * from logv", FIXTURE_SESSIONS),
+        "stream_violations_ended": with_tracks(
+            """select session_id, camera_id, cast(count(distinct track_id) as bigint) as held_first, cast(0 as bigint) as held_last,
+                      cast(coalesce(any_value(n), 0) as bigint) as hits
+               from veh left join (select session_id, camera_id, count(*) as n from ev group by session_id, camera_id) e using (session_id, camera_id)
+               group by session_id, camera_id""", FIXTURE_SESSIONS),
         "stream_violations_multi": with_tracks("select * from logv", FIXTURE_SESSIONS),
         "session_hotspots": with_tracks(
             f"select grid_cell, count(*) as total_violations, {exact_mean('Latitude')} as avg_lat, "

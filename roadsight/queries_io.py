@@ -13,11 +13,12 @@ from .plans.marts import mart_summary, mart_values, run_mart_job
 from .plans.violations import hotspots_from_detections
 from .queries import fact
 from .queries_params import DEMO_SELECTION
-from .schema import VIOLATION_COLUMNS
+from .schema import SESSION_DETECTION_SCHEMA, VIOLATION_COLUMNS
 from .session import scratch_path
 from .sources import exports, fixtures
 from .sources.csv_source import read_violations_csv, write_violations_csv
-from .streaming.tracker import run_violation_stream, stream_hits, stream_log
+from .streaming import numbering, sessions
+from .streaming.tracker import MAX_FILES_PER_TRIGGER, run_violation_stream, stream_hits, stream_log, violation_stream
 
 
 def q_ingest_csv_roundtrip(spark, sf_dir):
@@ -110,6 +111,43 @@ def q_stream_violations_multi(spark, sf_dir):
     return stream_log(spark, sink)
 
 
+def q_stream_log_numbered(spark, sf_dir):
+    """The log as the stream numbers it, delivered in frame order; the last
+    micro-batch is forced to run again."""
+    src, root, ckpt = (scratch_path(spark, x) for x in ("stream-src", "stream-log", "stream-ckpt"))
+    cams = fixtures.session_cameras(spark)
+    det = fixtures.session_detections(spark, sf_dir)
+
+    def run():
+        reader = spark.readStream.schema(SESSION_DETECTION_SCHEMA).option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
+        numbering.write_numbered(violation_stream(reader.parquet(src), cams), root, ckpt)
+
+    for cut in ("frame_idx < 12", "frame_idx >= 12 and frame_idx < 30", "frame_idx >= 30"):
+        _deliver(det, src, [cut])
+        run()
+    last = spark._jvm.org.apache.hadoop.fs.Path(f"{ckpt}/commits/2")     # as if the stream had died before its commit
+    last.getFileSystem(spark._jsc.hadoopConfiguration()).delete(last, False)
+    run()
+    return numbering.numbered_log(spark, root)
+
+
+def q_stream_violations_ended(spark, sf_dir):
+    """Hits of the detector whose state ends with its recordings, with the
+    tracks it held after the first micro-batch and in the end."""
+    src, sink, ckpt = (scratch_path(spark, x) for x in ("stream-src", "stream-sink", "stream-ckpt"))
+    _deliver(fixtures.session_detections(spark, sf_dir), src, ["true"])
+    cams = fixtures.session_cameras(spark).withColumn("session_end", F.col("session_start") + F.expr("INTERVAL 1 HOUR"))
+    query = sessions.start(spark, src, sink, ckpt, cams, grace_seconds=1.0)
+    if not sessions.run_until_forgotten(query, 300):
+        raise RuntimeError("the detector still holds state of recordings that have ended")
+    per = lambda df, name: df.groupBy("session_id", "camera_id").agg(F.count(F.lit(1)).alias(name))
+    hits = per(stream_hits(spark, sink), "hits")
+    held, left = per(sessions.held_tracks(spark, ckpt, 0), "held_first"), per(sessions.held_tracks(spark, ckpt), "held_last")
+    out = held.join(hits, ["session_id", "camera_id"], "left").join(left, ["session_id", "camera_id"], "left")
+    return out.select("session_id", "camera_id", F.coalesce("hits", F.lit(0)).alias("hits"), "held_first",
+                      F.coalesce("held_last", F.lit(0)).alias("held_last"))
+
+
 def q_kmeans_separated(spark, sf_dir):
     """Zones of points around five far places, whose best fit is known."""
     group = F.col("user_id") % 5
@@ -151,6 +189,8 @@ def io_queries():
         "kmeans_centers": q_kmeans_centers,
         "stream_violations": q_stream_violations,
         "stream_violations_multi": q_stream_violations_multi,
+        "stream_log_numbered": q_stream_log_numbered,
+        "stream_violations_ended": q_stream_violations_ended,
         "kmeans_separated": q_kmeans_separated,
         "valid_coordinates_nan": q_valid_coordinates_nan,
         "mart_values": q_mart_values,

@@ -53,6 +53,13 @@ def read_manifest(spark: SparkSession, root: str, schema: str | T.StructType, ve
     return version, rows.select(*schema.names).collect()
 
 
+def all_manifests(spark: SparkSession, root: str, schema: str | T.StructType) -> list:
+    """The rows of every version, each with its ``version``."""
+    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    found = _manifests(spark, root, schema)
+    return [] if found is None else found.where("is_row").select("version", *schema.names).collect()
+
+
 def commit(spark: SparkSession, root: str, version: int, rows: list[tuple], schema: str | T.StructType) -> None:
     """Make ``rows`` version ``version`` of the set; fails if it exists."""
     schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)

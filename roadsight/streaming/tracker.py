@@ -16,15 +16,17 @@ and ``late_rows`` read the two kinds apart.
 
 State is kept for good, as the original keeps it, unless ``idle_seconds`` is
 given: then a track that got no rows for that long (processing time) is
-forgotten, and would log anew if it came back.
+forgotten, and would log anew if it came back.  ``streaming.sessions`` is the
+same detector with state that ends with its recording.
 
-Ids are not assigned here: a shared sequence across parallel tracks is not a
-streaming notion; ``number_violations`` numbers the emitted rows in batch
-(``stream_log``).
+Ids are not assigned here: ``streaming.numbering`` numbers the hits as they are
+written, ``stream_log`` numbers a sink in batch.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field, replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -45,10 +47,8 @@ OUTPUT_SCHEMA = ("session_id long, camera_id int, track_id long, Violation_Type
                  "frame_idx int, det_idx long, t_sec double, class_name string, "
                  "smooth_kmh double, latitude double, longitude double, "
                  "speed_limit_kmh double, session_start timestamp_ntz, Severity int")
-STATE_SCHEMA = ("has_last boolean, last_x double, last_y double, last_t double, "
-                "last_frame long, last_det long, ema double, steps long, "
-                "dys array<double>, wrong_logged boolean, speed_logged boolean")
-# dys keeps the last 14 dy values: with the next step they make the 15-step sum.
+STATE_SCHEMA = ("last_x double, last_y double, last_t double, last_frame long, last_det long, ema double, steps long, "
+                "wrong_logged boolean, speed_logged boolean, dys array<double>")
 _OUT_COLS = [c.strip().split(" ")[0] for c in OUTPUT_SCHEMA.split(",")]
 
 
@@ -66,48 +66,54 @@ def _ema_series(raw: np.ndarray, ema0: float) -> np.ndarray:
     return out
 
 
-def detect(key, pdfs, state, idle_seconds=None):
-    """One track's micro-batch: vectorised steps, EMA, direction and first
-    hits, continuing from the track's state."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    if idle_seconds:
-        state.setTimeoutDuration(int(idle_seconds * 1000))
-    batch = pd.concat([p for p in pdfs if len(p)], ignore_index=True) if pdfs else None
-    if batch is None or batch.empty:
-        return
+@dataclass
+class TrackState:
+    """What a track carries from one micro-batch to the next."""
+    last_x: float = 0.0
+    last_y: float = 0.0
+    last_t: float = 0.0
+    last_frame: int = -1
+    last_det: int = -1
+    ema: float = 0.0
+    steps: int = 0
+    wrong_logged: bool = False
+    speed_logged: bool = False
+    dys: list[float] = field(default_factory=list)     # the last 14 dy: with the next step they make the 15-step sum
+
+
+def advance(batch: pd.DataFrame, st: TrackState | None) -> tuple[TrackState | None, list[pd.DataFrame]]:
+    """One track's rows of a micro-batch, in any order: vectorised steps, EMA,
+    direction and first hits, continuing from the track's state.  Returns the
+    new state and the rows to emit."""
+    emitted = []
+    if not len(batch):
+        return st, emitted
     batch = batch.sort_values(["frame_idx", "det_idx"], kind="stable")
-    if state.exists:
-        (has_last, lx, ly, lt, lf, ld, ema0, steps0, dys, wlog, slog) = state.get
-        dys = list(dys or [])
-        newer = (batch["frame_idx"] > lf) | ((batch["frame_idx"] == lf) & (batch["det_idx"] > ld))
+    if st is not None:
+        newer = (batch["frame_idx"] > st.last_frame) | ((batch["frame_idx"] == st.last_frame) & (batch["det_idx"] > st.last_det))
         late, batch = batch[~newer.to_numpy()], batch[newer.to_numpy()]
         if len(late):
             r = late.iloc[0]
-            yield pd.DataFrame([{c: r.get(c) for c in _OUT_COLS}
-                                | dict(Violation_Type=LATE_ROWS, step_no=len(late),
-                                       smooth_kmh=None, Severity=0)])[_OUT_COLS]
+            emitted.append(pd.DataFrame([{c: r.get(c) for c in _OUT_COLS}
+                                         | dict(Violation_Type=LATE_ROWS, step_no=len(late), smooth_kmh=None, Severity=0)])[_OUT_COLS])
+        if batch.empty:
+            return st, emitted
+        seed, st = (st.last_x, st.last_y, st.last_t), replace(st)
     else:
-        has_last, lx, ly, lt, lf, ld, ema0, steps0, dys, wlog, slog = (
-            False, 0.0, 0.0, 0.0, -1, -1, 0.0, 0, [], False, False)
-    if batch.empty:
-        return
+        seed, st = (np.nan, np.nan, np.nan), TrackState()
     tx, ty = batch["tx"].to_numpy(float), batch["ty"].to_numpy(float)
     t = batch["t_sec"].to_numpy(float)
-    seed = (lx, ly, lt) if has_last else (np.nan, np.nan, np.nan)
     px, py, pt = (np.concatenate(([v], a[:-1])) for v, a in zip(seed, (tx, ty, t)))
     with np.errstate(invalid="ignore"):
         is_step = ~np.isnan(pt) & ((t - pt) > trk.DT_MIN)
     idx = np.flatnonzero(is_step)
     out = []
-    ema_last = ema0
     if len(idx):
         dx, dy, dt = tx[idx] - px[idx], ty[idx] - py[idx], t[idx] - pt[idx]
         raw = np.sqrt(dx * dx + dy * dy) * METRES_PER_UNIT / dt * trk.KMH_PER_MPS
-        ema = _ema_series(raw, ema0)
-        hist = np.concatenate((np.zeros(trk.DIR_WINDOW - 1 - len(dys[-(trk.DIR_WINDOW - 1):])),
-                               np.asarray(dys[-(trk.DIR_WINDOW - 1):], float), dy))
+        ema = _ema_series(raw, st.ema)
+        kept = trk.DIR_WINDOW - 1
+        hist = np.concatenate((np.zeros(kept - len(st.dys[-kept:])), np.asarray(st.dys[-kept:], float), dy))
         net = np.lib.stride_tricks.sliding_window_view(hist, trk.DIR_WINDOW).sum(axis=1)
         first = batch.iloc[0]
         wrong = net * float(first["flow_sign"]) < -trk.WRONG_WAY_UNITS
@@ -118,28 +124,52 @@ def detect(key, pdfs, state, idle_seconds=None):
             r = rows.iloc[k]
             out.append(dict(session_id=r.session_id, session_start=r.session_start,
                             camera_id=r.camera_id, track_id=r.track_id,
-                            Violation_Type=kind, step_no=steps0 + k + 1,
+                            Violation_Type=kind, step_no=st.steps + k + 1,
                             frame_idx=r.frame_idx, det_idx=r.det_idx, t_sec=r.t_sec,
                             class_name=r.class_name, smooth_kmh=float(ema[k]),
                             latitude=r.latitude, longitude=r.longitude,
                             speed_limit_kmh=r.speed_limit_kmh, Severity=sev))
 
-        if not wlog and wrong.any():
-            wlog = True
+        if not st.wrong_logged and wrong.any():
+            st.wrong_logged = True
             emit(int(np.argmax(wrong)), KIND_WRONG_WAY, trk.WRONG_WAY_SEVERITY)
-        if not slog and over.any():
-            slog = True
+        if not st.speed_logged and over.any():
+            st.speed_logged = True
             k = int(np.argmax(over))
             emit(k, KIND_SPEEDING, severity_of(float(ema[k]), float(first["speed_limit_kmh"])))
-        ema_last = float(ema[-1])
-        steps0 += len(idx)
-        dys = (list(dys) + dy.tolist())[-(trk.DIR_WINDOW - 1):]
+        st.ema = float(ema[-1])
+        st.steps += len(idx)
+        st.dys = (list(st.dys) + dy.tolist())[-kept:]
     last = batch.iloc[-1]
-    state.update((True, float(last.tx), float(last.ty), float(last.t_sec), int(last.frame_idx),
-                  int(last.det_idx), ema_last, int(steps0), [float(v) for v in dys],
-                  wlog, slog))
+    st.last_x, st.last_y, st.last_t = float(last.tx), float(last.ty), float(last.t_sec)
+    st.last_frame, st.last_det = int(last.frame_idx), int(last.det_idx)
     if out:
-        yield pd.DataFrame(out)[_OUT_COLS]
+        emitted.append(pd.DataFrame(out)[_OUT_COLS])
+    return st, emitted
+
+
+def one_frame(pdfs) -> pd.DataFrame:
+    """A track's rows of a micro-batch, whose size the source's trigger bounds."""
+    parts = [p for p in pdfs if len(p)]
+    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+
+
+def detect(key, pdfs, state, idle_seconds=None):
+    """``advance`` over Spark's group state."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    if idle_seconds:
+        state.setTimeoutDuration(int(idle_seconds * 1000))
+    held = None
+    if state.exists:
+        *values, dys = state.get
+        held = TrackState(*values, dys=list(dys or []))
+    st, emitted = advance(one_frame(pdfs), held)
+    if st is not None:
+        state.update((st.last_x, st.last_y, st.last_t, st.last_frame, st.last_det, st.ema, st.steps, st.wrong_logged, st.speed_logged,
+                      [float(v) for v in st.dys]))
+    yield from emitted
 
 
 def violation_stream(detections: DataFrame, cameras: DataFrame,
