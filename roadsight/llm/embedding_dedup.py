@@ -23,10 +23,11 @@ list is many small groups.  Groups hand on, for each vector, the number of
 linked vectors and one edge of a spanning forest, never all pairs.
 
 Defined cases: a null label, a null or empty vector, a zero vector and one with
-null or non-finite components link with nothing; vectors of another length than
-the model's are compared exactly, among themselves; repeated rows of a vec_id
-are vectors of their own (a vec_id is one vertex, and its other rows' links are
-its links too).
+null or non-finite components link with nothing; components of any finite size
+do; vectors of another length than the model's are compared exactly, among
+themselves; rows that repeat a vec_id are one vertex: all of them, those that
+link with nothing included, get the links and the component of any, and n_links
+counts distinct other vec_ids; a null vec_id links with nothing.
 """
 
 from __future__ import annotations
@@ -114,14 +115,21 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float64)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1:
+    exact, and no square over- or underflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.sqrt((x ** 2).sum(1))[:, None]
 
 
 def _links(q: pd.DataFrame, m: pd.DataFrame, cell: int, model: Quantiser | None, min_cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (query, member) linked, the query itself left out."""
-    x, y = _matrix(q["q_v"]), _matrix(m["v"])
-    xu, yu = _unit(x), _unit(y)
+    x, y = _scaled(_matrix(q["q_v"])), _scaled(_matrix(m["v"]))
+    xu = _unit(x)
     out = []
     for s in range(0, len(x), 512):
         if model is None or cell < 0:
@@ -154,8 +162,8 @@ def _roots(i: np.ndarray, j: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     min_cosine: float = MIN_COSINE, sample: int = SAMPLE, piece: int = PIECE) -> DataFrame:
-    """One row per row of ``table``: vec_id, n_links (other vectors linked
-    directly), component_id, kept."""
+    """One row per row of ``table``: vec_id, n_links (other vectors, by vec_id,
+    linked directly), component_id, kept."""
     spark = table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col("v")
@@ -166,9 +174,15 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
     # equal vectors of a label: one representative, named by its smallest vec_id
     good = rows.filter("sound")
-    reps = stored(good.groupBy("label", "v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
+    alike = good.select("label", "v", "vec_id").distinct()
+    reps = stored(alike.groupBy("label", "v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
                   .withColumn("rep", F.monotonically_increasing_id()), "vectors")
     n = reps.count()
+    # ids of several different vectors, and the vectors that have such ids
+    several = stored(alike.groupBy("vec_id").agg(F.count("*").alias("n")).filter("n > 1").select("vec_id"), "repeated-ids")
+    shared = stored(alike.join(several, "vec_id").join(reps, ["label", "v"]).select("vec_id", "rep"), "shared-ids")
+    reps = reps.join(shared.select("rep").distinct().withColumn("many", F.lit(True)), "rep", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    reps = reps.select("label", "v", "low", "copies", "many", "rep")
 
     dims = reps.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
     model, dim = None, -1
@@ -193,7 +207,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
             yield f.assign(cell=cell, codes=pd.Series(codes, index=f.index, dtype=object), error=error,
                            probes=pd.Series(probes, index=f.index, dtype=object))
 
-    placed = reps.mapInPandas(place, "label string, v array<double>, low long, copies long, rep long, "
+    placed = reps.mapInPandas(place, "label string, v array<double>, low long, copies long, many boolean, rep long, "
                                      "cell int, codes binary, error double, probes array<int>")
     placed = stored(placed, "inverted-lists")
     # pieces of each list, by its members and by its queries
@@ -205,47 +219,73 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     part = lambda of, salt: F.pmod(F.xxhash64(F.lit(salt), "rep"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     home = (placed.join(cut, ["label", "cell"]).withColumn("mi", part("mp", 1))
-            .select("label", "cell", "mi", every("qp").alias("qi"), "rep", "copies", "v", "codes", "error"))
+            .select("label", "cell", "mi", every("qp").alias("qi"), "rep", "copies", "many", "v", "codes", "error"))
     asks = (placed.drop("cell").withColumn("cell", F.explode("probes")).join(cut, ["label", "cell"]).withColumn("qi", part("qp", 2))
-            .select("label", "cell", every("mp").alias("mi"), "qi", "rep", "v"))
-    asks = asks.toDF("q_label", "q_cell", "q_mi", "q_qi", "rep", "v").select(
-        "q_label", "q_cell", "q_mi", "q_qi", F.col("rep").alias("q_rep"), F.col("v").alias("q_v"))
+            .select("label", "cell", every("mp").alias("mi"), "qi", "rep", "many", "v"))
+    asks = asks.toDF("q_label", "q_cell", "q_mi", "q_qi", "q_rep", "q_many", "q_v")
     key, q_key = ["label", "cell", "mi", "qi"], ["q_label", "q_cell", "q_mi", "q_qi"]
 
     def compare(k, m: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"rep": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
+        empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("rep", "links", "root", "other")})
         if not len(m) or not len(q):
             return empty
         i, j = _links(q, m, int(k[1]), model, min_cosine)
         if not len(i):
             return empty
         names = np.concatenate([q["q_rep"].to_numpy(), m["rep"].to_numpy()])
-        links = np.bincount(i, weights=m["copies"].to_numpy()[j], minlength=len(names)).astype(np.int64)
+        # pairs with a vector of shared ids are told one by one, others counted
+        told = q["q_many"].to_numpy()[i] | m["many"].to_numpy()[j]
+        links = np.bincount(i[~told], weights=m["copies"].to_numpy()[j[~told]], minlength=len(names)).astype(np.int64)
         root = _roots(i, len(q) + j, names)
         touched = np.unique(np.concatenate([i, len(q) + j]))
-        return pd.DataFrame({"rep": names[touched], "links": links[touched], "root": root[touched]})
+        nobody = np.full(len(touched), -1)
+        return pd.concat([pd.DataFrame({"rep": names[touched], "links": links[touched], "root": root[touched], "other": nobody}),
+                          pd.DataFrame({"rep": names[i[told]], "links": 0, "root": names[i[told]], "other": names[len(q) + j[told]]})])
 
     found = (home.repartition(parts, *key).groupBy(*key).cogroup(asks.repartition(parts, *q_key).groupBy(*q_key))
-             .applyInPandas(compare, "rep long, links long, root long"))
+             .applyInPandas(compare, "rep long, links long, root long, other long"))
     found = stored(found, "vector-links")
-    # a vec_id that repeats is one vertex: its vectors hang on the first of them
-    again = good.groupBy("vec_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("vec_id")
-    shared = stored(good.join(again, "vec_id").select("vec_id", "label", "v").join(reps, ["label", "v"]).select("vec_id", "rep").distinct(), "shared-ids")
+    ids = stored(alike.join(reps.select("label", "v", "rep"), ["label", "v"]).select("vec_id", "rep"), "vector-ids")
+    # an id of several vectors is one vertex: its vectors hang on the first of them
     ties = shared.join(shared.groupBy("vec_id").agg(F.min("rep").alias("first")), "vec_id").select(F.col("rep").alias("a"), F.col("first").alias("b"))
     comps = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(ties))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = (placed.select("label", "v", "low", "copies", "rep")
-             .join(comps.withColumnRenamed("id", "rep"), "rep", "left").join(links, "rep", "left")
-             .select("label", "v", "low", F.coalesce("component", "rep").alias("component"),
-                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    least = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = named.join(least, "component").select(F.col("label").alias("l_"), F.col("v").alias("v_"), "n_links", "component_id")
-    out = rows.join(named, F.col("sound") & (F.col("label") == F.col("l_")) & (F.col("v") == F.col("v_")), "left")
+    named = stored(reps.select("low", "copies", "many", "rep")
+                   .join(comps.withColumnRenamed("id", "rep"), "rep", "left").join(links, "rep", "left")
+                   .select("rep", "low", "many", F.coalesce("component", "rep").alias("component"),
+                           (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "vector-components")
+    least = named.groupBy(F.col("component").alias("of")).agg(F.min("low").alias("component_id"))
+    # a second key, which the grouping doesn't have: a component or an id of
+    # very many rows is dealt for the join itself, and can be split
+    named = named.join(least, (F.col("component") == F.col("of")) & (F.xxhash64("component") == F.xxhash64("of")))
+    of_id = ids.join(named.select("rep", "many", "n_links", "component_id"), "rep")
+    if not shared.isEmpty():
+        of_id = _distinct_links(of_id, ids, found.filter("other >= 0"))
+    per_id = of_id.select(F.col("vec_id").alias("id_"), "n_links", "component_id").dropDuplicates(["id_"])
+    out = rows.join(per_id, (F.col("vec_id") == F.col("id_")) & (F.xxhash64("vec_id") == F.xxhash64("id_")), "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("component_id", "vec_id").alias("component_id"),
                       (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"))
 
 
+def _distinct_links(of_id: DataFrame, ids: DataFrame, told: DataFrame) -> DataFrame:
+    """``of_id`` with the links that were told one by one: distinct other ids,
+    over all vectors of an id that is on such a vector."""
+    pairs = told.select("rep", "other").distinct()
+    reached = pairs.join(ids.select(F.col("rep").alias("other"), F.col("vec_id").alias("near")), "other")
+    # a vector of single ids: what it counted and the distinct ids of its told links
+    plain = of_id.filter(~F.col("many"))
+    more = reached.join(plain.select("rep").distinct(), "rep").groupBy("rep").agg(F.count_distinct("near").alias("more"))
+    plain = plain.join(more, "rep", "left").withColumn("n_links", F.col("n_links") + F.coalesce("more", F.lit(0))).drop("more")
+    # a vector with a shared id told all its links, and its own ids are linked too
+    many = of_id.filter("many")
+    own = ids.select("rep", F.col("vec_id").alias("near"))
+    near = (many.select("vec_id", "rep").join(reached.select("rep", "near").unionByName(own), "rep")
+            .filter("near != vec_id").groupBy("vec_id").agg(F.count_distinct("near").alias("n_links")))
+    many = many.drop("n_links", "rep").distinct().join(near, "vec_id", "left").withColumn("rep", F.lit(-1).cast("long"))
+    return plain.unionByName(many.withColumn("n_links", F.coalesce("n_links", F.lit(0))).select(plain.columns))
+
+
 def op2_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     """Query: vec_id, n_links, component_id, kept for every row of ``embeddings``."""
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
@@ -263,7 +303,7 @@ links AS (
   WHERE list_cosine_similarity(a.e, b.e) >= {MIN_COSINE}),
 reach(id, near) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.near),
 component AS (SELECT id, min(near) AS component_id FROM reach GROUP BY id),
-number AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+number AS (SELECT a AS id, count(DISTINCT b) AS n FROM links GROUP BY a)
 SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
 FROM v JOIN component c ON c.id = v.vec_id LEFT JOIN number m ON m.id = v.vec_id
 """

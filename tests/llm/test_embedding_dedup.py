@@ -5,8 +5,8 @@ from roadsight.llm import embedding_dedup as ed
 
 
 def brute(rows, cosine):
-    ids = [r[0] for r in rows]
-    links, parent = {i: 0 for i in ids}, {i: i for i in ids}
+    ids = {r[0] for r in rows}
+    links, parent = {i: set() for i in ids}, {i: i for i in ids}
 
     def top(x):
         while parent[x] != x:
@@ -18,15 +18,15 @@ def brute(rows, cosine):
 
     for i, (a, v, k) in enumerate(rows):
         for b, w, m in rows[i + 1:]:
-            if k is None or k != m or not sound(v) or not sound(w) or len(v) != len(w):
+            if a == b or k is None or k != m or not sound(v) or not sound(w) or len(v) != len(w):
                 continue
-            x, y = np.array(v, dtype=float), np.array(w, dtype=float)
+            x, y = (np.array(z, dtype=float) / np.abs(np.array(z, dtype=float)).max() for z in (v, w))
             if x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine:
-                links[a] += 1
-                links[b] += 1
+                links[a].add(b)
+                links[b].add(a)
                 p, q = top(a), top(b)
                 parent[max(p, q)] = min(p, q)
-    return {i: (links[i], top(i), top(i) == i) for i in ids}
+    return {i: (len(links[i]), top(i), top(i) == i) for i in ids}
 
 
 def result(df, **more):
@@ -76,9 +76,27 @@ def test_several_lengths_in_a_label(spark):
 
 
 def test_rows_of_a_vec_id_are_one_vertex(spark):
-    rows = [(1, [1.0, 0.0], 0), (5, [2.0, 0.0], 0), (5, [0.0, 1.0], 1), (9, [0.0, 3.0], 1), (5, [1.0, 1.0], 2), (7, [1.0, -1.0], 0)]
-    got = [(r.vec_id, r.component_id) for r in ed.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()]
-    assert sorted(got) == [(1, 1), (5, 1), (5, 1), (5, 1), (7, 7), (9, 1)]
+    rows = [(1, [1.0, 0.0], 0), (5, [2.0, 0.0], 0), (5, [0.0, 1.0], 1), (9, [0.0, 3.0], 1), (5, [1.0, 1.0], 2), (7, [1.0, -1.0], 0),
+            (5, None, 0), (7, [1.0, -1.0], 0), (7, [1.0, -1.0], None), (1, [0.0, 2.0], 1), (3, [1.0, 0.01], 0), (8, [0.0, 5.0], 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = ed.near_duplicates(df).collect()
+    assert len(got) == len(rows) and len({tuple(r) for r in got}) == len({r[0] for r in rows})
+    assert result(df) == brute(rows, 0.98)
+
+
+def test_shared_ids_among_many_links(spark, vectors):
+    rows = vectors + [(i, vectors[(i * 7) % len(vectors)][1], vectors[(i * 7) % len(vectors)][2]) for i in range(0, 60, 3)]
+    assert result(spark.createDataFrame(rows, SCHEMA), piece=9) == brute(rows, 0.98)
+
+
+def test_components_of_any_size(spark, vectors):
+    scale = [1e-200, 1e200, 1e-310, 1.0, 1e307]
+    rows = [(i, [float(x) * scale[i % 5] for x in v], k) for i, v, k in vectors]
+    rows += [(1000, [5e-324] + [0.0] * 15, 1), (1001, [1.7e308] * 16, 1), (1002, [-1.7e308] * 16, 1), (1003, [1e-200] * 16, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute(rows, 0.98)
+    assert sum(n for n, _, _ in want.values()) > 1000
+    assert result(df) == want
 
 
 def test_given_table(spark):
