@@ -95,10 +95,13 @@ def simhash_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def _linked(x: np.ndarray, y: np.ndarray, max_bits: int) -> np.ndarray:
-    """Count filter, then the exact distance, for the pairs (x[i], y[i])."""
-    diff = x ^ y
-    shared = (diff.view(np.uint8).reshape(*diff.shape, 8) == 0).sum(axis=-1)
-    return (shared >= 8 - max_bits) & (np.bitwise_count(diff) <= max_bits)
+    """Count filter, then the exact distance of the pairs (x[i], y[i]) that it
+    leaves."""
+    diff = np.ascontiguousarray(x ^ y)
+    out = (diff.view(np.uint8).reshape(*diff.shape, 8) == 0).sum(axis=-1) >= 8 - max_bits
+    left = np.flatnonzero(out)
+    out[left] = np.bitwise_count(diff[left]) <= max_bits
+    return out
 
 
 def _run_forest(v: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -160,15 +163,17 @@ def _list_links(max_bits: int):
 def _ball_links(long_lists: DataFrame, radius: int) -> DataFrame:
     """Links of lists too long to compare pairwise: members of a list that
     have a value within ``radius`` bits of both in common hang on the smallest."""
-    masks = [int(m) for m in _MASKS]
+    flips_of = []
+    for m in map(int, _MASKS):       # the flips of up to ``radius`` bits that a triple leaves free
+        free = [1 << b for b in range(64) if not m >> b & 1]
+        flips_of.append(np.array([sum(c) for r in range(radius + 1) for c in combinations(free, r)], dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             t, key = rb.column(0).to_numpy(), rb.column(1).to_numpy()
             v = rb.column(2).to_numpy().view(np.uint64)
             for i in range(len(v)):
-                free = [1 << b for b in range(64) if not masks[t[i]] >> b & 1]
-                flips = np.array([sum(c) for r in range(radius + 1) for c in combinations(free, r)], dtype=np.uint64)
+                flips = flips_of[t[i]]
                 n = len(flips)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, t[i], dtype=np.int32)), pa.array(np.full(n, key[i], dtype=np.int64)),
@@ -217,9 +222,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comps = connected_components(links.unionByName(ties))
     named = (classes.join(comps, classes["fp"] == comps["id"], "left")
              .select("fp", "low", F.coalesce("component", "fp").alias("component")))
-    least = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_fp = named.select("fp", "component").join(least, "component").select(F.col("fp").alias("fp_"), "component_id")
-    out = rows.join(of_fp, rows["fp"] == F.col("fp_"), "left")
+    # a second key, which the groupings don't have: a component or fingerprint
+    # of very many rows is dealt for the join itself, and can be split
+    least = named.groupBy(F.col("component").alias("of")).agg(F.min("low").alias("component_id"))
+    of_fp = (named.join(least, (F.col("component") == F.col("of")) & (F.xxhash64("component") == F.xxhash64("of")))
+             .select(F.col("fp").alias("fp_"), "component_id"))
+    out = rows.join(of_fp, (rows["fp"] == F.col("fp_")) & (F.xxhash64(rows["fp"]) == F.xxhash64("fp_")), "left")
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
