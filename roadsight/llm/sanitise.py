@@ -57,7 +57,9 @@ DISCLOSURE = 0.8
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: A match begins where a run of digits does and takes runs whole, so a run is
+#: read once however long it is.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "sole": ""}
@@ -147,7 +149,8 @@ _TERMS_T = pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.stru
 
 
 def _text_hash(text_col: str):
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    """128 bits: a text is told from every other, however many there are."""
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
 
 
 def base_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -167,7 +170,7 @@ def base_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(spans, _SPAN_T), pa.array(values, pa.list_(pa.int64())),
                                               pa.array(words, _TERMS_T)], ["doc_id", "text_hash", "spans", "entities", "terms"])
 
-    return rows.mapInArrow(run, f"doc_id long, text_hash long, spans array<{_SPAN}>, entities array<long>, terms {_TERMS}")
+    return rows.mapInArrow(run, f"doc_id long, text_hash string, spans array<{_SPAN}>, entities array<long>, terms {_TERMS}")
 
 
 def distinct_texts(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
@@ -215,9 +218,9 @@ def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: fl
     texts = found.filter(F.size("entities") > 0)
     mentions = stored(texts.select("text_hash", F.explode("entities").alias("entity")).distinct(), "mentions")
     # entities of the same texts are one group
-    same = mentions.groupBy("entity").agg(F.count("*").cast("double").alias("n_c"), F.bit_xor("text_hash").alias("x"),
+    same = mentions.groupBy("entity").agg(F.count("*").cast("double").alias("n_c"), F.bit_xor(F.xxhash64("text_hash")).alias("x"),
                                           F.bit_xor(F.xxhash64("text_hash", F.lit(1))).alias("y"))
-    groups = (mentions.join(same, "entity").select("text_hash", F.xxhash64("n_c", "x", "y").alias("group"), "n_c").distinct())
+    groups = (mentions.join(same, "entity").select("text_hash", F.concat_ws(":", "n_c", "x", "y").alias("group"), "n_c").distinct())
     groups = stored(groups, "entity-groups")
     most = groups.agg(F.max("n_c")).first()[0]
     counts = stored(term_counts(distinct_texts(docs, found, text_col), "text"), "term-counts")

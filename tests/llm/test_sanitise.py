@@ -2,6 +2,7 @@ import hashlib
 import math
 import re
 
+import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
@@ -142,3 +143,19 @@ def test_op5_columns(spark, tmp_path, edge_docs):
         base = ",".join(f"{k}:{a}:{b}" for k, a, b in brute(text))
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and r.spans.startswith(base)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == ((1, 1, 0, 1) if r.doc_id == 9 else (0, 0, 0, 0))
+
+
+def test_runs_of_digits_take_linear_time():
+    import time
+    start = time.process_time()
+    assert sa.base_spans("7" * 1_000_000) == []
+    assert sa.base_spans("1." * 300_000 + "x") != []
+    assert sa.base_spans(("9" * 300 + ".") * 3 + "x " + "8" * 400_000 + ".1.2") == []
+    assert time.process_time() - start < 10
+
+
+@pytest.mark.parametrize("text", ["1.2.3.4", "01.2.3.4.5.6.7.8", "11.22.33.256", "x1.2.3.4y", "1.2.3", "1..2.3.4.5", "256.1.1.1 9.9.9.9", "1.2.3.4.", ".1.2.3.4"])
+def test_ip_matches_are_those_of_the_plain_pattern(text):
+    plain = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    want = [m.span() for m in plain.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    assert [(a, b) for k, a, b in sa.base_spans(text) if k == "ip"] == want
