@@ -149,7 +149,9 @@ def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col:
     marked = rows.select("page_id", "url", "payload", F.sha1("payload").alias("sha"), F.octet_length("payload").alias("n"))
     marks = marked.select("page_id", "sha", "n").filter(F.col("n") >= min_bytes)
     groups = marks.groupBy("sha", "n").agg(F.min("page_id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
-    same = (F.col("sha") == F.col("g_sha")) & (F.col("n") == F.col("g_n"))
+    # a third key, which the grouping doesn't have: a payload of very many pages
+    # is dealt for the join itself, and can be split
+    same = (F.col("sha") == F.col("g_sha")) & (F.col("n") == F.col("g_n")) & (F.xxhash64("sha") == F.xxhash64("g_sha"))
     groups = groups.select(F.col("sha").alias("g_sha"), F.col("n").alias("g_n"), "first")
     later = (marks.join(groups, same).filter(~F.col("page_id").eqNullSafe(F.col("first")))
              .select(F.col("page_id").alias("r_id"), F.col("sha").alias("r_sha"), "first").distinct())
