@@ -47,7 +47,7 @@ def bottom_center_x(x1: Column, x2: Column) -> Column:
 
 
 def project(x: Column, y: Column, m: tuple[float, ...] | None = None) -> tuple[Column, Column]:
-    """Top-down (tx, ty) of pixel (x, y)."""
+    """Top-down (tx, ty) of pixel (x, y), by numbers or by columns of them."""
     m = m or road_homography()
     lit = [F.lit(v) for v in m]
     den = lit[6] * x + lit[7] * y + F.lit(1.0)

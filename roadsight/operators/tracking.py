@@ -38,6 +38,7 @@ from ..functions.geometry import METRES_PER_UNIT, bottom_center_x, project
 from ..functions.severity import severity_score
 from ..schema import KIND_SPEEDING, KIND_WRONG_WAY
 from ..session import materialize
+from .calibration import positions
 from .selection import vehicle_only
 from .sequence import (BUCKET, exact_positions, exclusive_prefix, previous_values,
                        with_halo_blocks)
@@ -106,14 +107,19 @@ def camera_enriched(det: DataFrame, cameras: DataFrame, check_size: bool = True,
 
 
 def sightings(det: DataFrame, cameras: DataFrame,
-              session_start: _dt.datetime = SESSION_START) -> DataFrame:
-    """Enriched vehicle detections with the bottom-centre pixel and (tx, ty)."""
+              session_start: _dt.datetime = SESSION_START, calibration: DataFrame | None = None) -> DataFrame:
+    """Enriched vehicle detections with the bottom-centre pixel and (tx, ty),
+    by the road's fixed map or each camera's own (see ``calibration``; a
+    sighting of a camera without a map has no position and is left out)."""
     e = camera_enriched(det, cameras, session_start=session_start)
     bx = bottom_center_x(F.col("x1"), F.col("x2"))
     e = e.withColumn("bx", bx).withColumn("by", F.col("y2"))
-    tx, ty = project(F.col("bx").cast("double"), F.col("by").cast("double"))
-    return (e.withColumn("tx", tx).withColumn("ty", ty)
-            .withColumn("flow_sign", F.when(F.col("flow_positive_y"), F.lit(1.0))
+    if calibration is None:
+        tx, ty = project(F.col("bx").cast("double"), F.col("by").cast("double"))
+        e = e.withColumn("tx", tx).withColumn("ty", ty)
+    else:
+        e = positions(e, calibration).where(F.col("tx").isNotNull() & F.col("ty").isNotNull())
+    return (e.withColumn("flow_sign", F.when(F.col("flow_positive_y"), F.lit(1.0))
                         .otherwise(F.lit(-1.0))))
 
 
@@ -222,10 +228,10 @@ def smoothed(st: DataFrame, with_flag: bool = False) -> DataFrame:
 
 
 def track_states(det: DataFrame, cameras: DataFrame, with_flag: bool = False,
-                 session_start: _dt.datetime = SESSION_START) -> DataFrame:
+                 session_start: _dt.datetime = SESSION_START, calibration: DataFrame | None = None) -> DataFrame:
     """Steps with smoothed speed and direction; ``with_flag`` adds
     ``wrong_so_far``.  Pass 1 of the steps runs when this is called."""
-    return smoothed(steps(sightings(det, cameras, session_start)), with_flag)
+    return smoothed(steps(sightings(det, cameras, session_start, calibration)), with_flag)
 
 
 _HIT_FIELDS = ["step_no", "frame_idx", "det_idx", "t_sec", "class_name", "smooth_kmh",
@@ -310,8 +316,8 @@ def number_violations(ev: DataFrame, before: DataFrame | None = None) -> DataFra
 
 
 def violation_log(det: DataFrame, cameras: DataFrame,
-                  session_start: _dt.datetime = SESSION_START) -> DataFrame:
-    return number_violations(violation_events(track_states(det, cameras, session_start=session_start)))
+                  session_start: _dt.datetime = SESSION_START, calibration: DataFrame | None = None) -> DataFrame:
+    return number_violations(violation_events(track_states(det, cameras, session_start=session_start, calibration=calibration)))
 
 
 def annotated(sm: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from .functions.geometry import METRES_PER_UNIT, road_homography, sql_double as
 from .operators.tracking import (DIR_WINDOW, DT_MIN, EMA_ALPHA, EMA_HISTORY,
                                  KMH_PER_MPS, WRONG_WAY_UNITS, SESSION_START)
 from .queries_params import DEMO_SELECTION, ROLLUP_ADDED, ROLLUP_CHANGED, ROLLUP_DROPPED
-from .sources.fixtures import (FIXTURE_CAMERAS, FIXTURE_FIRST_START, FIXTURE_FPS,
+from .sources.fixtures import (FIXTURE_CAMERAS, FIXTURE_FIRST_START, FIXTURE_FPS, FIXTURE_ROADS_PX, camera_map,
                                FIXTURE_SESSION_DAYS, FIXTURE_SESSION_OFFSET, FIXTURE_SESSIONS)
 
 SPEED_DIGITS = 4
@@ -232,8 +232,14 @@ from (select *, event_id % {n} as session_id,
 """
 
 
-def _tracking_ctes(sessions: int = 0, detections: str | None = None, cameras: str | None = None) -> str:
-    m = [d(v) for v in road_homography()]
+def _camera_maps() -> list[str]:
+    """The coefficients of each row's camera; null for a camera without a map."""
+    maps = {c: camera_map(c) for c, road in FIXTURE_ROADS_PX.items() if len(road) == 4}
+    return ["case camera_id " + " ".join(f"when {c} then {d(m[i])}" for c, m in maps.items()) + " end" for i in range(8)]
+
+
+def _tracking_ctes(sessions: int = 0, detections: str | None = None, cameras: str | None = None, m: list[str] | None = None) -> str:
+    m = m or [d(v) for v in road_homography()]
     den = f"({m[6]} * bx + {m[7]} * \"by\" + 1e0)"
     w_s = "partition by session_id, camera_id, track_id order by frame_idx, det_idx"
     w_st = "partition by session_id, camera_id, track_id order by step_no"
@@ -313,7 +319,11 @@ _HIT_COLS = (f"camera_id, track_id, Violation_Type, step_no, frame_idx, det_idx,
 
 def tracking_queries() -> dict[str, str]:
     k = "camera_id, track_id, frame_idx, det_idx"
+    own = _tracking_ctes(m=_camera_maps())
     return {
+        "calibrated_topdown": f"with {own} select {k}, round(tx, {R}) as tx, round(ty, {R}) as ty from s",
+        "calibrated_violations": "with " + own.replace("from s window w", "from (select * from s where tx is not null) s window w")
+                                 + " select * exclude (session_id) from logv",
         "detections_scan": with_tracks("select * exclude (session_id) from det"),
         "vehicle_detections": with_tracks(
             "select camera_id, track_id, frame_idx, t_sec, det_idx, class_name, x1, x2, y2 "

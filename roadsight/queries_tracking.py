@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.geometry import bottom_center_x
 from .functions.severity import severity_score
 from .operators import tracking as trk
+from .operators.calibration import calibrate, positions
 from .plans.violations import hotspots
 from .sources import fixtures
 
@@ -115,8 +117,21 @@ def q_annotated_tracks(spark, sf_dir):
         *K, "step_no", "wrong_so_far", "flag", "label")
 
 
+def q_calibrated_topdown(spark, sf_dir):
+    """Positions by each camera's own calibration; null for a camera without."""
+    s = trk.camera_enriched(*_inputs(spark, sf_dir)).withColumn("bx", bottom_center_x(F.col("x1"), F.col("x2"))).withColumn("by", F.col("y2"))
+    return positions(s, calibrate(fixtures.calibration_pairs(spark))).select(*K, _r("tx"), _r("ty"))
+
+
+def q_calibrated_violations(spark, sf_dir):
+    """The log where every camera has its own map."""
+    return trk.violation_log(*_inputs(spark, sf_dir), calibration=calibrate(fixtures.calibration_pairs(spark))).drop("session_id")
+
+
 def tracking_queries():
     return {
+        "calibrated_topdown": q_calibrated_topdown,
+        "calibrated_violations": q_calibrated_violations,
         "detections_scan": q_detections_scan,
         "vehicle_detections": q_vehicle_detections,
         "camera_enriched": q_camera_enriched,

@@ -15,6 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import TOPDOWN_POINTS, solve_homography
 from ..functions.severity import severity_score
 from ..operators.sequence import exact_positions
 from ..schema import CAMERA_SCHEMA, DETECTION_SCHEMA, SESSION_CAMERA_SCHEMA, SESSION_DETECTION_SCHEMA
@@ -38,6 +39,16 @@ FIXTURE_SESSIONS = 3
 FIXTURE_SESSION_OFFSET = 3600.0
 FIXTURE_SESSION_DAYS = 1
 FIXTURE_FIRST_START = _dt.datetime(2024, 1, 1)
+# Where each fixture camera sees the corners of its road (top-left,
+# top-right, bottom-right, bottom-left; the plane is the same for all), and the
+# points inside the plane that were measured too.  Camera 3 saw three corners.
+FIXTURE_ROADS_PX = {
+    0: [(713.0, 126.0), (1283.0, 126.0), (1903.0, 837.0), (180.0, 833.0)],
+    1: [(600.0, 100.0), (1400.0, 110.0), (1850.0, 900.0), (150.0, 880.0)],
+    2: [(820.0, 180.0), (1180.0, 170.0), (1700.0, 950.0), (260.0, 960.0)],
+    3: [(700.0, 120.0), (1300.0, 120.0), (1900.0, 840.0)],
+}
+FIXTURE_INNER_POINTS = [(200.0, 300.0), (400.0, 600.0), (650.0, 900.0), (100.0, 1100.0)]
 FIXTURE_VALUE_LIMIT = 50.0
 FIXTURE_VEHICLE_BY_USER_MOD4 = ["car", "truck", "bus", "motorcycle"]
 FIXTURE_CLASS_BY_USER_MOD5 = ["car", "truck", "bus", "motorcycle", "person"]
@@ -115,6 +126,25 @@ def fixture_cameras(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FIXTURE_CAMERAS, CAMERA_SCHEMA)
 
 
+def camera_map(camera: int) -> tuple[float, ...]:
+    """The map that a fixture camera's four corners fix."""
+    return solve_homography(FIXTURE_ROADS_PX[camera], TOPDOWN_POINTS)
+
+
+def calibration_pairs(spark: SparkSession) -> DataFrame:
+    """Point pairs of the fixture cameras: corners, and inner points seen where
+    the camera's map has them."""
+    rows = []
+    for camera, road in FIXTURE_ROADS_PX.items():
+        rows += [(camera, *px, *uv) for px, uv in zip(road, TOPDOWN_POINTS)]
+        if len(road) == 4:
+            back = solve_homography(TOPDOWN_POINTS, road)
+            for u, v in FIXTURE_INNER_POINTS:
+                den = back[6] * u + back[7] * v + 1.0
+                rows.append((camera, (back[0] * u + back[1] * v + back[2]) / den, (back[3] * u + back[4] * v + back[5]) / den, u, v))
+    return spark.createDataFrame(rows, "camera_id int, px double, py double, u double, v double")
+
+
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations_from_events(table(spark, sf_dir, "events"))
 
