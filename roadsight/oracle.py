@@ -356,6 +356,8 @@ def tracking_queries() -> dict[str, str]:
         "wrong_way_violations": with_tracks(f"select {_HIT_COLS} from ww"),
         "violation_log": with_tracks("select * exclude (session_id) from logv"),
         "violation_log_sessions": with_tracks("select * from logv", FIXTURE_SESSIONS),
+        "frame_logs_scan": with_tracks("select * replace (round(t_sec, 6) as t_sec) from det", FIXTURE_SESSIONS),
+        "frame_logs_stream": with_tracks("select * from logv", FIXTURE_SESSIONS),
         "stream_log_numbered": with_tracks("select * from logv", FIXTURE_SESSIONS),
         "stream_violations_ended": with_tracks(
             """select session_id, camera_id, cast(count(distinct track_id) as bigint) as held_first, cast(0 as bigint) as held_last,

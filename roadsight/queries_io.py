@@ -15,7 +15,7 @@ from .queries import fact
 from .queries_params import DEMO_SELECTION
 from .schema import SESSION_DETECTION_SCHEMA, VIOLATION_COLUMNS
 from .session import scratch_path
-from .sources import exports, fixtures
+from .sources import exports, fixtures, frame_logs
 from .sources.csv_source import read_violations_csv, write_violations_csv
 from .streaming import numbering, sessions
 from .streaming.tracker import MAX_FILES_PER_TRIGGER, run_violation_stream, stream_hits, stream_log, violation_stream
@@ -131,6 +131,35 @@ def q_stream_log_numbered(spark, sf_dir):
     return numbering.numbered_log(spark, root)
 
 
+def _frame_logs(spark, sf_dir, path, parts) -> None:
+    det = fixtures.session_detections(spark, sf_dir)
+    for first, last in parts:
+        fixtures.write_frame_logs(det.where(f"frame_idx >= {first} and frame_idx < {last}"), path, first)
+
+
+def q_frame_logs_scan(spark, sf_dir):
+    """Detections through the frame-log source: recordings in two parts, small
+    splits, frames without boxes."""
+    path = scratch_path(spark, "frame-logs")
+    _frame_logs(spark, sf_dir, path, [(0, 30), (30, 1 << 30)])
+    frame_logs.register(spark)
+    df = spark.read.format("framelog").option("splitBytes", 1 << 16).load(path)
+    return df.withColumn("t_sec", F.round("t_sec", 6))
+
+
+def q_frame_logs_stream(spark, sf_dir):
+    """The violation log of a stream over frame logs that come in parts, with a
+    restart after each."""
+    src, sink, ckpt = (scratch_path(spark, x) for x in ("frame-logs", "stream-sink", "stream-ckpt"))
+    frame_logs.register(spark)
+    for part in ((0, 15), (15, 40), (40, 1 << 30)):
+        _frame_logs(spark, sf_dir, src, [part])
+        out = violation_stream(spark.readStream.format("framelog").load(src), fixtures.session_cameras(spark))
+        (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt).outputMode("append")
+         .trigger(availableNow=True).start().awaitTermination())
+    return stream_log(spark, sink)
+
+
 def q_stream_violations_ended(spark, sf_dir):
     """Hits of the detector whose state ends with its recordings, with the
     tracks it held after the first micro-batch and in the end."""
@@ -189,6 +218,8 @@ def io_queries():
         "kmeans_centers": q_kmeans_centers,
         "stream_violations": q_stream_violations,
         "stream_violations_multi": q_stream_violations_multi,
+        "frame_logs_scan": q_frame_logs_scan,
+        "frame_logs_stream": q_frame_logs_stream,
         "stream_log_numbered": q_stream_log_numbered,
         "stream_violations_ended": q_stream_violations_ended,
         "kmeans_separated": q_kmeans_separated,

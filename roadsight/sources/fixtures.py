@@ -200,3 +200,20 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SESSION_DETECTION_SCHEMA).parquet(_stored_detections(spark, sf_dir, FIXTURE_SESSIONS))
+
+
+def write_frame_logs(detections: DataFrame, path: str, first_frame: int = 0) -> None:
+    """Detections (frames from ``first_frame`` on) as box logs, one per session
+    and camera, with a frame without boxes or a failed one now and then."""
+    keys = ["session_id", "camera_id"]
+    box = F.struct(F.col("track_id").alias("id"), F.col("class_name").alias("cls"),
+                   F.array(F.col("x1"), F.lit(0), F.col("x2"), F.col("y2")).alias("xyxy"), F.col("det_idx").alias("n"))
+    frames = (detections.groupBy(*keys, "frame_idx").agg(F.round(F.min("t_sec") * 1000.0).alias("msec"), F.sort_array(F.collect_list(box)).alias("boxes"))
+              .withColumn("frame", F.col("frame_idx") - first_frame))
+    line = frames.select(*keys, F.col("frame_idx").alias("at"), F.to_json(F.struct("frame", "msec", "boxes")).alias("value"))
+    without = frames.where("frame_idx % 7 = 3").select(*keys, F.col("frame_idx").alias("at"), F.explode(F.array(
+        F.lit(""), F.concat(F.lit('{"frame":'), F.col("frame"), F.lit(',"boxes":null}')))).alias("value"))
+    head = detections.select(*keys).distinct().select(*keys, F.lit(-1).alias("at"), F.to_json(F.struct(
+        *keys, F.lit(FIXTURE_FPS).alias("fps"), F.lit(first_frame).alias("first_frame"))).alias("value"))
+    (head.unionByName(line).unionByName(without).repartition(*keys).sortWithinPartitions(*keys, "at")
+     .select(*[F.col(k).alias(f"of_{k}") for k in keys], "value").write.mode("append").partitionBy(*[f"of_{k}" for k in keys]).text(path))
