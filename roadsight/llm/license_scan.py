@@ -6,12 +6,14 @@ lines) and as a whole, so that a one-line notice, a wrapped header and a
 licence file all meet their template.  A unit is normalised to lower-case (A-Z)
 words of letters and digits; its bigrams are a set.
 
-*Windows.*  A licence that no unit shows may still be part of a line, or run
-over several paragraphs of a longer text.  It is looked for in the runs of the
+*Windows.*  A licence may be part of a line, or run over several paragraphs of
+a longer text.  So it is also looked for in the runs of the
 whole text's words, whatever its lines and paragraphs, that begin with a bigram
 of a template and have at least as many bigrams as it (near the text's end: in
-the last so many) and at most its upper bound; the best stands for the licence.
+the last so many) and at most its upper bound; the best stands for the template.
 A shorter run is none: GPL-2.0's notice has 8 of the 11 bigrams of GPL-3.0's.
+From a place the runs of all sizes are one walk of at most the upper bound, so a
+text of many licences takes time in proportion to its length.
 
 *Match.*  Dice = 2 |A and B| / (|A| + |B|); at least ``THRESHOLD`` is a match.
 
@@ -21,9 +23,8 @@ needs t/(2-t) |B| shared bigrams, so a matching unit holds one of any
 |B| - ceil(t/(2-t) |B|) + 1 of the template's.  A notice has as many of its
 bigrams as probes, those of the longest words; a longer template has words that
 as many of its bigrams hold.  A text or unit without a probe is passed over.
-A window that is longer than its template and ends beside the template's
-bigrams is no better than the shorter one without that end, and is left out;
-windows are only taken in texts, and from places, that have enough of them.
+Windows are only taken in texts, and from places, that have enough of a
+template's bigrams.
 
 *Scale.*  One projection over the texts: no shuffle, no join, and the templates
 are a constant of the plan.
@@ -159,31 +160,57 @@ def unit_bigrams(unit: Column) -> Column:
     return F.array_distinct(sequence_bigrams(unit))
 
 
-def best_window(g: Column, t: Column) -> Column:
-    """Best Dice of template ``t`` and its windows in the bigrams ``g``; null
-    if none can match."""
-    at = F.filter(F.transform(g, lambda b, i: F.when(F.array_contains(t["bigrams"], b), i + 1)), lambda i: i.isNotNull())
-    final = F.greatest(F.size(g) - t["n"] + 1, F.lit(1))
+def earlier_places(g: Column) -> Column:
+    """For each bigram of a sequence the place (from 1) where it stood last
+    before, 0 if nowhere: by sorting bigrams with their places."""
+    placed = F.array_sort(F.transform(g, lambda b, i: F.struct(b.alias("b"), (i + 1).alias("at"))))
 
-    def dice(window: Column) -> Column:
-        return 2.0 * F.size(F.array_intersect(window, t["bigrams"])) / (F.size(F.array_distinct(window)) + t["n"])
+    def beside(s: Column) -> Column:
+        before = F.concat(F.array(F.get(s, F.lit(0))), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))))
+        return F.zip_with(s, before, lambda x, y: F.struct(
+            x["at"].alias("at"), F.when((x["b"] == y["b"]) & (y["at"] < x["at"]), y["at"]).otherwise(0).alias("last")))
 
-    def from_each(hits: Column) -> Column:
-        # where a window from p may end that has enough hits: at its least size, or at a hit beyond
-        near = lambda p, i: F.filter(F.slice(hits, i + t["lo"], t["hi"] - t["lo"] + 1), lambda q: q - p < t["hi"])
-        ends = lambda p, i: F.when(F.size(near(p, i)) > 0, F.concat(
-            F.array(p + t["n"] - 1), F.filter(near(p, i), lambda q: q - p >= t["n"])))
-        return F.transform(hits, lambda p, i: F.array_max(F.transform(
-            ends(p, i), lambda q: dice(F.slice(g, F.least(p, final), q - p + 1)))))
+    in_order = F.array_sort(F.flatten(F.transform(F.array(placed), beside)))
+    return F.when(F.size(g) > 0, F.transform(in_order, lambda x: x["last"])).otherwise(F.array().cast("array<int>"))
 
-    return F.array_max(F.flatten(F.transform(F.array(at), from_each)))
+
+def best_window(g: Column, last: Column, t: Column) -> Column:
+    """Best Dice of template ``t`` and its windows in the bigrams ``g``, whose
+    ``earlier_places`` are ``last``; null if none can match.
+
+    From each place that begins windows the bigrams are walked once up to the
+    greatest size, counting those, and those of the template, that are new to
+    the window (last seen before it began), so every size is judged on the way."""
+    marked = F.zip_with(g, last, lambda b, p: F.struct(F.array_contains(t["bigrams"], b).alias("hit"), p.alias("last")))
+
+    def over(seq: Column) -> Column:
+        final, least = F.greatest(F.size(seq) - t["n"] + 1, F.lit(1)), F.least(t["n"], F.size(seq))
+
+        def from_place(p: Column) -> Column:
+            start = F.least(p, final)
+
+            def step(acc: Column, e: Column) -> Column:
+                new = e["last"] < start
+                size = acc["size"] + F.when(new, 1).otherwise(0)
+                shared = acc["shared"] + F.when(new & e["hit"], 1).otherwise(0)
+                best = F.when(acc["walked"] + 1 >= least, F.greatest(acc["best"], 2.0 * shared / (size + t["n"]))).otherwise(acc["best"])
+                return F.struct(size.alias("size"), shared.alias("shared"), (acc["walked"] + 1).alias("walked"), best.alias("best"))
+
+            zero = F.struct(F.lit(0).alias("size"), F.lit(0).alias("shared"), F.lit(0).alias("walked"), F.lit(0.0).alias("best"))
+            return F.aggregate(F.slice(seq, start, t["hi"]), zero, step, lambda acc: acc["best"])
+
+        hits = F.filter(F.transform(seq, lambda e, i: F.when(e["hit"], i + 1)), lambda i: i.isNotNull())
+        # places from which enough of the template's bigrams lie within reach
+        begins = lambda h: F.filter(h, lambda p, i: F.coalesce(F.get(h, i + t["lo"] - 1) - p < t["hi"], F.lit(False)))
+        return F.array_max(F.flatten(F.transform(F.array(hits), lambda h: F.transform(begins(h), from_place))))
+
+    return F.array_max(F.transform(F.array(marked), over))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, ``matches``: the distinct (license, dice) of the document's
-    units, and of the best windows for licences that no unit shows, best first,
-    for every row."""
+    units and of its best window for each template, best first, for every row."""
     grams = [(name, template_bigrams(text)) for name, text in templates]
     probed = lambda text: has_probe(text, [g for _, g in grams], threshold)
     constant = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"),
@@ -207,17 +234,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     every = F.split(F.lit(",".join(dict.fromkeys(b for _, g in grams for b in g))), ",")
 
     def windowed(g: Column) -> Column:
-        # templates of which the text holds enough bigrams, and no unit matched
-        held = lambda common: F.filter(constant, lambda t: (
-            (F.size(F.array_intersect(common, t["bigrams"])) >= t["lo"])
-            & ~F.exists("best", lambda m: m["license"] == t["license"])))
+        # templates of which the text holds enough bigrams
+        held = lambda common: F.filter(constant, lambda t: F.size(F.array_intersect(common, t["bigrams"])) >= t["lo"])
         fitting = F.flatten(F.transform(F.array(F.array_intersect(g, every)), held))
-        return F.transform(fitting, lambda t: F.struct((-best_window(g, t)).alias("minus"), t["license"].alias("license")))
+        return F.flatten(F.transform(F.array(fitting), lambda ts: F.when(F.size(ts) > 0, F.flatten(F.transform(
+            F.array(earlier_places(g)), lambda last: F.transform(ts, lambda t: F.struct(
+                (-best_window(g, last, t)).alias("minus"), t["license"].alias("license"))))))))
 
     rows = rows.select("doc_id", "text", best.alias("best"))
     whole = F.when(F.col("best").isNotNull(), F.array(sequence_bigrams(text)))
-    windows = F.filter(F.flatten(F.transform(whole, windowed)), lambda m: -m["minus"] >= threshold)
-    ordered = F.array_sort(F.array_distinct(F.concat("best", windows)))
+    windows = F.coalesce(F.flatten(F.transform(whole, windowed)), F.array().cast("array<struct<minus:double,license:string>>"))
+    ordered = F.array_sort(F.array_distinct(F.concat("best", F.filter(windows, lambda m: -m["minus"] >= threshold))))
     matches = F.transform(ordered, lambda m: F.struct(m["license"].alias("license"), (-m["minus"]).alias("dice")))
     empty = F.array().cast("array<struct<license:string,dice:double>>")
     return rows.select("doc_id", F.coalesce(matches, empty).alias("matches"))
@@ -248,7 +275,23 @@ grams AS (
 scores AS (
   SELECT row, license, 2.0 * len(list_intersect(g, bigrams)) / (len(g) + len(bigrams)) AS dice
   FROM grams, templates WHERE len(g) BETWEEN len(bigrams) / 2 AND len(bigrams) * 2),
-found AS (SELECT row, license, max(dice) AS dice FROM scores WHERE dice >= {THRESHOLD} GROUP BY row, license),
+whole AS (SELECT row, list_filter(regexp_split_to_array(text, '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM lowered),
+runs AS (SELECT row, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] AS g FROM whole WHERE len(w) >= 2),
+sized AS (
+  SELECT license, bigrams, len(bigrams) AS n, CAST(ceil({THRESHOLD} / (2 - {THRESHOLD}) * len(bigrams) - 1e-9) AS INTEGER) AS lo,
+         CAST(floor((2 - {THRESHOLD}) / {THRESHOLD} * len(bigrams) + 1e-9) AS INTEGER) AS hi FROM templates),
+held AS (SELECT row, g, s.* FROM runs, sized s WHERE len(list_intersect(list_distinct(g), bigrams)) >= lo),
+hits AS (SELECT *, list_filter(range(1, len(g) + 1), lambda i: list_contains(bigrams, g[i])) AS spots FROM held),
+places AS (
+  SELECT row, license, n, hi, g, bigrams, p, greatest(1, least(p, len(g) - n + 1)) AS begin_at
+  FROM (SELECT *, unnest(spots) AS p FROM hits) h WHERE len(list_filter(spots, lambda q: q >= p AND q - p < hi)) >= lo),
+windows AS (
+  SELECT row, license, n, bigrams, list_distinct(g[begin_at:begin_at + size - 1]) AS u
+  FROM (SELECT *, unnest(range(least(n, len(g)), hi + 1)) AS size FROM places) w),
+best_windows AS (SELECT row, license, 2.0 * len(list_intersect(u, bigrams)) / (len(u) + n) AS dice FROM windows),
+found AS (
+  SELECT row, license, max(dice) AS dice FROM (SELECT * FROM scores UNION ALL SELECT * FROM best_windows)
+  WHERE dice >= {THRESHOLD} GROUP BY row, license),
 best AS (
   SELECT row, arg_min(license, (-dice, license)) AS license, max(dice) AS dice,
          string_agg(license, ',' ORDER BY license) AS licenses
