@@ -215,21 +215,25 @@ def _most_texts(total: int, n_c, disclosure: float):
 def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: float = DISCLOSURE) -> DataFrame:
     """(text_hash, added): the places of the terms that give an entity of
     their text away, for texts that have any."""
-    texts = found.filter(F.size("entities") > 0)
-    mentions = stored(texts.select("text_hash", F.explode("entities").alias("entity")).distinct(), "mentions")
+    # from here on a text is its number
+    texts = stored(found.filter(F.size("entities") > 0).dropDuplicates(["text_hash"]).select("text_hash", "entities", "terms")
+                   .withColumn("text", F.monotonically_increasing_id()), "texts-with-values")
+    mentions = stored(texts.select("text", F.explode("entities").alias("entity")), "mentions")
     # entities of the same texts are one group
-    same = mentions.groupBy("entity").agg(F.count("*").cast("double").alias("n_c"), F.bit_xor(F.xxhash64("text_hash")).alias("x"),
-                                          F.bit_xor(F.xxhash64("text_hash", F.lit(1))).alias("y"))
-    groups = (mentions.join(same, "entity").select("text_hash", F.concat_ws(":", "n_c", "x", "y").alias("group"), "n_c").distinct())
+    same = mentions.groupBy("entity").agg(F.count("*").cast("double").alias("n_c"), F.bit_xor(F.xxhash64("text")).alias("x"),
+                                          F.bit_xor(F.xxhash64("text", F.lit(1))).alias("y"))
+    same = stored(same, "values")
+    numbers = stored(same.select("n_c", "x", "y").distinct().withColumn("group", F.monotonically_increasing_id()), "value-groups")
+    groups = mentions.join(same.join(numbers, ["n_c", "x", "y"]).select("entity", "group", "n_c"), "entity").select("text", "group", "n_c").distinct()
     groups = stored(groups, "entity-groups")
     most = groups.agg(F.max("n_c")).first()[0]
     counts = stored(term_counts(distinct_texts(docs, found, text_col), "text"), "term-counts")
     total = counts.filter("term is null").agg(F.sum("texts")).first()[0] or 0
     seldom = counts.filter(F.col("texts") + 1 <= _most_texts(total, F.lit(most or 0.0), disclosure))
-    rare = (texts.dropDuplicates(["text_hash"]).select("text_hash", F.explode("terms").alias("t"))
-            .select("text_hash", "t.term", "t.places").join(seldom, "term"))
+    rare = (texts.select("text", F.explode("terms").alias("t"))
+            .select("text", "t.term", "t.places").join(seldom, "term"))
     rare = stored(rare, "rare-terms")
-    pairs = (rare.select("text_hash", "term", "texts").join(groups, "text_hash")
+    pairs = (rare.select("text", "term", "texts").join(groups, "text")
              .filter(F.col("texts") + 1 <= _most_texts(total, F.col("n_c"), disclosure)))
     pairs = stored(pairs, "term-pairs")
     ic = F.log2(F.greatest(F.lit(float(total)) / F.col("n_c"), F.lit(1.0)))
@@ -237,11 +241,12 @@ def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: fl
     telling = (pairs.groupBy("group", "term").agg(F.count("*").alias("n_ct"), F.first("n_c").alias("n_c"), F.first("texts").alias("texts"))
                .filter((ic > 0) & (pmi >= disclosure * ic))
                .select("group", "term", (F.col("texts") > F.col("n_ct")).alias("apart")))
-    told = (pairs.select("text_hash", "term", "group").join(telling, ["group", "term"])
-            .groupBy("text_hash", "term").agg(F.min("apart").alias("apart")))
+    told = (pairs.select("text", "term", "group").join(telling, ["group", "term"])
+            .groupBy("text", "term").agg(F.min("apart").alias("apart")))
     kind = F.when(F.col("apart"), "term").otherwise("sole").alias("kind")
-    return (rare.join(told, ["text_hash", "term"]).select("text_hash", kind, F.explode("places").alias("p"))
-            .groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("kind", "p.start", "p.end"))).alias("added")))
+    return (rare.join(told, ["text", "term"]).select("text", kind, F.explode("places").alias("p"))
+            .groupBy("text").agg(F.sort_array(F.collect_list(F.struct("kind", "p.start", "p.end"))).alias("added"))
+            .join(texts.select("text", "text_hash"), "text").select("text_hash", "added"))
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
