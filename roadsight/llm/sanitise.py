@@ -216,21 +216,23 @@ def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: fl
     """(text_hash, added): the places of the terms that give an entity of
     their text away, for texts that have any."""
     # from here on a text is its number
-    texts = stored(found.filter(F.size("entities") > 0).dropDuplicates(["text_hash"]).select("text_hash", "entities", "terms")
-                   .withColumn("text", F.monotonically_increasing_id()), "texts-with-values")
-    mentions = stored(texts.select("text", F.explode("entities").alias("entity")), "mentions")
+    having = found.filter(F.size("entities") > 0)
+    numbers = stored(having.select("text_hash", "entities").dropDuplicates(["text_hash"]).withColumn("text", F.monotonically_increasing_id()),
+                     "texts-with-values")
+    mentions = stored(numbers.select("text", F.explode("entities").alias("entity")), "mentions")
     # entities of the same texts are one group
     same = mentions.groupBy("entity").agg(F.count("*").cast("double").alias("n_c"), F.bit_xor(F.xxhash64("text")).alias("x"),
                                           F.bit_xor(F.xxhash64("text", F.lit(1))).alias("y"))
     same = stored(same, "values")
-    numbers = stored(same.select("n_c", "x", "y").distinct().withColumn("group", F.monotonically_increasing_id()), "value-groups")
-    groups = mentions.join(same.join(numbers, ["n_c", "x", "y"]).select("entity", "group", "n_c"), "entity").select("text", "group", "n_c").distinct()
+    kinds = stored(same.select("n_c", "x", "y").distinct().withColumn("group", F.monotonically_increasing_id()), "value-groups")
+    groups = mentions.join(same.join(kinds, ["n_c", "x", "y"]).select("entity", "group", "n_c"), "entity").select("text", "group", "n_c").distinct()
     groups = stored(groups, "entity-groups")
     most = groups.agg(F.max("n_c")).first()[0]
     counts = stored(term_counts(distinct_texts(docs, found, text_col), "text"), "term-counts")
     total = counts.filter("term is null").agg(F.sum("texts")).first()[0] or 0
     seldom = counts.filter(F.col("texts") + 1 <= _most_texts(total, F.lit(most or 0.0), disclosure))
-    rare = (texts.select("text", F.explode("terms").alias("t"))
+    rare = (having.select("text_hash", "terms").join(numbers.select("text_hash", "text"), "text_hash").dropDuplicates(["text"])
+            .select("text", F.explode("terms").alias("t"))
             .select("text", "t.term", "t.places").join(seldom, "term"))
     rare = stored(rare, "rare-terms")
     pairs = (rare.select("text", "term", "texts").join(groups, "text")
@@ -246,7 +248,7 @@ def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: fl
     kind = F.when(F.col("apart"), "term").otherwise("sole").alias("kind")
     return (rare.join(told, ["text", "term"]).select("text", kind, F.explode("places").alias("p"))
             .groupBy("text").agg(F.sort_array(F.collect_list(F.struct("kind", "p.start", "p.end"))).alias("added"))
-            .join(texts.select("text", "text_hash"), "text").select("text_hash", "added"))
+            .join(numbers.select("text", "text_hash"), "text").select("text_hash", "added"))
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
