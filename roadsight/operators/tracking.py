@@ -40,8 +40,7 @@ from ..schema import KIND_SPEEDING, KIND_WRONG_WAY
 from ..session import materialize
 from .calibration import positions
 from .selection import vehicle_only
-from .sequence import (BUCKET, exact_positions, exclusive_prefix, previous_values,
-                       with_halo_blocks)
+from .sequence import BUCKET, exact_positions, exclusive_prefix, with_halo_blocks
 
 # Tracking rules.
 EMA_ALPHA = 0.3
@@ -132,12 +131,12 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
     per-chunk summary built from only the first and last row of each chunk
     (a hash aggregate over <= 2 rows per chunk) gives each chunk its seed (the
     previous chunk's last sighting), whether its first row is a step, and the
-    number of steps before it.  Pass 1 and the summary are checkpointed, so the
-    detections are scanned once and pass 1 twice: for the summary, and for the
-    join with it.
+    number of steps before it.  Only pass 1 is checkpointed, with the columns
+    that follow: the detections are scanned once, and pass 1 is read for the
+    summary and for the join with it.
     """
     width = chunk_frames or CHUNK_FRAMES
-    b = s.withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(width)))
+    b = s.drop("x1", "x2", "y2", "bx", "by", "flow_positive_y").withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(width)))
     w = Window.partitionBy(*KEYS, BUCKET).orderBy(*_order())
     pos = F.struct(F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("t_sec").alias("t"))
     inner_step = (F.col("t_sec") - F.col("_prev.t")) > F.lit(DT_MIN)
@@ -154,17 +153,7 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
         F.max(F.when(F.col("_last"), F.col("ty"))).alias("_ly"),
         F.max(F.when(F.col("_last"), F.col("t_sec"))).alias("_lt"),
         F.max(F.when(F.col("_last"), F.col("_rin"))).alias("_nin"))
-    # Per-track scans over the chunk summary run in two levels (see
-    # ``previous_values`` / ``exclusive_prefix``): no task orders a whole
-    # track's chunks.
-    ends = materialize(ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y")
-                       .withColumnRenamed("_lt", "t"))
-    seeded = previous_values(ends, KEYS, BUCKET, ["x", "y", "t"], "_seed")
-    first_step = F.coalesce((F.col("_t0") - F.col("_seed.t")) > F.lit(DT_MIN), F.lit(False))
-    seeded = (seeded.withColumn("_fstep", first_step)
-              .withColumn("_n", F.col("_nin") + F.col("_fstep").cast("long")))
-    per_chunk = materialize(exclusive_prefix(seeded, KEYS, BUCKET, "_n", "_off").select(
-        *KEYS, BUCKET, "_seed", "_fstep", "_off"))
+    per_chunk = _chunk_seeds(ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y").withColumnRenamed("_lt", "t"))
     j = p1.join(per_chunk, [*KEYS, BUCKET])
     prev = F.when(F.col("_first"), F.col("_seed")).otherwise(F.col("_prev"))
     is_step = F.when(F.col("_first"), F.col("_fstep")).otherwise(F.col("_inner"))
@@ -182,6 +171,36 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
                   "_p", BUCKET))
 
 
+def _chunk_seeds(ends: DataFrame, fanout: int = 4096) -> DataFrame:
+    """Per chunk the last sighting before it (``_seed``), whether its first
+    sighting is a step (``_fstep``) and the steps before it (``_off``).
+
+    Both scans run together in two levels, so no task orders a whole track's
+    chunks: inside groups of ``fanout`` consecutive chunks, then over one row
+    a group, whose result goes back to the group's chunks."""
+    super_, pos = "_sup", F.struct("x", "y", "t")
+    inside = Window.partitionBy(*KEYS, super_).orderBy(BUCKET)
+    far = lambda t, of: F.coalesce((F.col(t) - F.col(of)["t"]) > F.lit(DT_MIN), F.lit(False))
+    d = (ends.withColumn(super_, F.floor(F.col(BUCKET) / F.lit(fanout)))
+         .withColumn("_local", F.lag(pos).over(inside))
+         .withColumn("_head", F.lag(BUCKET).over(inside).isNull())
+         .withColumn("_near", ~F.col("_head") & far("_t0", "_local"))
+         .withColumn("_n", F.col("_nin") + F.col("_near").cast("long"))
+         .withColumn("_lp", F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    over = Window.partitionBy(*KEYS).orderBy(super_)
+    groups = (d.groupBy(*KEYS, super_).agg(F.max(F.when(F.col("_head"), F.col("_t0"))).alias("_h0"), F.max_by(pos, BUCKET).alias("_lastpos"),
+                                           F.sum("_n").alias("_sn"))
+              .withColumn("_carry", F.lag("_lastpos").over(over))
+              .withColumn("_hstep", far("_h0", "_carry"))
+              .withColumn("_so", F.coalesce(F.sum(F.col("_sn") + F.col("_hstep").cast("long")).over(
+                  over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .select(*KEYS, super_, "_carry", "_hstep", "_so"))
+    before = F.col("_so") + F.col("_lp") + F.when(~F.col("_head"), F.col("_hstep").cast("long")).otherwise(F.lit(0))
+    return d.join(groups, [*KEYS, super_]).select(
+        *KEYS, BUCKET, F.coalesce("_local", "_carry").alias("_seed"),
+        F.when(F.col("_head"), F.col("_hstep")).otherwise(F.col("_near")).alias("_fstep"), before.cast("long").alias("_off"))
+
+
 def ema_running(x: Column, r: Column, w: Window) -> Column:
     """EMA (start 0) of ``x`` at row index ``r`` (0-based) of window ``w``.
 
@@ -294,8 +313,9 @@ def number_violations(ev: DataFrame, before: DataFrame | None = None) -> DataFra
     kind_rank = F.when(F.col("Violation_Type") == F.lit(KIND_WRONG_WAY), F.lit(0)).otherwise(F.lit(1))
     order = ["frame_idx", "det_idx", "_kr"]
     parts = int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(with_session(ev).withColumn("_kr", kind_rank)
-                         .repartitionByRange(parts, "session_id", "camera_id", *order)
+    # kept first: dealing by range samples its input, which is the whole tracking
+    kept = materialize(with_session(ev).withColumn("_kr", kind_rank))
+    ranged = materialize(kept.repartitionByRange(parts, "session_id", "camera_id", *order)
                          .withColumn("_range", F.spark_partition_id()))
     numbered = exact_positions(ranged, ["session_id", "camera_id"], [F.col(c) for c in order],
                                F.col("_range"), "_seq", two_level=True)

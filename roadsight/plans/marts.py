@@ -17,7 +17,7 @@ from ..operators import aggregates as agg
 from ..operators.aggregates import ALL_HOURS, N, NULL_COLUMN, by_count_desc
 from ..schema import has_columns
 from ..session import checkpoint_root
-from ..sources.mart_store import write_marts
+from ..sources.mart_store import current_marts, read_mart, write_marts
 
 
 def time_rollup(fact: DataFrame) -> DataFrame:
@@ -104,19 +104,16 @@ def direct_marts(fact: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_mart_job(spark: SparkSession, fact: DataFrame, out_root: str) -> dict[str, str]:
-    """Write all ten marts (overwrite) under ``out_root``."""
-    return write_marts(build_marts(spark, fact), out_root)
+    """Write all ten marts as the newest set under ``out_root``."""
+    return write_marts(spark, build_marts(spark, fact), out_root)
 
 
 def mart_summary(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """One row per mart read back: (mart, rows, total) where total is the sum
     of its counts (all hour cells for the cross-tab)."""
-    from ..sources.mart_store import load_parquet
     parts = []
     for name in sorted(paths):
-        df = load_parquet(spark, paths[name])
-        if df is None:
-            continue
+        df = read_mart(spark, paths[name])
         if name == "type_hour_matrix":
             total = sum((F.col(f"`{c}`") for c in df.columns if c != "Violation_Type_hour"),
                         F.lit(0))
@@ -132,21 +129,24 @@ def mart_summary(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 def mart_values(spark: SparkSession, root: str) -> DataFrame:
     """(mart, key, total_violations, place) of the marts with a total per row;
-    ``place`` is a row's position in the order it was written in."""
-    from ..sources.mart_store import load_parquet, mart_path
+    ``place`` is a row's position in the order it was written in: its place in
+    its file plus the rows of the files before (a row a file; no row moves)."""
     keys = {"hourly": ["hour"], "daily": ["day_of_week"], "type_summary": ["Violation_Type"], "time_window": ["hour_window"],
             "daytype": ["day_type"], "type_time": ["Violation_Type", "hour_window"], "spatial_grid": ["grid_cell"],
             "all_locations": ["Latitude", "Longitude"], "top_locations": ["Latitude", "Longitude"]}
-    parts = []
+    parts, paths = [], current_marts(spark, root)
     for name, cols in keys.items():
-        df = load_parquet(spark, mart_path(root, name))
-        if df is None:
+        if name not in paths:
             continue
+        df = read_mart(spark, paths[name]).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
         text = [F.round(c, 2).cast("string") if c in ("Latitude", "Longitude") else F.col(c).cast("string") for c in cols]
         key = F.concat_ws("|", *text) if len(cols) > 1 else text[0]
         # files are named in partition order and a file keeps its rows' order
-        written = Window.orderBy("_metadata.file_name", "_metadata.row_index")
-        parts.append(df.select(F.lit(name).alias("mart"), key.alias("key"), F.col(N), F.row_number().over(written).alias("place")))
+        files = df.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy(F.lit(name)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        before = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        parts.append(df.join(before, "_file").select(F.lit(name).alias("mart"), key.alias("key"), F.col(N),
+                                                     (F.col("_before") + F.col("_row") + 1).cast("int").alias("place")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

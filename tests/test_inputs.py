@@ -2,15 +2,16 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadsight.functions.severity import severity_of, severity_score
 from roadsight.functions.time import parse_timestamp
 from roadsight.operators import kpi
 from roadsight.operators.clean import clean_violations
-from roadsight.plans.marts import build_marts, run_mart_job
+from roadsight.plans.marts import build_marts, mart_summary, run_mart_job
 from roadsight.sources import exports
-from roadsight.sources.mart_store import load_parquet
+from roadsight.sources.mart_store import load_all, load_parquet, try_parquet, write_marts
 
 FACT = "Violation_ID string, Timestamp string, Latitude double, Longitude double, Violation_Type string, Vehicle_Type string, Severity int"
 NAN = float("nan")
@@ -49,6 +50,36 @@ def test_unreadable_parquet_is_none(spark, tmp_path):
         assert load_parquet(spark, str(tmp_path / path)) is None
 
 
+def test_an_unreadable_mart_says_why_and_jobs_raise(spark, tmp_path, caplog):
+    (tmp_path / "bad.parquet").write_bytes(b"this is no parquet file")
+    assert try_parquet(spark, str(tmp_path / "absent"))[1].startswith("missing or empty")
+    assert try_parquet(spark, str(tmp_path / "bad.parquet"))[1].startswith("unreadable")
+    with caplog.at_level("WARNING"):
+        assert load_parquet(spark, str(tmp_path / "bad.parquet")) is None
+    assert "unreadable" in caplog.text
+    with pytest.raises(Exception):
+        mart_summary(spark, {"hourly": str(tmp_path / "bad.parquet")}).collect()
+
+
+def test_a_job_killed_between_marts_leaves_the_old_set(spark, tmp_path):
+    root, fact = str(tmp_path / "m"), _fact(spark)
+    run_mart_job(spark, fact, root)
+    before = {k: v.collect() for k, v in load_all(spark, root).items()}
+
+    class Dies:
+        @property
+        def write(self):
+            raise RuntimeError("killed")
+
+    marts = build_marts(spark, fact.unionByName(fact))
+    marts["spatial_grid"] = Dies()
+    with pytest.raises(RuntimeError):
+        write_marts(spark, marts, root)
+    assert {k: v.collect() for k, v in load_all(spark, root).items()} == before
+    run_mart_job(spark, fact.unionByName(fact), root)
+    assert load_all(spark, root)["hour"].agg(F.sum("total_violations")).first()[0] == 6
+
+
 def test_json_export_keeps_null_fields(spark, tmp_path):
     exports.export_json(_fact(spark), str(tmp_path / "j"))
     rows = [json.loads(line) for f in (tmp_path / "j").glob("part-*") for line in f.read_text().splitlines()]
