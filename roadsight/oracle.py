@@ -12,6 +12,7 @@ from .functions.exact import SCALE as EXACT_SCALE
 from .functions.geometry import METRES_PER_UNIT, road_homography, sql_double as d
 from .operators.tracking import (DIR_WINDOW, DT_MIN, EMA_ALPHA, EMA_HISTORY,
                                  KMH_PER_MPS, WRONG_WAY_UNITS, SESSION_START)
+from .operators.zones import ROUNDS as ZONE_ROUNDS, SEED as ZONE_SEED
 from .queries_params import DEMO_SELECTION, ROLLUP_ADDED, ROLLUP_CHANGED, ROLLUP_DROPPED
 from .sources.fixtures import (FIXTURE_CAMERAS, FIXTURE_FIRST_START, FIXTURE_FPS, FIXTURE_ROADS_PX, camera_map,
                                FIXTURE_SESSION_DAYS, FIXTURE_SESSION_OFFSET, FIXTURE_SESSIONS)
@@ -386,6 +387,34 @@ def tracking_queries() -> dict[str, str]:
     }
 
 
+def _zones_sql(body: str, k: int = 5, starts: int = 10) -> str:
+    """Exact K-Means of the places, step by step; a round in which nothing
+    moves changes nothing, so all of them are run."""
+    hexed = lambda i: f"(strpos('0123456789abcdef', substr(h, {i}, 1)) - 1)"
+    near = "(p.a - c.a) * (p.a - c.a) + (p.o - c.o) * (p.o - c.o)"
+    steps = [f"""pts as (select Latitude, Longitude, cast(floor(Latitude * 1e6 + 0.5e0) as bigint) as a, cast(floor(Longitude * 1e6 + 0.5e0) as bigint) as o
+        from f where Latitude is not null and Longitude is not null),
+    p as materialized (select a, o, count(*) as w from pts group by a, o),
+    seed0 as materialized (select s, cast(0 as bigint) as n, a, o from (
+        select s, a, o, row_number() over (partition by s order by sha256(concat_ws(':', s + {ZONE_SEED}, 0, a, o)), a, o) as r
+        from p, range({starts}) as t(s)) x where r = 1)"""]
+    for t in range(1, k):
+        steps.append(f"""near{t} as materialized (select s, p.a, p.o, p.w, min({near}) as d from p, seed{t - 1} c group by s, p.a, p.o, p.w),
+    seed{t} as materialized (select * from seed{t - 1} union all select s, {t}, a, o from (
+        select s, a, o, row_number() over (partition by s order by cast(d as hugeint) * (1 + {hexed(1)} * 4096 + {hexed(2)} * 256 + {hexed(3)} * 16 + {hexed(4)}) * w desc, a, o) as r
+        from (select *, sha256(concat_ws(':', s + {ZONE_SEED}, {t}, a, o)) as h from near{t} where d > 0) y) x where r = 1)""")
+    floor_ = lambda c: f"cast((sum(p.{c} * w) - ((sum(p.{c} * w) % sum(w)) + sum(w)) % sum(w)) // sum(w) as bigint)"
+    steps.append(f"c0 as (select * from seed{k - 1})")
+    for r in range(ZONE_ROUNDS + 1):
+        steps.append(f"""m{r} as materialized (select c.s, p.a, p.o, p.w, min({near}) as d, arg_min(c.n, ({near}, c.n)) as n from p, c{r} c group by c.s, p.a, p.o, p.w)""")
+        if r < ZONE_ROUNDS:
+            steps.append(f"""c{r + 1} as materialized (select c.s, c.n, coalesce(x.a, c.a) as a, coalesce(x.o, c.o) as o from c{r} c left join (
+        select s, n, {floor_('a')} as a, {floor_('o')} as o from m{r} p group by s, n) x on x.s = c.s and x.n = c.n)""")
+    steps.append(f"""cost as (select s, sum(cast(d as hugeint) * w) as cost from m{ZONE_ROUNDS} group by s),
+    z as materialized (select row_number() over (order by a, o) - 1 as cluster, a, o from c{ZONE_ROUNDS} where s = (select arg_min(s, (cost, s)) from cost))""")
+    return with_fact("select 1").removesuffix("\nselect 1") + ", " + ",\n    ".join(steps) + "\n" + body
+
+
 def io_queries() -> dict[str, str]:
     m1 = "Violation_ID, Timestamp, Latitude, Longitude, Violation_Type, Vehicle_Type, Severity"
     sel = selection_sql()
@@ -428,6 +457,9 @@ def io_queries() -> dict[str, str]:
                  f"100e0 - 15e0 * ({group}) + (event_id % 11) * 1e-3 as Longitude, cast({group} as integer) as cluster "
                  f"from events where user_id is not null")
     return {
+        "kmeans_centers": _zones_sql("select cast(cluster as integer) as cluster, a / 1e6 as Latitude, o / 1e6 as Longitude from z"),
+        "kmeans_clusters": _zones_sql("""select Latitude, Longitude, cast(arg_min(cluster, ((pts.a - z.a) * (pts.a - z.a) + (pts.o - z.o) * (pts.o - z.o), cluster)) as integer) as cluster
+            from (select *, row_number() over () as r from pts) pts, z group by r, Latitude, Longitude"""),
         "kmeans_separated": f"""select cluster, count(*) as points,
             round(avg(Latitude), {AVG_DIGITS}) as center_lat, round(avg(Longitude), {AVG_DIGITS}) as center_lon
             from ({separated}) group by cluster""",

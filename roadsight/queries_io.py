@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import clustering, tracking as trk
+from .operators import clustering, tracking as trk, zones
 from .operators.clean import standardize
 from .operators.selection import apply_selection, valid_coordinates
 from .plans.dashboard import export_summaries
@@ -72,11 +72,11 @@ def q_violation_hotspots(spark, sf_dir):
 
 
 def q_kmeans_clusters(spark, sf_dir):
-    return clustering.kmeans_clusters(fact(spark, sf_dir))
+    return zones.zone_points(fact(spark, sf_dir), zones.fit(fact(spark, sf_dir)))
 
 
 def q_kmeans_centers(spark, sf_dir):
-    return clustering.kmeans_centers(spark, fact(spark, sf_dir))
+    return zones.zone_centers(spark, zones.fit(fact(spark, sf_dir)))
 
 
 def _deliver(det, src: str, cuts) -> None:
