@@ -153,10 +153,15 @@ def _text_hash(text_col: str):
     return F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
 
 
+def _short_hash(text_col: str):
+    """64 bits, that equal texts share and few others do."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def base_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, spans, entities, terms) for every row."""
+    """(doc_id, text_hash, spans, entities, terms, short) for every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       _text_hash(text_col).alias("text_hash"))
+                       _text_hash(text_col).alias("text_hash"), _short_hash(text_col).alias("short"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -168,18 +173,19 @@ def base_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 values.append(entities(text, found))
                 words.append(terms(text, found))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(spans, _SPAN_T), pa.array(values, pa.list_(pa.int64())),
-                                              pa.array(words, _TERMS_T)], ["doc_id", "text_hash", "spans", "entities", "terms"])
+                                              pa.array(words, _TERMS_T), b.column(3)], ["doc_id", "text_hash", "spans", "entities", "terms", "short"])
 
-    return rows.mapInArrow(run, f"doc_id long, text_hash string, spans array<{_SPAN}>, entities array<long>, terms {_TERMS}")
+    return rows.mapInArrow(run, f"doc_id long, text_hash string, spans array<{_SPAN}>, entities array<long>, terms {_TERMS}, short long")
 
 
 def distinct_texts(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
     """(text): each text of the corpus once.  Texts that don't repeat stay
     where they are."""
-    again = stored(found.groupBy("text_hash").agg(F.count("*").alias("rows")).filter("rows > 1").select("text_hash"), "repeated-texts")
-    rows = docs.select(_text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    once = rows.join(again, "text_hash", "left_anti")
-    return once.unionByName(rows.join(again, "text_hash", "left_semi").dropDuplicates(["text_hash"])).select("text")
+    again = stored(found.groupBy("short").agg(F.count("*").alias("rows")).filter("rows > 1").select("short"), "repeated-texts")
+    rows = docs.select(_short_hash(text_col).alias("short"), F.col(text_col).alias("text"))
+    once = rows.join(again, "short", "left_anti").select("text")
+    more = rows.join(again, "short", "left_semi").withColumn("text_hash", _text_hash("text")).dropDuplicates(["text_hash"])
+    return once.unionByName(more.select("text"))
 
 
 def term_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -231,7 +237,7 @@ def added_spans(found: DataFrame, docs: DataFrame, text_col: str, disclosure: fl
     counts = stored(term_counts(distinct_texts(docs, found, text_col), "text"), "term-counts")
     total = counts.filter("term is null").agg(F.sum("texts")).first()[0] or 0
     seldom = counts.filter(F.col("texts") + 1 <= _most_texts(total, F.lit(most or 0.0), disclosure))
-    rare = (having.select("text_hash", "terms").join(numbers.select("text_hash", "text"), "text_hash").dropDuplicates(["text"])
+    rare = (having.select("text_hash", "terms").dropDuplicates(["text_hash"]).join(numbers.select("text_hash", "text"), "text_hash")
             .select("text", F.explode("terms").alias("t"))
             .select("text", "t.term", "t.places").join(seldom, "term"))
     rare = stored(rare, "rare-terms")
