@@ -2,6 +2,7 @@
 
     python -m roadsight.cli ingest  --csv traffic.csv --fact out/fact
     python -m roadsight.cli marts   --fact out/fact --out out/marts
+    python -m roadsight.cli rollup  --fact out/fact --out out/rollup
     python -m roadsight.cli zones   --fact out/fact --out out/zones
     python -m roadsight.cli detect  --detections dets/ --cameras cams/ --log out/log.csv
     python -m roadsight.cli stream  --detections dets/ --cameras cams/ --sink out/stream \
@@ -20,6 +21,7 @@ import datetime as _dt
 from .operators import clustering
 from .operators import tracking as trk
 from .operators.clean import clean_violations
+from .plans import rollup
 from .plans.marts import run_mart_job
 from .session import get_session
 from .sources.csv_source import read_violations_csv
@@ -38,6 +40,9 @@ def _parser() -> argparse.ArgumentParser:
     a = sub.add_parser("marts", help="cleaned fact -> the ten marts")
     a.add_argument("--fact", required=True)
     a.add_argument("--out", required=True)
+    a = sub.add_parser("rollup", help="bring the dashboard's roll-up up to the fact")
+    a.add_argument("--fact", required=True)
+    a.add_argument("--out", required=True)
     a = sub.add_parser("zones", help="cleaned fact -> K-Means points and centres")
     a.add_argument("--fact", required=True)
     a.add_argument("--out", required=True)
@@ -68,6 +73,8 @@ def main(argv: list[str] | None = None) -> None:
         write_fact(clean_violations(read_violations_csv(spark, args.csv)), args.fact)
     elif args.cmd == "marts":
         run_mart_job(spark, read_fact(spark, args.fact), args.out)
+    elif args.cmd == "rollup":
+        rollup.refresh(spark, args.fact, args.out)
     elif args.cmd == "zones":
         fact = read_fact(spark, args.fact)
         fitted = clustering.fit_zones(fact)

@@ -1,4 +1,5 @@
 from roadsight import cli
+from roadsight.plans import rollup
 from roadsight.sources import fixtures
 from roadsight.sources.csv_source import write_violations_csv
 from roadsight.sources.mart_store import MART_PATHS, load_all
@@ -16,6 +17,8 @@ def test_batch_jobs_end_to_end(spark, tmp_path):
     assert loaded["type"].groupBy().sum("total_violations").first()[0] == 1000
     for rel in MART_PATHS.values():
         assert (tmp_path / "marts" / rel).exists()
+    cli.main(["rollup", "--fact", fact, "--out", str(tmp_path / "rollup")])
+    assert rollup.dashboard(spark, str(tmp_path / "rollup"))["kpis"].first().total_violations == 1000
 
 
 def test_detect_job_appends_log(spark, tmp_path):
