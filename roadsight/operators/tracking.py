@@ -131,9 +131,9 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
     per-chunk summary built from only the first and last row of each chunk
     (a hash aggregate over <= 2 rows per chunk) gives each chunk its seed (the
     previous chunk's last sighting), whether its first row is a step, and the
-    number of steps before it.  Only pass 1 is checkpointed, with the columns
-    that follow: the detections are scanned once, and pass 1 is read for the
-    summary and for the join with it.
+    number of steps before it.  Pass 1, with the columns that follow, and the
+    summary's result are checkpointed: the detections are scanned once, and
+    pass 1 twice, for the summary and for the join with it.
     """
     width = chunk_frames or CHUNK_FRAMES
     b = s.drop("x1", "x2", "y2", "bx", "by", "flow_positive_y").withColumn(BUCKET, F.floor(F.col("frame_idx") / F.lit(width)))
@@ -153,7 +153,7 @@ def steps(s: DataFrame, chunk_frames: int | None = None) -> DataFrame:
         F.max(F.when(F.col("_last"), F.col("ty"))).alias("_ly"),
         F.max(F.when(F.col("_last"), F.col("t_sec"))).alias("_lt"),
         F.max(F.when(F.col("_last"), F.col("_rin"))).alias("_nin"))
-    per_chunk = _chunk_seeds(ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y").withColumnRenamed("_lt", "t"))
+    per_chunk = materialize(_chunk_seeds(ends.withColumnRenamed("_lx", "x").withColumnRenamed("_ly", "y").withColumnRenamed("_lt", "t")))
     j = p1.join(per_chunk, [*KEYS, BUCKET])
     prev = F.when(F.col("_first"), F.col("_seed")).otherwise(F.col("_prev"))
     is_step = F.when(F.col("_first"), F.col("_fstep")).otherwise(F.col("_inner"))
@@ -184,13 +184,14 @@ def _chunk_seeds(ends: DataFrame, fanout: int = 4096) -> DataFrame:
     d = (ends.withColumn(super_, F.floor(F.col(BUCKET) / F.lit(fanout)))
          .withColumn("_local", F.lag(pos).over(inside))
          .withColumn("_head", F.lag(BUCKET).over(inside).isNull())
+         .withColumn("_tail", F.lead(BUCKET).over(inside).isNull())
          .withColumn("_near", ~F.col("_head") & far("_t0", "_local"))
          .withColumn("_n", F.col("_nin") + F.col("_near").cast("long"))
          .withColumn("_lp", F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
     over = Window.partitionBy(*KEYS).orderBy(super_)
-    groups = (d.groupBy(*KEYS, super_).agg(F.max(F.when(F.col("_head"), F.col("_t0"))).alias("_h0"), F.max_by(pos, BUCKET).alias("_lastpos"),
-                                           F.sum("_n").alias("_sn"))
-              .withColumn("_carry", F.lag("_lastpos").over(over))
+    groups = (d.groupBy(*KEYS, super_).agg(F.max(F.when(F.col("_head"), F.col("_t0"))).alias("_h0"), F.sum("_n").alias("_sn"),
+                                           *[F.max(F.when(F.col("_tail"), F.col(c))).alias(c) for c in ("x", "y", "t")])
+              .withColumn("_carry", F.lag(pos).over(over))
               .withColumn("_hstep", far("_h0", "_carry"))
               .withColumn("_so", F.coalesce(F.sum(F.col("_sn") + F.col("_hstep").cast("long")).over(
                   over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
