@@ -42,6 +42,7 @@ FRACTION = 1 / 8
 #: Id blocks per shuffle partition, and at most; a block is streamed, never held.
 BLOCKS_PER_PARTITION = 16
 MOST_BLOCKS = 1 << 16
+IDS_PER_BLOCK = 16
 
 
 def _highest(fraction: float) -> np.uint64:
@@ -108,10 +109,14 @@ def with_successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame |
     n = min(parts * BLOCKS_PER_PARTITION, MOST_BLOCKS)
     null_id = -(1 << 63)       # orders nulls first
     rows = rows.withColumn("at", F.coalesce("doc_id", F.lit(null_id)))
-    quantiles = F.percentile_approx("at", [i / n for i in range(n)], 10 * n)
-    first, cuts = rows.agg(F.min("at"), quantiles).first()
+    total, first = rows.agg(F.count(F.lit(1)), F.min("at")).first()
     if first is None:
         return None
+    # where blocks begin is taken from about IDS_PER_BLOCK ids a block, drawn by
+    # hash, so that what one task sees of the ids doesn't grow with the table
+    every = max(1, total // (IDS_PER_BLOCK * n))
+    drawn = rows.where(F.pmod(F.xxhash64("at"), F.lit(every)) == 0).select("at").distinct()
+    cuts = drawn.agg(F.percentile_approx("at", [i / n for i in range(n)], 10 * n)).first()[0] or []
     starts = sorted({first, *cuts})
     dealt = rows.withColumn("own", _block_of(F.col("at"), starts))
     before = F.pmod(F.col("own") - 1, F.lit(len(starts)))

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from roadsight.llm import fingerprints as fp
+from tests.llm.conftest import SCHEMA, prose
 
 
 def shingles(text):
@@ -66,3 +67,16 @@ def test_sketches_merge(texts, fraction):
     low = hashes[hashes <= np.uint64(int(fraction * 2.0 ** 64) - 1)]
     want = low if len(low) else hashes[:1]
     assert fp.merge_sketches(a, b, fraction).tolist() == want.tolist()
+
+
+def test_blocks_from_a_draw_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(fp, "IDS_PER_BLOCK", 1)
+    monkeypatch.setattr(fp, "MOST_BLOCKS", 4)
+    rows = [(i * 3 - 50, prose(i, 20), "en", "a", 1) for i in range(200)] + [(7, "one id of many rows", "en", "a", 1)] * 60
+    got = fp.edit_fingerprints(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    in_order = sorted({r[0]: r[1] for r in rows}.items())
+    after = {a: t for (a, _), (_, t) in zip(in_order, in_order[1:] + in_order[:1])}
+    for r in got.collect():
+        if r.doc_id not in (7, 4):
+            text = dict(in_order)[r.doc_id]
+            assert r.edited_sha256 == hashlib.sha256(fp.edited(text, after[r.doc_id]).encode()).hexdigest()
