@@ -101,20 +101,20 @@ def next_line(files, path: str, start: int, size: int) -> int:
 
 
 def _lines(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(byte, line) of the lines that begin in [start, end)."""
-    at, rest = max(0, start - 1), b""
+    """(byte, line) of the lines that begin in [start, end), each byte handled
+    once however long a line is."""
+    at, rest = max(0, start - 1), []
     f.seek(at)
     skip = start > 0        # the line that holds the byte before belongs to the range before
-    while True:
-        if not skip and at >= end:
-            return
+    while at < end:         # past the end no line begins here, nor does one after a line that is left out
         chunk = f.read(1 << 20)
         if not chunk:
             if rest and not skip:
-                yield at, rest
+                yield at, b"".join(rest)
             return
-        parts = (rest + chunk).split(b"\n")
-        for line in parts[:-1]:
+        *lines, tail = chunk.split(b"\n")
+        for line in lines:
+            line, rest = b"".join([*rest, line]), []
             if skip:
                 skip = False
             elif at < end:
@@ -122,7 +122,10 @@ def _lines(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
             else:
                 return
             at += len(line) + 1
-        rest = parts[-1]
+        if skip:
+            at += len(tail)
+        elif tail:
+            rest.append(tail)
 
 
 def _frame_rows(head: dict, frame: dict) -> list[tuple]:

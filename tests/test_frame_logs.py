@@ -98,3 +98,38 @@ def test_a_micro_batch_is_bounded(tmp_path):
             break
         before = now
     assert now == sizes
+
+
+class _Counted:
+    """A log in memory that counts the bytes read and how often."""
+
+    def __init__(self, data):
+        self.data, self.at, self.read_bytes = data, 0, 0
+
+    def seek(self, at):
+        self.at = at
+
+    def read(self, n):
+        out = self.data[self.at:self.at + n]
+        self.at, self.read_bytes = self.at + len(out), self.read_bytes + len(out)
+        return out
+
+
+def test_ranges_inside_a_long_line_do_not_read_it_to_its_end():
+    step, long = 1 << 20, b"x" * (40 << 20)
+    data = b"head\n" + long + b"\nlast\n"
+    seen, total = [], 0
+    for start in range(0, len(data), step):
+        f = _Counted(data)
+        seen += fl._lines(f, start, min(start + step, len(data)))
+        total += f.read_bytes
+    assert [(at, len(line)) for at, line in seen] == [(0, 4), (5, len(long)), (len(long) + 6, 4)]
+    assert total < 5 * len(data)
+
+
+@pytest.mark.parametrize("end", [b"", b"\n"])
+def test_ranges_of_any_size_give_every_line_once(end):
+    data = b"\n".join([b"a", b"", b"bb" * 9, b"", b"ccc", b"d" * 30]) + end
+    want = [(at, line) for at, line in zip([0, 2, 3, 22, 23, 27], data.split(b"\n"))]
+    for size in range(1, len(data) + 1):
+        assert [x for s in range(0, len(data), size) for x in fl._lines(_Counted(data), s, min(s + size, len(data)))] == want
