@@ -10,15 +10,25 @@ lays them out as a trie read depth first: a word shares its first nodes with
 the word before it.  A stack keeps the forward state of every node on the
 current path, so only the nodes below the common prefix are computed.
 
-*Forward state.*  For a unigram model a node holds the best total score of its
-prefix and the piece that ends it.  For a BPE model, whose result is not the
-best sum of scores, it holds the last piece of the prefix's encoding: by the
-order of merges, the encoding of a prefix that ends at a piece boundary is the
-beginning of the whole encoding, and pieces follow one another exactly if
-merging the two of them alone leaves both; so a prefix's last piece is the one
-that may follow the last piece before it.  That makes the ids those of the
-merges themselves.  A character without a piece is spelled in byte pieces, or
-is the unknown piece if the model has none.
+*Forward scores.*  A node holds the best total score of its prefix and the ids of
+the path that has it, found from the nodes before it by the scores of the pieces
+that end there.  A unigram model's scores are those of its file.  A BPE model's
+file has the order of its merges in their place; merges are learnt by falling
+frequency, so a piece's score is the logarithm of the frequency that Zipf's law
+gives its rank (less a constant), -ln(rank).  The path and its score are
+``best_ids`` and ``best_score``.
+
+*Merges.*  A BPE model's own ids, those of the library, are not the best sum of
+any scores and are returned beside that path: here a node holds the last piece of
+its prefix's encoding.  By the order of merges, the encoding of a prefix that ends
+at a piece boundary is the beginning of the whole encoding, and pieces follow one
+another exactly if merging the two of them alone leaves both; so a prefix's last
+piece is the one that may follow the last piece before it.  A unigram model's ids
+are its best path.  A character without a piece is spelled in byte pieces, or is
+the unknown piece if the model has none.
+
+*Decoding.*  The ids of every text are decoded, and ``exact`` says whether that
+gives the text.
 
 *Scale.*  A projection: texts are encoded where they lie.  A batch holds the
 nodes of one path, its distinct words, and at most ``MEMO`` words of the task's
@@ -32,9 +42,10 @@ repeated rows encode alike.
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 from itertools import chain
 from typing import NamedTuple
 
@@ -81,20 +92,52 @@ class Vocabulary:
         return cls([p.piece for p in model.pieces], [p.score for p in model.pieces],
                    [names.get(p.type, "normal") for p in model.pieces], model.trainer_spec.model_type == 1)
 
+    def with_scores(self) -> Vocabulary:
+        """A unigram model of the same pieces (see "Forward scores")."""
+        if self.unigram:
+            return self
+        normal = sorted((i for i, k in enumerate(self.kinds) if k == "normal"), key=lambda i: (-self.scores[i], i))
+        rank = {i: n for n, i in enumerate(normal, 1)}
+        return replace(self, scores=[-math.log(rank[i]) if i in rank else 0.0 for i in range(len(self.pieces))], unigram=True)
+
 
 class Node(NamedTuple):
     """The beginning of a piece that a prefix ends with."""
     text: str
     following: dict[str, Node]
-    #: (piece, length, ids, known predecessors, is a character lost, score), longest first
+    #: (piece, length, ids, known predecessors, score), longest first
     pieces: tuple
 
 
+class Units(NamedTuple):
+    """Texts as codes of their distinct units, and where each text's codes end."""
+    words: list[str]
+    codes: np.ndarray
+    ends: np.ndarray
+
+
+class Encoded(NamedTuple):
+    """The ids of texts behind one another, and where each text's end."""
+    ids: np.ndarray
+    ends: np.ndarray
+
+
+def _spread(spelled: tuple[bytes, ...], units: Units) -> Encoded:
+    """The ids of texts from those of their distinct units."""
+    sizes = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+    starts, n = np.cumsum(sizes) - sizes, sizes[units.codes]
+    upto = np.concatenate(([0], np.cumsum(n)))
+    place = np.repeat(starts[units.codes] - upto[:-1], n) + np.arange(upto[-1])
+    return Encoded(np.frombuffer(b"".join(spelled), np.int32)[place], upto[units.ends])
+
+
 @dataclass
 class Codec:
     vocabulary: Vocabulary
-    memo: dict[str, bytes] = field(default_factory=dict)
-    older: dict[str, bytes] = field(default_factory=dict)
+    #: Is the best path by forward scores found beside a BPE model's merges?
+    best: bool = False
+    memo: dict[str, tuple[bytes, bytes]] = field(default_factory=dict)
+    older: dict[str, tuple[bytes, bytes]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         v = self.vocabulary
@@ -109,10 +152,15 @@ class Codec:
         self.follows: dict[str, dict[str, bool]] = {}
         self.pairs = 0
         self.beginnings = {p[:k] for p in self.id_of for k in range(1, len(p) + 1)}
-        self.root, self.nodes, self.inexact = Node("", {}, ()), {}, set()
-        self.unknown_score = min(v.scores) - 10.0
+        self.root, self.nodes = Node("", {}, ()), {}
+        self.scores = v.with_scores().scores
+        self.unknown_score = min(self.scores) - 10.0
         self.piece_bytes = [bytes([int(p[3:5], 16)]) if k == "byte" else p.encode() if k == "normal"
                             else " ⁇ ".encode() if k == "unknown" else b"" for p, k in zip(v.pieces, v.kinds)]
+        self.spelling = pa.array(self.piece_bytes, pa.large_binary())
+        # a character without a piece counts once, with the first of its bytes
+        self.id_score = np.array([s if k == "normal" else self.unknown_score if k == "unknown" or k == "byte" and int(p[3:5], 16) & 0xC0 != 0x80
+                                  else 0.0 for p, k, s in zip(v.pieces, v.kinds, self.scores)])
 
     # -- the forward pass over one path of the trie --
 
@@ -160,54 +208,67 @@ class Codec:
         if text not in self.nodes:
             ends = [text[k:] for k in range(len(text)) if text[k:] in self.id_of or k == len(text) - 1]
             self.nodes[text] = Node(text, {}, tuple(
-                (p, len(p), self.spelled.get(p) or self._spell(p), self._pairs_of(p), p not in self.id_of and not self.byte_id,
-                 self.vocabulary.scores[self.id_of[p]] if p in self.id_of else self.unknown_score) for p in ends))
+                (p, len(p), self.spelled.get(p) or self._spell(p), self._pairs_of(p),
+                 self.scores[self.id_of[p]] if p in self.id_of else self.unknown_score) for p in ends))
         node.following[char] = self.nodes[text]
         return self.nodes[text]
 
-    def encode_sorted(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of ascending, distinct words, depth first.  The stack holds, for
-        every prefix on the path, its node among the pieces' beginnings, its
-        last piece, its ids so far (see ``DEEP``), whether a character was lost, and for a
-        unigram model its best total score."""
-        nodes, last, ids, lost, total, before = [self.root], [""], [b""], [False], [0.0], ""
-        unigram = self.vocabulary.unigram
+    def encode_sorted(self, words: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """(ids by merges, ids of the best path) of ascending, distinct words,
+        depth first; one is empty where it is not asked for.  The stacks hold,
+        for every prefix on the path, its node among the pieces' beginnings, its
+        last piece, its ids so far (see ``DEEP``), and likewise for the best
+        path, with its total score."""
+        merging = not self.vocabulary.unigram
+        scoring = self.best or not merging
+        nodes, last, ids, size_of, path, total, before = [self.root], [""], [b""], [0], [b""], [0.0], ""
         for word in words:
             shared = 0
             for x, y in zip(word, before):
                 if x != y:
                     break
                 shared += 1
-            del nodes[shared + 1:], last[shared + 1:], ids[shared + 1:], lost[shared + 1:], total[shared + 1:]
+            for stack in (nodes, last, ids, size_of, path, total):
+                del stack[shared + 1:]
             node, end = nodes[-1], shared
             for char in word[shared:]:
                 node = node.following.get(char) or self._step(node, char)
                 end += 1
-                if unigram:
-                    best = None
-                    for p, n, spelled, _, bad, score in node.pieces:
-                        if best is None or total[end - n] + score >= best:      # of equals the shorter one
-                            best, piece, size, code, gone = total[end - n] + score, p, n, spelled, bad
+                nodes.append(node)
+                if scoring:
+                    best = -math.inf
+                    for _, n, spelled, _, score in node.pieces:
+                        score += total[end - n]
+                        if score >= best:      # of equals the shorter one
+                            best, size, code = score, n, spelled
                     total.append(best)
-                else:
-                    for piece, size, code, known, gone, _ in node.pieces:
+                    size_of.append(size)
+                    path.append(path[end - size] + code if end <= DEEP else code)
+                if merging:
+                    for piece, size, code, known, _ in node.pieces:
                         left = last[end - size]
                         follows = known.get(left)
                         if follows is None:
                             follows = self._may_follow(left, piece)
                         if follows:
                             break
-                nodes.append(node)
-                last.append(piece)
-                ids.append(ids[end - size] + code if end <= DEEP else code)
-                lost.append(gone or lost[end - size])
-            if lost[-1]:
-                self.inexact.add(word)
-            before, rest = word, []
-            while end > DEEP:      # deeper nodes hold the ids of their last piece only
-                rest.append(ids[end])
-                end -= len(last[end])
-            yield b"".join([ids[end], *reversed(rest)])
+                    last.append(piece)
+                    ids.append(ids[end - size] + code if end <= DEEP else code)
+            before = word
+            if end <= DEEP:
+                yield ids[-1] if merging else b"", path[-1] if scoring else b""
+            else:
+                yield (self._unwound(ids, end, lambda at: len(last[at])) if merging else b"",
+                       self._unwound(path, end, size_of.__getitem__) if scoring else b"")
+
+    @staticmethod
+    def _unwound(ids: list[bytes], end: int, size: Callable[[int], int]) -> bytes:
+        """The ids of a deep node; those below ``DEEP`` hold their last piece only."""
+        rest = []
+        while end > DEEP:
+            rest.append(ids[end])
+            end -= size(end)
+        return b"".join([ids[end], *reversed(rest)])
 
     # -- texts --
 
@@ -215,29 +276,60 @@ class Codec:
         """The marked words of a text, parted at characters that stand alone."""
         return self.cutter.findall((MARK + text).replace(" ", MARK)) if text else []
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
-        """The ids of each text as native 32-bit integers."""
-        cut = [None if t is None else self.units(t) for t in texts]
-        missing = set(chain.from_iterable(filter(None, cut))).difference(self.memo)
+    def cut(self, texts: list[str | None]) -> Units:
+        """The units of all texts, each distinct one once."""
+        found = [self.units(t or "") for t in texts]
+        coded = pa.array(list(chain.from_iterable(found)), pa.large_string()).dictionary_encode()
+        return Units(coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.cumsum([0, *map(len, found)]))
+
+    def ids_of(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """The ids of distinct units, by merges and of the best path, as native
+        32-bit integers."""
+        missing = [w for w in words if w not in self.memo]
         if len(self.memo) + len(missing) > MEMO // 2:      # the younger half becomes the older one
             self.older, self.memo = self.memo, {}
-            missing = set(chain.from_iterable(filter(None, cut)))
+            missing = words
         memo, older = self.memo, self.older
-        seen = missing.intersection(older)
-        memo.update((u, older[u]) for u in seen)
-        new = sorted(missing - seen)
+        memo.update((w, older[w]) for w in missing if w in older)
+        new = sorted(w for w in missing if w not in older)
         memo.update(zip(new, self.encode_sorted(new)))
-        return [None if units is None else b"".join(map(memo.__getitem__, units)) for units in cut]
+        return [memo[w] for w in words]
+
+    def encode_units(self, units: Units) -> tuple[Encoded, Encoded | None]:
+        """The model's ids of texts, and those of the best path if asked for."""
+        by_merges, best = zip(*self.ids_of(units.words)) if units.words else ((), ())
+        path = _spread(best, units) if self.best or self.vocabulary.unigram else None
+        return (path if self.vocabulary.unigram else _spread(by_merges, units)), path
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of each text as native 32-bit integers."""
+        ids, ends = self.encode_units(self.cut(texts))[0]
+        return [None if t is None else ids[a:b].tobytes() for t, a, b in zip(texts, ends, ends[1:])]
+
+    def decode_all(self, encoded: Encoded) -> list[str]:
+        """The texts that texts' ids decode to; an absent one to the empty text."""
+        taken = self.spelling.take(pa.array(encoded.ids))
+        if not len(taken):
+            return [""] * (len(encoded.ends) - 1)
+        _, offsets, data = taken.buffers()
+        at, data = np.frombuffer(offsets, np.int64)[taken.offset:][encoded.ends].tolist(), memoryview(data or b"")
+        return [str(data[a:b], "utf-8", "replace").replace(MARK, " ").removeprefix(" ") for a, b in zip(at, at[1:])]
+
+    def scores_of(self, encoded: Encoded) -> np.ndarray:
+        """The total scores of texts' ids."""
+        starts, ends = encoded.ends[:-1], encoded.ends[1:]
+        out, filled = np.zeros(len(starts)), ends > starts
+        if filled.any():
+            out[filled] = np.add.reduceat(self.id_score[encoded.ids], starts[filled])
+        return out
 
     def decodes_to(self, text: str | None) -> bool:
-        """Do the ids of an encoded text decode to it?  Its words' ids are those
-        of pieces that spell them, but where a character was lost; and U+2581
-        decodes as a space."""
-        return text is None or (MARK not in text and (not self.inexact or self.inexact.isdisjoint(self.units(text))))
+        """Do the ids of a text decode to it?"""
+        return text is None or self.decode_all(self.encode_units(self.cut([text]))[0]) == [text]
 
     def forget_words(self) -> None:
         """Give back the memory of a task's words; pairs of pieces stay."""
-        self.memo, self.older, self.inexact = {}, {}, set()
+        self.memo, self.older = {}, {}
 
     def encode(self, text: str | None) -> list[int] | None:
         ids = self.encode_all([text])[0]
@@ -256,10 +348,10 @@ class Codec:
 _CODECS: dict[int, Codec] = {}
 
 
-def _codec(vocabulary: Vocabulary) -> Codec:
-    key = hash((tuple(vocabulary.pieces), tuple(vocabulary.scores), vocabulary.unigram))
+def _codec(vocabulary: Vocabulary, best: bool = False) -> Codec:
+    key = hash((tuple(vocabulary.pieces), tuple(vocabulary.scores), vocabulary.unigram, best))
     if key not in _CODECS:
-        _CODECS[key] = Codec(vocabulary)
+        _CODECS[key] = Codec(vocabulary, best)
     return _CODECS[key]
 
 
@@ -275,32 +367,38 @@ def _portions(texts: pa.Array) -> Iterator[list[str | None]]:
         yield held
 
 
-def _id_lists(found: list[bytes | None]) -> pa.Array:
-    ends = np.cumsum([0, *(len(x or b"") // 4 for x in found)])
-    offsets = pa.array(ends.astype(np.int32), mask=np.array([*(x is None for x in found), False]))
-    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(x or b"" for x in found), np.int32)))
+def _id_lists(encoded: Encoded, absent: np.ndarray) -> pa.Array:
+    offsets = pa.array(encoded.ends.astype(np.int32), mask=np.append(absent, False))
+    return pa.ListArray.from_arrays(offsets, pa.array(encoded.ids))
 
 
-def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), model_path: str = MODEL_PATH) -> DataFrame:
+def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), model_path: str = MODEL_PATH,
+           best: bool = False) -> DataFrame:
     """The ``keep`` columns, ids (array<int>) and ``exact``, whether the ids
-    decode to the text, for every row."""
+    decode to the text, for every row; with ``best`` also ``best_ids`` and
+    ``best_score``, the best path by forward scores."""
     vocabulary = Vocabulary.from_file(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary)
+        codec = _codec(vocabulary, best)
         for b in batches:
             at = 0
             for texts in _portions(b.column(0)):
-                found = codec.encode_all(texts)
-                exact = [codec.decodes_to(t) for t in texts]
+                units, absent = codec.cut(texts), np.array([t is None for t in texts])
+                found, path = codec.encode_units(units)
+                exact = [t is None or t == back for t, back in zip(texts, codec.decode_all(found))]
                 kept = b.slice(at, len(texts)).columns[1:]
-                yield pa.RecordBatch.from_arrays([*kept, _id_lists(found), pa.array(exact)], [*keep, "ids", "exact"])
+                columns = dict(zip(keep, kept)) | {"ids": _id_lists(found, absent), "exact": pa.array(exact)}
+                if best:
+                    columns |= {"best_ids": _id_lists(path, absent), "best_score": pa.array(codec.scores_of(path), mask=absent)}
+                yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
                 at += len(texts)
         codec.forget_words()
 
     rows = docs.select(docs[text_col].alias("__text"), *[docs[c] for c in keep])
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("exact", T.BooleanType())])
+    ids = T.ArrayType(T.IntegerType())
+    more = [T.StructField("best_ids", ids), T.StructField("best_score", T.DoubleType())] if best else []
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("ids", ids), T.StructField("exact", T.BooleanType()), *more])
     return rows.mapInArrow(run, schema)
 
 
@@ -317,6 +415,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL_PAT
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    """Query: doc_id, n_ids, exact and ids of every document."""
-    found = encode(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), "exact", "ids")
+    """Query: doc_id, n_ids, exact and ids of every document, with the best path
+    by forward scores and its score."""
+    found = encode(read_table(spark, sf_dir, "documents"), best=True)
+    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), "exact", "ids", "best_ids", "best_score")

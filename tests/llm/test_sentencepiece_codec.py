@@ -88,3 +88,46 @@ def test_a_lost_character_is_told():
     texts = ["ab a", "a c", "c", "", None, "a\u2581b"]
     codec.encode_all(texts)
     assert [codec.decodes_to(t) for t in texts] == [True, False, False, True, True, False]
+
+
+@pytest.fixture(scope="module")
+def unigram_library():
+    """The library's own Viterbi over the model's pieces with the query's scores."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    model = pb.ModelProto()
+    with open(sc.MODEL_PATH, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = 1
+    for piece, score in zip(model.pieces, sc.Vocabulary.from_file(sc.MODEL_PATH).with_scores().scores):
+        piece.score = score
+    return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+
+
+def test_query_runs_the_forward_scores_and_decodes(spark, edge_docs, tmp_path, unigram_library):
+    """The best path is that of the library's Viterbi, its ids decode to the
+    text, and the score is that of the path."""
+    edge_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {r.doc_id: r.text for r in edge_docs.collect()}
+    codec = sc.Codec(sc.Vocabulary.from_file(sc.MODEL_PATH).with_scores())
+    rows, told = sc.op3_sentencepiece(spark, str(tmp_path)).collect(), 0
+    assert len(rows) == edge_docs.count()
+    for r in rows:
+        text = texts[r.doc_id]
+        if text is None:
+            assert (r.best_ids, r.best_score) == (None, None)
+            continue
+        ids = np.array(r.best_ids, dtype=np.int32)
+        assert codec.decode(ids) == text and r.best_score == pytest.approx(codec.id_score[ids].sum())
+        theirs = np.array(unigram_library.encode(text), dtype=np.int32)
+        assert r.best_score == pytest.approx(codec.id_score[theirs].sum(), rel=1e-5)
+        told += len(ids) > 0 and r.best_ids != r.ids
+    assert told > 0
+
+
+def test_exact_comes_from_decoded_ids(monkeypatch):
+    """Ids that decode to something else are not called exact."""
+    codec = sc.Codec(sc.Vocabulary.from_file(sc.MODEL_PATH))
+    texts = ["pine river", "", " \U0001F600x ", "  "]
+    assert codec.decode_all(codec.encode_units(codec.cut(texts))[0]) == texts and codec.decodes_to("pine river")
+    monkeypatch.setattr(codec, "encode_units", lambda units: [sc.Encoded(np.array([300, 301], np.int32), np.array([0, 2]))] * 2)
+    assert not codec.decodes_to("pine river")
