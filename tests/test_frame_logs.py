@@ -133,3 +133,15 @@ def test_ranges_of_any_size_give_every_line_once(end):
     want = [(at, line) for at, line in zip([0, 2, 3, 22, 23, 27], data.split(b"\n"))]
     for size in range(1, len(data) + 1):
         assert [x for s in range(0, len(data), size) for x in fl._lines(_Counted(data), s, min(s + size, len(data)))] == want
+
+
+def test_available_now_takes_all_there_is_after_a_restart(spark, tmp_path):
+    fl.register(spark)
+    src, out, ckpt = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.mkdir()
+    for part in range(3):
+        for name in "abc":
+            _log(src / f"{name}{part}.log", {"camera_id": 1, "first_frame": 50 * part}, [_line(f, [_box(1)]) for f in range(50)])
+        (spark.readStream.format("framelog").option("maxBytesPerTrigger", "1500").load(str(src)).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
+        assert spark.read.parquet(out).count() == 150 * (part + 1)
